@@ -1,0 +1,22 @@
+"""Broadcast behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Runs ``limit(max_rows + 1).count()``: the scan stops once the limit is
+    reached, so the check costs at most ``max_rows + 1`` rows of work.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast only when the row count is proven within ``max_rows``;
+    otherwise leave the join to a shuffle (AQE may still broadcast it at
+    runtime under its own byte threshold)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
