@@ -319,9 +319,14 @@ def census_income(spark, sf):
 
 
 def _clients(spark, sf):
-    """Unified clients with census income, stand-in model income and factor."""
+    """Unified clients with census income, stand-in model income and factor.
+
+    The unified table is the hand-off between feature building and scoring:
+    it is cut there (reliable checkpoint), so the global maxima and the
+    per-row pass read it instead of re-planning the whole feature pipeline.
+    """
     i = _inputs(spark, sf)
-    u = plan.features(i, PARAMS, SEM).unified
+    u = plan.cut(plan.features(i, PARAMS, SEM).unified)
     c = census_ops.with_census_income(u, i.census, SEM)
     c = training.linear_income(c, STAND_IN)
     return census_ops.adjusted_census(c, _factor(i))
@@ -390,12 +395,12 @@ def score_clients(spark, sf):
 
 @query
 def report(spark, sf):
-    return report_ops.report(_scored_out(spark, sf))
+    return report_ops.report(plan.cut(_scored_out(spark, sf)))
 
 
 @query
 def report_overall(spark, sf):
-    return report_ops.report_overall(_scored_out(spark, sf))
+    return report_ops.report_overall(plan.cut(_scored_out(spark, sf)))
 
 
 @query
