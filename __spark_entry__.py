@@ -45,8 +45,16 @@ def query(fn=None, *, name: str | None = None):
     return register(fn) if fn is not None else register
 
 
+_INPUTS: dict[tuple[str, int, str], Inputs] = {}
+
+
 def _inputs(spark: SparkSession, sf: str) -> Inputs:
-    return load_inputs(spark, sf)
+    """Input views of ``sf`` for this session, analysed once and reused by
+    every query (lazy plans only; no data is cached)."""
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf)
+    if key not in _INPUTS:
+        _INPUTS[key] = load_inputs(spark, sf)
+    return _INPUTS[key]
 
 
 # ------------------------------------------------------------ sources / sinks
@@ -329,7 +337,10 @@ def _clients(spark, sf):
     u = plan.cut(plan.features(i, PARAMS, SEM).unified)
     c = census_ops.with_census_income(u, i.census, SEM)
     c = training.linear_income(c, STAND_IN)
-    return census_ops.adjusted_census(c, _factor(i))
+    # the factor is a training artefact: saved as a one-row table, loaded back
+    path = scratch_path(spark, "factor")
+    io.save_factor(_factor(i), path)
+    return census_ops.adjusted_census(c, io.load_factor(spark, path))
 
 
 @query

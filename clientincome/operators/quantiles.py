@@ -47,12 +47,19 @@ def exact_quantiles(
     group_cols: Sequence[str] = (),
     accuracy: int = DEFAULT_ACCURACY,
     names: Sequence[str] | None = None,
+    max_groups: int | None = None,
 ) -> DataFrame:
     """One row per group (all groups of ``df``) and one DOUBLE per probability.
 
     Semantics of ``quantile_cont`` / pandas ``quantile``: over the non-null
     values sorted ascending, h = p*(n-1); result = x[floor h] +
     (x[floor h + 1] - x[floor h]) * (h - floor h).  NULL when n = 0.
+
+    ``max_groups``: a bound on the number of groups that the caller can prove
+    (e.g. a fixed label vocabulary).  The per-group bracket table is then
+    broadcast into the pass over the rows, so rows are never shuffled by a
+    (possibly skewed) group key.  Without it, AQE decides at runtime from the
+    bracket table's measured size.
     """
     keys = list(group_cols)
     probs = [float(p) for p in probs]
@@ -80,6 +87,8 @@ def exact_quantiles(
     brackets = stats.select(*keys, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi"))
 
     # 2. one pass: counts below each bracket, and bracketed values
+    if keys and max_groups is not None:
+        brackets = F.broadcast(brackets)
     j = _join_on(x.where(F.col("_x").isNotNull()), brackets, keys)
     below = j.groupBy(*keys).agg(
         *[F.sum(F.when(F.col("_x") < F.col("_lo")[i], 1).otherwise(0)).alias(f"_b{i}")

@@ -78,8 +78,14 @@ def scored_clients(scored: DataFrame) -> DataFrame:
     return out.select(*OUTPUT_COLUMNS)
 
 
+# Proven bound on report groups: 5 group labels x 12 rule labels (fixed
+# vocabularies of the rule cascade, including the unmatched label).
+MAX_REPORT_GROUPS = 5 * 12
+
+
 def describe(
-    df: DataFrame, value: str, group_cols, probs, names, accuracy: int = 10000
+    df: DataFrame, value: str, group_cols, probs, names, accuracy: int = 10000,
+    max_groups: int | None = None,
 ) -> DataFrame:
     """count / mean / std / min / percentiles / max of ``value`` per group.
 
@@ -95,7 +101,7 @@ def describe(
         F.min(x).alias("min"),
         F.max(x).alias("max"),
     )
-    q = exact_quantiles(df, value, probs, group_cols, accuracy, names)
+    q = exact_quantiles(df, value, probs, group_cols, accuracy, names, max_groups=max_groups)
     if group_cols:
         r = q.select(*[F.col(k).alias(f"_q_{k}") for k in group_cols], *names)
         joined = moments.join(
@@ -116,7 +122,7 @@ def report(scored_out: DataFrame, accuracy: int = 10000) -> DataFrame:
     """
     keys = ["cod_grupo_renta", "cod_ingreso_renta"]
     d = describe(scored_out, "ing_renta_indirecta", keys, REPORT_PERCENTILES,
-                 REPORT_PERCENTILE_NAMES, accuracy)
+                 REPORT_PERCENTILE_NAMES, accuracy, max_groups=MAX_REPORT_GROUPS)
     total = d.agg(F.sum("count").alias("_total"))
     d = d.crossJoin(F.broadcast(total)).withColumn(
         "prop", F.lit(100.0) * F.col("count") / F.col("_total")
