@@ -582,7 +582,7 @@ def oracle_sql() -> dict[str, str]:
     q["train_split"] = _typed(f"(SELECT *, {bucket} AS is_train FROM tprep) t",
                               prep_cols + [("is_train", "B")])
     q["target_log"] = _typed(
-        "(SELECT id_master, mto_ing_mes, log10(CAST(mto_ing_mes AS DOUBLE) + 1) AS log_mto_ing_mes, "
+        "(SELECT id_master, mto_ing_mes, round_even(log10(CAST(mto_ing_mes AS DOUBLE) + 1), 10) AS log_mto_ing_mes, "
         "pow(10.0, log10(CAST(mto_ing_mes AS DOUBLE) + 1)) - 1 AS mto_ing_mes_back FROM train_feat) t",
         [("id_master", "B"), ("mto_ing_mes", "D"), ("log_mto_ing_mes", "D"), ("mto_ing_mes_back", "R")])
     err = ("(2.0 + 0.0001 * CAST(saldo AS DOUBLE) + 0.05 * CAST(recorrido AS DOUBLE)) - log_mto_ing_mes")
