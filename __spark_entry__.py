@@ -332,11 +332,12 @@ def _clients(spark, sf):
     """Unified clients with census income, stand-in model income and factor.
 
     The unified table is the hand-off between feature building and scoring:
-    it is cut there (reliable checkpoint), so the global maxima and the
-    per-row pass read it instead of re-planning the whole feature pipeline.
+    it is cut there (a parquet table in the shared folder), so the global
+    maxima and the per-row pass read it instead of re-planning the feature
+    pipeline.
     """
     i = _inputs(spark, sf)
-    u = plan.cut(plan.features(i, PARAMS, SEM).unified)
+    u = plan.cut(plan.features(i, PARAMS, SEM).unified, "unified")
     c = census_ops.with_census_income(u, i.census, SEM)
     c = training.linear_income(c, STAND_IN)
     # the factor is a training artefact: saved as a one-row table, loaded back
@@ -408,12 +409,12 @@ def score_clients(spark, sf):
 
 @query
 def report(spark, sf):
-    return report_ops.report(plan.cut(_scored_out(spark, sf)))
+    return report_ops.report(plan.cut(_scored_out(spark, sf), "scored"))
 
 
 @query
 def report_overall(spark, sf):
-    return report_ops.report_overall(plan.cut(_scored_out(spark, sf)))
+    return report_ops.report_overall(plan.cut(_scored_out(spark, sf), "scored"))
 
 
 @query

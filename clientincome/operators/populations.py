@@ -68,11 +68,16 @@ def deposit_population(
     Each client-month's products are ranked by (active desc, balance desc);
     rank-1 rows survive if active and natural person (ties keep every tied
     row, Q10; the rank runs before the type filter, Q11).  The month and id
-    predicates are on the window's partition keys, so they run below it and
-    reach the scan; the rank-1 filter becomes a WindowGroupLimit that also
-    trims rows map-side before the shuffle.
+    predicates run below the rank and reach the scan; the rank-1 filter
+    becomes a WindowGroupLimit that also trims rows map-side before the
+    shuffle.
     """
-    w = Window.partitionBy("id_master", "num_periodo_mes").orderBy(
+    # The original ranks within (client, month) and then keeps the reference
+    # month.  The month predicate is on a partition key, so it runs first; the
+    # remaining rows all share that month and ranking by client alone is the
+    # same ranking.  The rank's shuffle on the client then also serves the
+    # full join below (one exchange fewer).
+    w = Window.partitionBy("id_master").orderBy(
         F.col("ind_activo_cap").desc(), F.col("sld_tot_prod_cap").desc()
     )
     cap = (

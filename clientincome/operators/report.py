@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientincome.functions.numeric import round4
@@ -118,15 +118,14 @@ def report(scored_out: DataFrame, accuracy: int = 10000) -> DataFrame:
     rounded half-even to 4 decimals.
 
     The grouped result has one row per label pair (a fixed vocabulary), so the
-    share's total is a one-row aggregate broadcast back.
+    share's total is a window over that small table.
     """
     keys = ["cod_grupo_renta", "cod_ingreso_renta"]
     d = describe(scored_out, "ing_renta_indirecta", keys, REPORT_PERCENTILES,
                  REPORT_PERCENTILE_NAMES, accuracy, max_groups=MAX_REPORT_GROUPS)
-    total = d.agg(F.sum("count").alias("_total"))
-    d = d.crossJoin(F.broadcast(total)).withColumn(
-        "prop", F.lit(100.0) * F.col("count") / F.col("_total")
-    )
+    # at most MAX_REPORT_GROUPS rows: a window over all of them is one small task
+    total = F.sum("count").over(Window.partitionBy())
+    d = d.withColumn("prop", F.lit(100.0) * F.col("count") / total)
     stats = ["prop", "mean", "std", "min", *REPORT_PERCENTILE_NAMES, "max"]
     return d.select(*keys, "count", *[round4(c).alias(c) for c in stats])
 

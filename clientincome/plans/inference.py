@@ -18,7 +18,7 @@ from clientincome.operators import deposits, demographics, populations, scoring,
 from clientincome.operators import report as report_ops
 from clientincome.operators import training
 from clientincome.semantics import REFERENCE, RunParams, Semantics
-from clientincome.session import shared_dir
+from clientincome.session import scratch_path
 from clientincome.sources.fixtures import Inputs
 
 
@@ -66,10 +66,18 @@ def score(
     return scoring.score_all(c, sem)
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table in the shared folder
+    (``spark.checkpoint.dir``) and reading it back.
+
+    Unlike an RDD checkpoint the written table is columnar: the consumers of a
+    wide table (the maxima pass, the report passes) read only their columns.
+    A lost executor recomputes from this table, not from the raw history.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def training_table(i: Inputs, params: RunParams, sem: Semantics = REFERENCE) -> DataFrame:
@@ -89,13 +97,15 @@ def run_inference(
 ) -> tuple[DataFrame, DataFrame]:
     """Scored clients (49 columns) and the percentile report.
 
-    The scored table feeds both outputs and the global maxima, so it is cut
-    once (checkpoint) instead of being recomputed per consumer.
+    The unified features and the scored table are cut (written tables), so
+    the maxima, the scoring pass and the report read them instead of
+    recomputing the pipeline per consumer.
     """
     model = training.load(model_path)
     f = features(i, params, sem)
-    scored = score(f.unified, i.census, factor, lambda d: training.model_income(d, model), sem)
+    unified = cut(f.unified, "unified") if checkpoint else f.unified
+    scored = score(unified, i.census, factor, lambda d: training.model_income(d, model), sem)
     out = report_ops.scored_clients(scored)
     if checkpoint:
-        out = cut(out)
+        out = cut(out, "scored")
     return out, report_ops.report(out)

@@ -149,3 +149,20 @@ def test_factor_and_inputs_io_round_trip(spark, inputs_small, tmp_path):
 def test_inputs_load(spark):
     i = load_inputs(spark, SF_SMALL)
     assert i.contact.count() == 150
+
+
+def test_run_inference_end_to_end(spark, inputs_small, tmp_path):
+    """Training artefacts saved, then the whole inference plan with cuts."""
+    from clientincome.sources import io
+
+    train = plan.training_table(inputs_small, P)
+    training.train(train, str(tmp_path / "model"), seed=1, num_trees=5)
+    io.save_factor(census.adjustment_factor(train, inputs_small.census), str(tmp_path / "factor"))
+    factor = io.load_factor(spark, str(tmp_path / "factor"))
+    out, rep = plan.run_inference(inputs_small, P, str(tmp_path / "model"), factor)
+    assert out.columns == report.OUTPUT_COLUMNS
+    n = out.count()
+    assert n == plan.features(inputs_small, P).unified.count()
+    r = rep.collect()
+    assert sum(x["count"] for x in r) == out.where(F.col("ing_renta_indirecta").isNotNull()).count()
+    assert abs(sum(x["prop"] for x in r) - 100.0) < 1e-3
