@@ -1,5 +1,6 @@
 """One small hand-made table per documented quirk, under both presets."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from clientincome.operators import deposits, populations, scoring, services
@@ -136,3 +137,101 @@ def test_gate(spark):
     df = spark.createDataFrame([(0.9, 0.6), (0.6, 0.9), (0.5, 0.9), (1.0, 1.0)], "r DOUBLE, q DOUBLE")
     got = [x[0] for x in df.select(scoring.gate(F.col("r"), F.col("q"))).collect()]
     assert got == [0.75, 0.0, 0.0, 1.0]
+
+
+ENV_SCHEMA = (
+    "id_master BIGINT, num_periodo_mes INT, ind_activo_rem INT, ind_activo_dex INT, "
+    "mto_pag_rem DOUBLE, num_pag_rem BIGINT, mto_env_rem DOUBLE, num_env_rem BIGINT, "
+    "mto_pag_dex DOUBLE, num_pag_dex BIGINT, mto_env_dex DOUBLE, num_env_dex BIGINT"
+)
+
+
+def _env_hist(spark):
+    rows = [
+        # month, pag_rem, env_rem, pag_dex (count NULL), env_dex
+        (1, 200007 + k, 1, None, float(10 * (k + 1)), 1, 0.0, 0, 5.0, None, 7.0, 2)
+        for k in range(6)
+    ]
+    return spark.createDataFrame(rows, ENV_SCHEMA)
+
+
+def test_q5_q7_q32_transfer_features(spark):
+    hist = _env_hist(spark)
+    pop_ref = services.transfer_features(
+        populations.transfer_population(hist.withColumn("ind_activo_dex", F.lit(1)), _contact(spark), P),
+        _calendar(spark), hist, P, REFERENCE,
+    ).first()
+    # Q5: NULL express-money counts stay NULL, so the combined month test fails
+    assert pop_ref.num_meses_distintos_movs_dex == 0 and pop_ref.tot_num_pag_dex is None
+    # ranks 2..5 of 10..60 -> (20+30+40+50)/4*6
+    assert pop_ref.tot_mto_pag_rem_corr == 210.0
+    # Q32: a NULL activity flag makes REFERENCE drop the client from the population
+    assert populations.transfer_population(hist, _contact(spark), P, REFERENCE).count() == 0
+    pop = populations.transfer_population(hist, _contact(spark), P, CORRECTED)
+    assert pop.count() == 1
+    cor = services.transfer_features(pop, _calendar(spark), hist, P, CORRECTED).first()
+    assert cor.num_meses_distintos_movs_dex == 6 and cor.tot_num_pag_dex == 0
+    assert cor.tot_mto_pag_rem_corr == 210.0  # six months: same trimmed window
+    p8 = RunParams(200012, 8)
+    cor8 = services.transfer_features(pop, _calendar(spark), hist, p8, CORRECTED).first()
+    # Q7: history of 8 (6 months present): ranks 2..7 scaled by 8/6
+    assert cor8.tot_mto_pag_rem_corr == pytest.approx((20 + 30 + 40 + 50 + 60) * 8 / 6)
+
+
+def _contact(spark, dup=False):
+    rows = [(1, "FI", "JALISCO", "M", None, 1000), (2, "MO", "JALISCO", "F", None, 1001)]
+    if dup:
+        rows.append((1, "FI", "JALISCO", "M", None, 1000))
+    return spark.createDataFrame(
+        rows, "id_master BIGINT, tipo_persona STRING, lentidad STRING, genero STRING, fecha_nacimiento DATE, cposta INT"
+    )
+
+
+def test_q8_q12_training_population_and_dimension_dedupe(spark):
+    income = spark.createDataFrame(
+        [(1, 200012, 100.0, "NOMINA"), (2, 200012, 200.0, "NOMINA"), (3, 200012, 50.0, "NOMINA"),
+         (3, 200012, 70.0, "NOMINA")],
+        "id_master BIGINT, num_periodo_mes INT, mto_ing_mes DOUBLE, cod_flujo STRING",
+    )
+    ref = populations.training_population(income, _contact(spark), P, REFERENCE).collect()
+    assert sorted(r.id_master for r in ref) == [1, 2, 3]          # one row per client
+    again = populations.training_population(income.repartition(3), _contact(spark), P, REFERENCE).collect()
+    assert sorted(ref) == sorted(again)                            # seeded, partition-free pick
+    cor = populations.training_population(income, _contact(spark), P, CORRECTED).collect()
+    assert [r.id_master for r in cor] == [1]                       # Q8: natural persons only
+    hist = spark.createDataFrame(
+        [(1, 200012, 1, 1.0, 1, 0.0, 0)], HIST_SCHEMA
+    )
+    dup = _contact(spark, dup=True)
+    assert populations.fx_population(hist, dup, P, REFERENCE).count() == 2   # Q12
+    assert populations.fx_population(hist, dup, P, CORRECTED).count() == 1
+
+
+def test_q14_factor_excludes_default_postal(spark):
+    from clientincome.operators import census
+
+    cen = spark.createDataFrame(
+        [("Código postal", 1000, 1, 300.0, 4, 1), ("Código postal", 0, 1, 3000.0, 4, 1)],
+        "nivel STRING, cod_postal INT, familias BIGINT, ingreso_familiar DOUBLE, poblacion BIGINT, pei BIGINT",
+    )
+    train = spark.createDataFrame([(100.0, 1000), (900.0, 0)], "mto_ing_mes DOUBLE, cod_postal INT")
+    ref = census.adjustment_factor(train, cen, sem=REFERENCE).first()
+    cor = census.adjustment_factor(train, cen, sem=CORRECTED).first()
+    # census income per earner = ingreso / ((4-1)/1)
+    assert ref.median_census == (100.0 + 1000.0) / 2 and ref.median_target == 500.0
+    assert cor.median_census == 100.0 and cor.factor == 1.0
+
+
+def test_q34_deposit_population_without_accounts(spark):
+    pop = spark.createDataFrame(
+        [(1, 200012, 1, 0, 0), (5, 200012, 0, 1, 0)],
+        "id_master BIGINT, per_ref INT, ind_activo_cap INT, ind_activo_cre INT, ind_activo_afr INT",
+    )
+    hist = _account_rows(spark, [_acct(1, 0, 200012, 300.0, 150)])
+    ref = deposits.deposit_features(hist, pop, P, REFERENCE).collect()
+    assert [r.id_master for r in ref] == [1]
+    cor = {r.id_master: r for r in deposits.deposit_features(hist, pop, P, CORRECTED).collect()}
+    assert set(cor) == {1, 5}
+    assert cor[5].ult_dep_cap == 99 and cor[5].num_meses_distintos_dep_cap == 0
+    assert float(cor[5].tot_mto_dep_cap) == 0.0 and cor[5].tot_mto_dep_cap_corr == 0.0
+    assert cor[1].ult_dep_cap == 1 and float(cor[1].tot_mto_dep_cap) == 300.0
