@@ -58,9 +58,21 @@ def adjustment_factor(
     t = with_census_income(train_features.select(target, "cod_postal"), census, sem)
     excluded = [DEFAULT_POSTAL, 0] if sem.exclude_default_postal else [DEFAULT_POSTAL]
     t = t.where(~F.col("cod_postal").isin(*excluded) & (F.col("ingreso_prom_succ") > 0))
-    m_target = exact_quantiles(t, target, [0.5], names=["median_target"])
-    m_census = exact_quantiles(t, "ingreso_prom_succ", [0.5], names=["median_census"])
-    return m_target.crossJoin(m_census).select(
+    # both medians in one pass: the two variables stacked as two groups
+    long = t.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("target").alias("var"), dbl(target).alias("x")),
+                F.struct(F.lit("census").alias("var"), dbl("ingreso_prom_succ").alias("x")),
+            )
+        ).alias("s")
+    ).select("s.var", "s.x")
+    m = exact_quantiles(long, "x", [0.5], ["var"], names=["median"], max_groups=2)
+    wide = m.agg(
+        F.max(F.when(F.col("var") == "target", F.col("median"))).alias("median_target"),
+        F.max(F.when(F.col("var") == "census", F.col("median"))).alias("median_census"),
+    )
+    return wide.select(
         "median_target",
         "median_census",
         ieee_div("median_target", "median_census").alias("factor"),
