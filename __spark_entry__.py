@@ -11,9 +11,14 @@ from __future__ import annotations
 
 import functools
 import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:  # the package sits next to this file
+    sys.path.insert(0, _HERE)
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F
 
 from clientincome.functions import periods as P
@@ -454,11 +459,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    import sys
-
-    here = os.path.dirname(os.path.abspath(__file__))
-    if here not in sys.path:
-        sys.path.insert(0, here)
     from oracle_sql import oracle_sql as _sql
 
     sql = _sql()
