@@ -19,6 +19,7 @@ from clientincome.operators import report as report_ops
 from clientincome.operators import training
 from clientincome.semantics import REFERENCE, RunParams, Semantics
 from clientincome.session import scratch_path
+from clientincome.sources import io
 from clientincome.sources.fixtures import Inputs
 
 
@@ -87,6 +88,27 @@ def training_table(i: Inputs, params: RunParams, sem: Semantics = REFERENCE) ->
     return unify.training_features(pop, demo, i.journey, params, sem)
 
 
+def run_training(
+    i: Inputs,
+    params: RunParams,
+    model_path: str,
+    factor_path: str,
+    target: str = "mto_ing_mes",
+    sem: Semantics = REFERENCE,
+) -> DataFrame:
+    """T1-T3 and the adjustment factor: fit and save the forest, save the
+    factor next to it; returns the one-row status (path, n, rmse).
+
+    The training table is cut once: the forest makes several passes over it
+    and the factor reads it again.
+    """
+    train = cut(training_table(i, params, sem), "training")
+    _, _, status = training.train(train, model_path, target=target, seed=params.seed)
+    factor = census_ops.adjustment_factor(train, i.census, target=target, sem=sem)
+    io.save_factor(factor, factor_path)
+    return status
+
+
 def run_inference(
     i: Inputs,
     params: RunParams,
