@@ -148,7 +148,10 @@ def deposit_features(
     params: RunParams,
     sem: Semantics = REFERENCE,
 ) -> DataFrame:
-    months = client_months(account_months(account_hist, params, sem), sem)
+    # population ids are > 0: unresolved ids (which may be a large share of
+    # the history) are dropped at the scan instead of being aggregated
+    resolved = account_hist.where(F.col("id_master") > 0)
+    months = client_months(account_months(resolved, params, sem), sem)
     return client_features(population, months, params, sem)
 
 
@@ -173,8 +176,11 @@ LAST_MONTH_COLS = ("mto_tot_dep_cap_ult_mes", "mto_dep_cte_cap_ult_mes")
 
 
 def month_slice(df: DataFrame, params: RunParams, cols, sem: Semantics) -> DataFrame:
-    """A client-month dimension restricted to the reference month."""
-    s = df.where(F.col("num_periodo_mes") == params.mes).select("id_master", *cols)
+    """A client-month dimension restricted to the reference month and to
+    resolved ids (the only ones a population holds)."""
+    s = df.where((F.col("num_periodo_mes") == params.mes) & (F.col("id_master") > 0)).select(
+        "id_master", *cols
+    )
     return first_per_key(s, ["id_master"]) if sem.dedupe_dimensions else s
 
 

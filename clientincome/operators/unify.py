@@ -66,8 +66,13 @@ def unify(
 
 
 def add_demographics(unified: DataFrame, demographics: DataFrame) -> DataFrame:
-    """Unified features + (genero, edad, entidad, cod_postal), left join."""
-    u, d = unified.alias("u"), demographics.alias("d")
+    """Unified features + (genero, edad, entidad, cod_postal), left join.
+
+    Only resolved ids (> 0) can match a client, so the contact side is cut to
+    them at the scan: a large block of unresolved ids would otherwise shuffle
+    into one task on the side of the outer join that AQE cannot split.
+    """
+    u, d = unified.alias("u"), demographics.where(F.col("id_master") > 0).alias("d")
     return u.join(d, F.col("u.id_master") == F.col("d.id_master"), "left").select(
         "u.*",
         F.coalesce(F.col("d.genero"), F.lit("NO DISPONIBLE")).alias("genero"),
@@ -89,12 +94,12 @@ def training_features(
     The journey table is cut to the reference month and joined on the id
     only, as in the original; missing text is 'VACIO' here (Q13).
     """
-    j = journey.where(F.col("num_periodo_mes") == params.mes).select(
+    j = journey.where((F.col("num_periodo_mes") == params.mes) & (F.col("id_master") > 0)).select(
         "id_master", "saldo", "potencial", "recorrido"
     )
     if sem.dedupe_dimensions:
         j = first_per_key(j, ["id_master"])
-    p, d, r = population.alias("p"), demographics.alias("d"), j.alias("r")
+    p, d, r = population.alias("p"), demographics.where(F.col("id_master") > 0).alias("d"), j.alias("r")
     return (
         p.join(d, F.col("p.id_master") == F.col("d.id_master"), "left")
         .join(r, F.col("p.id_master") == F.col("r.id_master"), "left")
