@@ -31,6 +31,28 @@ def local_session(cpus: int | str = 8, **extra: str) -> SparkSession:
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffle partitions target ~200 MB of shuffled input each (AQE coalesces
+    smaller ones and splits skewed ones at runtime); scans read 256 MB splits.
+    Pass the result to ``SparkSession.builder.config`` or ``spark-submit``.
+    """
+    target = 200 * 1024 * 1024
+    slots = max(1, executor_cores * executors)
+    partitions = max(slots * 2, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.compression.codec": "snappy",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide checkpoint folder (``spark.checkpoint.dir``).
 

@@ -70,3 +70,13 @@ def test_trimmed_sum_nulls_first(spark):
     assert out[1] == 2.0 + 3.0 + 4.0 + 5.0
     # NULL sorts first (rank 1) and adds nothing; ranks 2..3 are 10 and 20
     assert out[2] == 30.0
+
+
+def test_cluster_conf_scales_partitions():
+    from clientincome.session import cluster_conf
+
+    big = cluster_conf(100 * 1024**4, executor_cores=4, executors=1000)
+    small = cluster_conf(10 * 1024**3, executor_cores=4, executors=10)
+    assert int(big["spark.sql.shuffle.partitions"]) >= 500_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
+    assert big["spark.sql.adaptive.enabled"] == "true"
