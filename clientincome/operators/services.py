@@ -136,7 +136,18 @@ def transfer_features(
     for fam in ("pag_rem", "env_rem", "pag_dex", "env_dex"):
         aggs.append(F.sum(f"mto_{fam}").alias(f"tot_mto_{fam}"))
         aggs.append(F.sum(f"num_{fam}").alias(f"tot_num_{fam}"))
-    return rows.groupBy("id_master", "per_ref").agg(*aggs)
+    return per_client(rows, aggs)
+
+
+def per_client(rows: DataFrame, aggs) -> DataFrame:
+    """Group the spine rows of each client into one feature row.
+
+    The original groups by (client, per_ref).  Every population is cut to the
+    run's reference month, so a client has one ``per_ref``: grouping by the
+    client alone gives the same rows, and the result stays partitioned by
+    client, which the unification joins reuse instead of shuffling again.
+    """
+    return rows.groupBy("id_master").agg(F.max("per_ref").alias("per_ref"), *aggs)
 
 
 def fx_month_rows(
@@ -180,7 +191,7 @@ def fx_features(
     """14 columns per (id_master, per_ref), in the original order."""
     rows = fx_month_rows(population, calendar, hist, params, sem)
     c = F.col
-    return rows.groupBy("id_master", "per_ref").agg(
+    return per_client(rows, [
         last_month_agg("ind_activo_div").alias("ind_activo_div"),
         recency_agg("mto_div_cpa").alias("ult_cpa_div"),
         recency_agg("mto_div_vta").alias("ult_vta_div"),
@@ -193,4 +204,4 @@ def fx_features(
         F.sum("num_div_cpa").alias("tot_num_cpa_div"),
         F.sum("mto_div_vta").alias("tot_mto_vta_div"),
         F.sum("num_div_vta").alias("tot_num_vta_div"),
-    )
+    ])
