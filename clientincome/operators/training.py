@@ -97,15 +97,22 @@ def train(
     seed: int = 123,
     num_trees: int = 20,
     max_depth: int = 5,
+    predictions_path: str | None = None,
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Fit on the training split, predict the test split, save the fitted
-    pipeline (M10).  Returns (model, test predictions, one-row status)."""
+    pipeline (M10).  Returns (model, test predictions, one-row status).
+
+    ``predictions_path``: also write the test predictions as CSV with a
+    header (S6), in parallel part files and apart from the model folder.
+    """
     label = f"log_{target}"
     data = prepare(train_features, target)
     training, test = split(data, seed)
     model = pipeline(label, seed, num_trees, max_depth).fit(training)
     model.write().overwrite().save(model_path)
     predictions = model.transform(test).select(*FEATURES, label, "prediction")
+    if predictions_path:
+        predictions.write.mode("overwrite").option("header", True).csv(predictions_path)
     status = regression_metrics(predictions, label).select(
         F.lit("success").alias("status"), F.lit(model_path).alias("path_model"), "n", "rmse"
     )

@@ -103,7 +103,10 @@ def run_training(
     and the factor reads it again.
     """
     train = cut(training_table(i, params, sem), "training")
-    _, _, status = training.train(train, model_path, target=target, seed=params.seed)
+    _, _, status = training.train(
+        train, model_path, target=target, seed=params.seed,
+        predictions_path=f"{model_path.rstrip('/')}_test_predictions",
+    )
     factor = census_ops.adjustment_factor(train, i.census, target=target, sem=sem)
     io.save_factor(factor, factor_path)
     return status
@@ -131,3 +134,19 @@ def run_inference(
     if checkpoint:
         out = cut(out, "scored")
     return out, report_ops.report(out)
+
+
+def write_outputs(scored: DataFrame, report: DataFrame, out_dir: str, csv: bool = True) -> dict[str, str]:
+    """Sinks of the scored clients and the report.
+
+    The scored table is written in parallel part files (CSV with a header,
+    or parquet); only the report, one row per label pair, is a single file.
+    """
+    base = out_dir.rstrip("/")
+    paths = {"scored": f"{base}/scored_clients", "report": f"{base}/report"}
+    if csv:
+        io.write_csv(scored, paths["scored"])
+    else:
+        io.write_parquet(scored, paths["scored"])
+    io.write_csv(report, paths["report"], single_file=True)
+    return paths

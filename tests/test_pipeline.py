@@ -190,5 +190,11 @@ def test_run_training_then_inference(spark, inputs_small, tmp_path):
     status = plan.run_training(inputs_small, P, str(tmp_path / "model"), str(tmp_path / "factor")).first()
     assert status.status == "success" and status.n > 0
     factor = io.load_factor(spark, str(tmp_path / "factor"))
-    out, _ = plan.run_inference(inputs_small, P, str(tmp_path / "model"), factor)
+    out, rep = plan.run_inference(inputs_small, P, str(tmp_path / "model"), factor)
     assert out.where(F.col("ind_activo_cap") == 1).where(F.col("ing_pot") > 0).count() > 0
+    preds = spark.read.option("header", True).csv(str(tmp_path / "model") + "_test_predictions")
+    assert preds.count() > 0 and "prediction" in preds.columns
+    paths = plan.write_outputs(out, rep, str(tmp_path / "out"))
+    back = io.read_csv(spark, paths["scored"], out.schema)
+    assert sorted(back.collect()) == sorted(out.collect())
+    assert io.read_csv(spark, paths["report"], rep.schema).count() == rep.count()
