@@ -142,6 +142,10 @@ def _pop_cap(i: Inputs):
     return populations.deposit_population(i.deposit_hist, i.income, PARAMS, SEM)
 
 
+def _pop_cap_counted(i: Inputs):
+    return populations.deposit_population_counted(i.deposit_hist, i.income, PARAMS, SEM)
+
+
 @query
 def deposits_account_month(spark, sf):
     i = _inputs(spark, sf)
@@ -173,13 +177,13 @@ def trimmed_total(spark, sf):
 @query
 def deposits_features(spark, sf):
     i = _inputs(spark, sf)
-    return deposits.deposit_features(i.account_hist, _pop_cap(i), PARAMS, SEM)
+    return deposits.deposit_features(i.account_hist, _pop_cap_counted(i), PARAMS, SEM)
 
 
 @query
 def deposits_enriched(spark, sf):
     i = _inputs(spark, sf)
-    f = deposits.deposit_features(i.account_hist, _pop_cap(i), PARAMS, SEM)
+    f = deposits.deposit_features(i.account_hist, _pop_cap_counted(i), PARAMS, SEM)
     return deposits.enrich(f, i.income, i.journey, PARAMS, SEM)
 
 
@@ -194,14 +198,14 @@ def calendar_spine(spark, sf):
 @query
 def transfer_features(spark, sf):
     i = _inputs(spark, sf)
-    pop = populations.transfer_population(i.transfer_hist, i.contact, PARAMS, SEM)
+    pop = populations.transfer_population_counted(i.transfer_hist, i.contact, PARAMS, SEM)
     return services.transfer_features(pop, i.calendar, i.transfer_hist, PARAMS, SEM)
 
 
 @query
 def fx_features(spark, sf):
     i = _inputs(spark, sf)
-    pop = populations.fx_population(i.fx_hist, i.contact, PARAMS, SEM)
+    pop = populations.fx_population_counted(i.fx_hist, i.contact, PARAMS, SEM)
     return services.fx_features(pop, i.calendar, i.fx_hist, PARAMS, SEM)
 
 
@@ -227,7 +231,7 @@ def unify_demographics(spark, sf):
 def sorted_output(spark, sf):
     """O1: sorting only at the sink, by client (range-partitioned sort)."""
     i = _inputs(spark, sf)
-    f = deposits.deposit_features(i.account_hist, _pop_cap(i), PARAMS, SEM)
+    f = deposits.deposit_features(i.account_hist, _pop_cap_counted(i), PARAMS, SEM)
     return f.orderBy("id_master", "per_ref")
 
 

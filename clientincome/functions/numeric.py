@@ -68,6 +68,32 @@ def trimmed_sum(values: Column, first: int, count: int, dtype: str = "decimal(38
     )
 
 
+def weighted_trimmed_sum(
+    items: Column, first: int, count: int, dtype: str = "decimal(38,2)"
+) -> Column:
+    """``trimmed_sum`` over a list in which each value stands for ``w`` copies.
+
+    ``items`` is an array of structs ``(v, w)``: value ``v`` repeated ``w``
+    times (``w`` >= 1).  The result equals ``trimmed_sum`` over the expanded
+    list, computed from the distinct entries only: sort, running totals of
+    the weights, then the entry covering each rank ``first..first+count-1``.
+    A client whose rows are copied millions of times still costs one entry
+    per distinct (month, value).
+    """
+    arr = F.sort_array(items, asc=True)
+    zero_w = F.lit(0).cast("bigint")
+    ends = F.transform(
+        arr, lambda x, i: F.aggregate(F.slice(arr, 1, i + 1), zero_w, lambda a, y: a + y["w"])
+    )
+    ranked = F.arrays_zip(arr.alias("e"), ends.alias("end"))
+    zero = F.lit(0).cast(dtype)
+    total = zero
+    for k in range(first, first + count):
+        hit = F.try_element_at(F.filter(ranked, lambda t: t["end"] >= k), F.lit(1))
+        total = (total + F.coalesce(hit["e"]["v"].cast(dtype), zero)).cast(dtype)
+    return total
+
+
 def canonical(df: DataFrame) -> DataFrame:
     """Output types at the query boundary: integers as BIGINT, numbers as DOUBLE."""
     out = []

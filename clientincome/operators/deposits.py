@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from clientincome.functions.numeric import floor_small, sum_nullable
 from clientincome.functions.periods import recency
+from clientincome.operators.populations import counted
 from clientincome.operators.sampling import first_per_key
 from clientincome.operators.services import (
+    WEIGHT,
     last_month_agg,
     months_active_agg,
     recency_agg,
+    total_agg,
     trimmed_agg,
 )
 from clientincome.semantics import REFERENCE, RunParams, Semantics
@@ -97,19 +100,23 @@ def client_features(
 ) -> DataFrame:
     """27 columns per (id_master, per_ref).
 
-    The population is joined to the client-months with its own multiplicity:
-    a client repeated by rank ties (Q10) counts its months once per copy, as
-    in the original.  REFERENCE drops clients without account rows (Q34).
+    A client repeated in the population by rank ties (Q10) counts its months
+    once per copy, as in the original; the population arrives counted (or is
+    counted here), so the copies are a weight ``n`` on the client's at most
+    one row per history month, never extra rows.  REFERENCE drops clients
+    without account rows (Q34).
     """
-    p = population.alias("p")
+    flags = ("ind_activo_cap", "ind_activo_afr", "ind_activo_cre")
+    p = counted(population, flag_maxes=flags).alias("p")
     m = months.drop("per_ref").alias("m")
     how = "left" if sem.deposits_keep_population else "inner"
     j = p.join(m, F.col("p.id_master") == F.col("m.id_master"), how).select(
         F.col("p.id_master").alias("id_master"),
         F.col("p.per_ref").alias("per_ref"),
-        "p.ind_activo_cap", "p.ind_activo_afr", "p.ind_activo_cre",
+        *[F.col(f"p.{f}").alias(f) for f in flags],
         "m.num_periodo_mes", "m.diff_mes",
         *[F.col(f"m.{c}") for c in MEASURES],
+        F.col("p.n").cast("bigint").alias(WEIGHT),
     )
     c = F.col
     aggs = [
@@ -129,7 +136,7 @@ def client_features(
     ]
     for m_ in ("mto_dep_cap", "num_dep_cap", "mto_ret_cap", "num_ret_cap",
                "mto_dep_cte_cap", "num_dep_cte_cap", "mto_ret_cte_cap", "num_ret_cte_cap"):
-        total = F.sum(m_)
+        total = total_agg(m_)
         if sem.deposits_keep_population:
             total = F.coalesce(total, F.lit(0))
         aggs.append(total.alias(f"tot_{m_}"))

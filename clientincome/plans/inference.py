@@ -32,10 +32,12 @@ class Features:
 
 
 def populations_of(i: Inputs, params: RunParams, sem: Semantics = REFERENCE):
+    """The three populations in counted form (one row per client, copies as
+    a count), which is what the feature builders need."""
     return (
-        populations.deposit_population(i.deposit_hist, i.income, params, sem),
-        populations.transfer_population(i.transfer_hist, i.contact, params, sem),
-        populations.fx_population(i.fx_hist, i.contact, params, sem),
+        populations.deposit_population_counted(i.deposit_hist, i.income, params, sem),
+        populations.transfer_population_counted(i.transfer_hist, i.contact, params, sem),
+        populations.fx_population_counted(i.fx_hist, i.contact, params, sem),
     )
 
 

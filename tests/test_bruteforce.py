@@ -131,3 +131,90 @@ def test_transfer_features_brute_force(spark):
         both = rows.num_pag_dex.notna() & (rows.num_pag_dex + rows.num_env_dex > 0)
         assert r.num_meses_distintos_movs_dex == int(both.sum())
         assert float(r.tot_mto_env_rem) == pytest.approx(rows.mto_env_rem.abs().sum())
+
+
+def _brute_transfer(hist: pd.DataFrame, contact: pd.DataFrame, cal) -> pd.DataFrame:
+    """The original's row semantics with every copy spelled out."""
+    m = hist[(hist.num_periodo_mes == P.mes) & (hist.id_master > 0)
+             & ((hist.ind_activo_rem + hist.ind_activo_dex) > 0)]
+    pop = m.merge(contact[contact.tipo_persona == "FI"][["id_master"]], on="id_master")
+    months = sorted({c for c in cal if P.start <= c <= P.mes})
+    rows = []
+    for _, p in pop.iterrows():
+        for mo in months or [None]:
+            h = hist[(hist.id_master == p.id_master) & (hist.num_periodo_mes == mo)]
+            for _, r in (h.iterrows() if len(h) else [(None, None)]):
+                get = (lambda c: None if r is None or pd.isna(r[c]) else r[c])
+                rows.append({
+                    "id_master": p.id_master, "dex": p.ind_activo_dex, "rem": p.ind_activo_rem,
+                    **{f"mto_{f}": abs(get(f"mto_{f}") or 0.0) for f in ("pag_rem", "env_rem", "pag_dex", "env_dex")},
+                    "num_pag_rem": get("num_pag_rem") or 0, "num_env_rem": get("num_env_rem") or 0,
+                    "num_pag_dex": get("num_pag_dex"), "num_env_dex": get("num_env_dex"),
+                })
+    out = {}
+    for cid, g in pd.DataFrame(rows).groupby("id_master"):
+        srt = sorted(g.mto_pag_rem)
+        both = g.num_pag_dex.notna() & g.num_env_dex.notna() & ((g.num_pag_dex.fillna(0) + g.num_env_dex.fillna(0)) > 0)
+        out[cid] = {
+            "ind_activo_dex": g.dex.sum(), "ind_activo_rem": g.rem.sum(),
+            "ult_pag_rem": 1 if (g.mto_pag_rem > 0).any() else 99,
+            "num_meses_distintos_movs_rem": int(((g.num_pag_rem + g.num_env_rem) > 0).sum()),
+            "num_meses_distintos_movs_dex": int(both.sum()),
+            "tot_mto_pag_rem_corr": sum(srt[1:5]) * 1.5,
+            "tot_mto_env_dex": g.mto_env_dex.sum(),
+            "tot_num_pag_rem": g.num_pag_rem.sum(),
+        }
+    return pd.DataFrame.from_dict(out, orient="index")
+
+
+def test_transfer_copies_are_weights(spark):
+    """Duplicate contact keys and duplicate history rows multiply the result
+    exactly as repeated rows would, without the copies being carried."""
+    rng = np.random.default_rng(9)
+    hist = []
+    for cid in range(1, 16):
+        for mth in MONTHS:
+            if rng.random() < 0.7:
+                row = (cid, mth, int(rng.integers(0, 2)), int(rng.integers(0, 2)),
+                       float(rng.integers(0, 400)), int(rng.integers(0, 3)), float(rng.integers(0, 200)),
+                       int(rng.integers(0, 3)), float(rng.integers(0, 90)),
+                       None if rng.random() < 0.3 else int(rng.integers(0, 3)),
+                       float(rng.integers(0, 50)), int(rng.integers(0, 2)))
+                hist += [row] * (3 if cid == 4 else 1)      # client 4: every row copied 3x
+    schema = ("id_master BIGINT, num_periodo_mes INT, ind_activo_rem INT, ind_activo_dex INT, "
+              "mto_pag_rem DOUBLE, num_pag_rem BIGINT, mto_env_rem DOUBLE, num_env_rem BIGINT, "
+              "mto_pag_dex DOUBLE, num_pag_dex BIGINT, mto_env_dex DOUBLE, num_env_dex BIGINT")
+    cols = [c.split()[0] for c in schema.split(", ")]
+    contact = [(c, "FI") for c in range(1, 16)] + [(7, "FI")] * 4 + [(9, "MO")]
+    cal = [200007, 200008, 200009, 200011, 200012]
+    exp = _brute_transfer(pd.DataFrame(hist, columns=cols),
+                          pd.DataFrame(contact, columns=["id_master", "tipo_persona"]), cal)
+    from clientincome.operators import populations
+
+    h = spark.createDataFrame(hist, schema)
+    c = spark.createDataFrame(contact, "id_master BIGINT, tipo_persona STRING")
+    calendar = spark.createDataFrame([(m,) for m in cal], "num_periodo_mes INT")
+    pop = populations.transfer_population_counted(h, c, P, REFERENCE)
+    got = services.transfer_features(pop, calendar, h, P, REFERENCE).toPandas().set_index("id_master")
+    assert set(got.index) == set(exp.index)
+    for col in exp.columns:
+        assert np.allclose(got.loc[exp.index, col].astype(float), exp[col].astype(float)), col
+    # the row-form population gives the same features
+    rowform = populations.transfer_population(h, c, P, REFERENCE)
+    got2 = services.transfer_features(rowform, calendar, h, P, REFERENCE).toPandas().set_index("id_master")
+    assert got2.sort_index().equals(got.sort_index())
+
+
+def test_deposit_population_counted_matches_rows(spark, inputs_small):
+    from pyspark.sql import functions as F
+
+    from clientincome.operators import populations
+
+    rows = populations.deposit_population(inputs_small.deposit_hist, inputs_small.income, P, REFERENCE)
+    cnt = populations.deposit_population_counted(inputs_small.deposit_hist, inputs_small.income, P, REFERENCE)
+    expanded = cnt.withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("_r", "n")
+    assert sorted(expanded.collect()) == sorted(rows.collect())
+    assert cnt.where(F.col("n") > 1).count() > 0  # the fixture has rank ties
+    a = deposits.deposit_features(inputs_small.account_hist, rows, P, REFERENCE)
+    b = deposits.deposit_features(inputs_small.account_hist, cnt, P, REFERENCE)
+    assert sorted(a.collect()) == sorted(b.collect())
