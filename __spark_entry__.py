@@ -30,7 +30,7 @@ from clientincome.operators.sampling import one_per_key
 from clientincome.plans import inference as plan
 from clientincome.semantics import REFERENCE, RunParams
 from clientincome.session import scratch_path
-from clientincome.sources import io
+from clientincome.sources import io, schemas
 from clientincome.sources.fixtures import Inputs, load_inputs
 
 PARAMS = RunParams(mes=200012, historia=6, seed=123)
@@ -54,14 +54,24 @@ _INPUTS: dict[tuple[str, int, str], Inputs] = {}
 
 
 def _inputs(spark: SparkSession, sf: str) -> Inputs:
-    """Input views of ``sf`` for this session, analysed once and reused by
-    every query (lazy plans only; no data is cached)."""
+    """The nine engine inputs derived from the tables in ``sf``.
+
+    The views over the driver's tables are staged once per session as parquet
+    extracts in the shared folder (the original also starts from extract
+    files); every query then reads the staged inputs, whole.
+    """
     key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf)
     if key not in _INPUTS:
-        _INPUTS[key] = load_inputs(spark, sf)
+        views = load_inputs(spark, sf)
+        _INPUTS[key] = schemas.stage_inputs(views, scratch_path(spark, "inputs"))
     return _INPUTS[key]
 
 
+def stage(spark: SparkSession, sf: str) -> None:
+    """Stage the inputs of ``sf`` now (bench.py times this step on its own)."""
+    _inputs(spark, sf)
+
+
 # ------------------------------------------------------------ sources / sinks
 @query
 def src_csv(spark, sf):

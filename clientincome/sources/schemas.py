@@ -102,3 +102,11 @@ def write_inputs(inputs: Inputs, root: str, fmt: str = "parquet") -> dict[str, s
             w.parquet(path)
         paths[name] = path
     return paths
+
+
+def stage_inputs(inputs: Inputs, root: str) -> Inputs:
+    """Write every input once under ``root`` (a folder in the shared
+    checkpoint location) and return the inputs read back with the declared
+    types: the extract step the pipeline starts from."""
+    spark = inputs.contact.sparkSession
+    return read_inputs_parquet(spark, write_inputs(inputs, root))
