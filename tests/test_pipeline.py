@@ -198,3 +198,17 @@ def test_run_training_then_inference(spark, inputs_small, tmp_path):
     back = io.read_csv(spark, paths["scored"], out.schema)
     assert sorted(back.collect()) == sorted(out.collect())
     assert io.read_csv(spark, paths["report"], rep.schema).count() == rep.count()
+
+
+def test_job_cli_train_and_infer(spark, inputs_small, tmp_path):
+    from clientincome.plans import job
+    from clientincome.sources import schemas
+
+    root = str(tmp_path / "extracts")
+    schemas.write_inputs(inputs_small, root, fmt="csv")
+    res = job.run(spark, ["all", "--mes", "200012", "--inputs", root, "--format", "csv",
+                          "--models", str(tmp_path / "models"), "--out", str(tmp_path / "out")])
+    assert res["training"]["status"] == "success"
+    scored = spark.read.option("header", True).csv(res["outputs"]["scored"])
+    assert scored.count() == plan.features(inputs_small, P).unified.count()
+    assert len(scored.columns) == 49
