@@ -80,3 +80,22 @@ def test_cluster_conf_scales_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) >= 500_000
     assert int(small["spark.sql.shuffle.partitions"]) == 80
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_weighted_trimmed_sum_equals_expansion(spark):
+    import random
+
+    from clientincome.functions.numeric import weighted_trimmed_sum
+
+    random.seed(3)
+    rows = []
+    for g in range(300):
+        for _ in range(random.randint(1, 6)):
+            v = None if random.random() < 0.1 else float(random.randint(0, 5) * 10)
+            rows.append((g, v, random.randint(1, 4)))
+    df = spark.createDataFrame(rows, "g INT, v DOUBLE, w BIGINT")
+    expanded = df.withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("w"))))
+    exp = expanded.groupBy("g").agg(trimmed_sum(F.collect_list(F.struct("v")), 2, 4, "double").alias("a"))
+    got = df.groupBy("g").agg(weighted_trimmed_sum(F.collect_list(F.struct("v", "w")), 2, 4, "double").alias("b"))
+    assert exp.join(got, "g").where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    assert got.count() == 300

@@ -111,6 +111,9 @@ def test_corrected_preset_end_to_end(spark, inputs_small):
     assert all(r.cod_grupo_renta in {
         scoring.G_OBSERVED, scoring.G_ESTIMATED, scoring.G_NOT_ESTIMATED, scoring.G_NONE} for r in rows)
     assert "tot_mto_env_rem_corr" in f.unified.columns  # Q6 kept
+    rep = report.report(out).collect()
+    assert sum(r["count"] for r in rep) == sum(1 for r in rows if r.ing_renta_indirecta is not None)
+    assert abs(sum(r["prop"] for r in rep) - 100.0) < 1e-3
 
 
 def test_model_is_seeded_and_saved(spark, inputs_small, tmp_path):
