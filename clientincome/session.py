@@ -13,6 +13,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # joins on (client, month) may reuse an existing partitioning by client:
+    # the spine and the per-client aggregate then need no extra shuffle
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -46,6 +49,7 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int) -> dict[
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
