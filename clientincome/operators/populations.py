@@ -243,16 +243,19 @@ def _service_population_counted(hist, contact, params, sem, active, flags):
     fcols = [
         (F.coalesce(F.col(f), F.lit(0)) if sem.fill_null_measures else F.col(f)).alias(f) for f in flags
     ]
-    h = h.select("id_master", "num_periodo_mes", *fcols).groupBy("id_master", *flags).agg(
-        F.count(F.lit(1)).alias("h_n"), F.max("num_periodo_mes").alias("per_ref")
+    # per client: history rows of the month and their flag sums; every contact
+    # copy repeats all of them, so the join multiplies by the contact count
+    h = h.select("id_master", "num_periodo_mes", *fcols).groupBy("id_master").agg(
+        F.count(F.lit(1)).alias("h_n"),
+        F.max("num_periodo_mes").alias("per_ref"),
+        *[F.sum(f).alias(f) for f in flags],
     )
     fi = natural_persons(contact, sem).groupBy("id_master").agg(F.count(F.lit(1)).alias("c_n"))
-    j = h.join(fi, "id_master", "inner")
-    copies = F.col("h_n") * F.col("c_n")
-    return j.groupBy("id_master").agg(
-        F.max("per_ref").alias("per_ref"),
-        F.sum(copies).alias("n"),
-        *[F.sum(F.col(f) * copies).alias(f) for f in flags],
+    return h.join(fi, "id_master", "inner").select(
+        "id_master",
+        "per_ref",
+        (F.col("h_n") * F.col("c_n")).alias("n"),
+        *[(F.col(f) * F.col("c_n")).alias(f) for f in flags],
     )
 
 
