@@ -218,7 +218,7 @@ def income_rules(df: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
     return df.withColumns({"valor_renta": value, "regla": rule, "etiqueta": group})
 
 
-def _has(label: str, sem: Semantics, regex: bool = False) -> Column:
+def _has(label: str, regex: bool = False) -> Column:
     r = F.col("regla")
     hit = r.rlike(label) if regex else r.contains(label)
     return F.coalesce(hit, F.lit(False))
@@ -243,17 +243,17 @@ def indicators(df: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
     out = df.withColumns(
         {
             "ind_renta_directa": flag(
-                (_has(L_DIRECT, sem) | _has(L_CAPACITY, sem)) & (dbl("mto_ing_mes") > 0)
+                (_has(L_DIRECT) | _has(L_CAPACITY)) & (dbl("mto_ing_mes") > 0)
             ),
             "ind_rfm_cap_dif": flag(
-                _has(L_EXTRA, sem) & (F.col("ing_extraordinarios_cap") > 0)
+                _has(L_EXTRA) & (F.col("ing_extraordinarios_cap") > 0)
             ),
             "ind_rfm_cap_tot": flag(
-                _has(L_CAP, sem, regex=not sem.literal_rfm_label) & (F.col("RFM_cap") > 0)
+                _has(L_CAP, regex=not sem.literal_rfm_label) & (F.col("RFM_cap") > 0)
             ),
-            "ind_rfm_servicios": flag(_has(L_SERVICES, sem) & (F.col("RFM_servicios") > 0)),
-            "ind_pot": flag(_has(L_POTENTIAL, sem) & (dbl("regr") > 0)),
-            "ind_inegi": flag(_has(L_CENSUS, sem) & (F.col("ingreso_prom_succ") > 0)),
+            "ind_rfm_servicios": flag(_has(L_SERVICES) & (F.col("RFM_servicios") > 0)),
+            "ind_pot": flag(_has(L_POTENTIAL) & (dbl("regr") > 0)),
+            "ind_inegi": flag(_has(L_CENSUS) & (F.col("ingreso_prom_succ") > 0)),
         }
     )
     return out.withColumns(
