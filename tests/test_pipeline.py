@@ -87,12 +87,13 @@ def test_spine_has_history_rows(spark, inputs_small):
     assert months <= spine.max_history_months(P)
 
 
-def test_partitioning_does_not_change_results(spark):
-    q = entry.queries()["unify_demographics"]
+@pytest.mark.parametrize("key", ["unify_demographics", "report"])
+def test_partitioning_does_not_change_results(spark, key):
+    q = entry.queries()[key]
     base = sorted(q(spark, SF_SMALL).collect())
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        for n in ("1", "3"):
+        for n in ("1", "4", "200"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
             assert sorted(q(spark, SF_SMALL).collect()) == base
     finally:
