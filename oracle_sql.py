@@ -475,7 +475,7 @@ def _with() -> str:
 
 def _typed(source: str, cols: list[tuple[str, str]], where: str = "") -> str:
     """Final projection with explicit output types: B=BIGINT D=DOUBLE S=VARCHAR
-    R=round_even(DOUBLE, 4), T=DATE, ''=as is."""
+    R=round_even(DOUBLE, 4), L=round_even(DOUBLE, 10), ''=as is."""
     sel = []
     for name, t in cols:
         if t == "B":
@@ -484,6 +484,8 @@ def _typed(source: str, cols: list[tuple[str, str]], where: str = "") -> str:
             sel.append(f"CAST({name} AS DOUBLE) AS {name}")
         elif t == "R":
             sel.append(f"round_even(CAST({name} AS DOUBLE), 4) AS {name}")
+        elif t == "L":  # log label shown at 10 decimals
+            sel.append(f"round_even(CAST({name} AS DOUBLE), 10) AS {name}")
         elif t == "S":
             sel.append(f"CAST({name} AS VARCHAR) AS {name}")
         else:
@@ -575,7 +577,7 @@ def oracle_sql() -> dict[str, str]:
     train_cols = [("id_master", "B"), ("per_ref", "B"), ("mto_ing_mes", "D"), ("genero", "S"), ("edad", "B"),
                   ("entidad", "S"), ("cod_postal", "B"), ("saldo", "D"), ("potencial", "D"), ("recorrido", "B")]
     q["train_features"] = _typed("train_feat", train_cols)
-    prep_cols = [("saldo", "D"), ("potencial", "D"), ("recorrido", "B"), ("edad", "B"), ("log_mto_ing_mes", "D")]
+    prep_cols = [("saldo", "D"), ("potencial", "D"), ("recorrido", "B"), ("edad", "B"), ("log_mto_ing_mes", "L")]
     q["train_prep"] = _typed("tprep", prep_cols)
     bucket = (f"CAST('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(saldo AS VARCHAR), CAST(potencial AS VARCHAR), "
               f"CAST(recorrido AS VARCHAR), CAST(edad AS VARCHAR))), 1, 8) AS UBIGINT) % 100 < 80")
