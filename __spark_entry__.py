@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from clientincome.functions import periods as P
 from clientincome.functions.numeric import canonical, round4, trimmed_sum
 from clientincome.operators import census as census_ops
+from clientincome.operators import copies
 from clientincome.operators import deposits, demographics, populations, scoring, services, training, unify
 from clientincome.operators import report as report_ops
 from clientincome.operators.sampling import one_per_key
@@ -194,7 +195,7 @@ def deposits_features(spark, sf):
 def deposits_enriched(spark, sf):
     i = _inputs(spark, sf)
     f = deposits.deposit_features(i.account_hist, _pop_cap_counted(i), PARAMS, SEM)
-    return deposits.enrich(f, i.income, i.journey, PARAMS, SEM)
+    return copies.expand(deposits.enrich(f, i.income, i.journey, PARAMS, SEM))
 
 
 # ------------------------------------------------------------------- services
@@ -229,7 +230,7 @@ def feat_demographics(spark, sf):
 @query(name="unify")
 def unify_features(spark, sf):
     f = plan.features(_inputs(spark, sf), PARAMS, SEM)
-    return unify.unify(f.deposits, f.fx, f.transfers, SEM)
+    return copies.expand(unify.unify(f.deposits, f.fx, f.transfers, SEM))
 
 
 @query
@@ -363,7 +364,7 @@ def _clients(spark, sf):
     pipeline.
     """
     i = _inputs(spark, sf)
-    u = plan.cut(plan.features(i, PARAMS, SEM).unified, "unified")
+    u = plan.unified_cut(plan.features(i, PARAMS, SEM))
     c = census_ops.with_census_income(u, i.census, SEM)
     c = training.linear_income(c, STAND_IN)
     # the factor is a training artefact: saved as a one-row table, loaded back

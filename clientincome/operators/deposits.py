@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clientincome.functions.numeric import floor_small, sum_nullable
 from clientincome.functions.periods import recency
+from clientincome.operators import copies
 from clientincome.operators.populations import counted
 from clientincome.operators.sampling import first_per_key
 from clientincome.operators.services import (
@@ -184,11 +185,14 @@ LAST_MONTH_COLS = ("mto_tot_dep_cap_ult_mes", "mto_dep_cte_cap_ult_mes")
 
 def month_slice(df: DataFrame, params: RunParams, cols, sem: Semantics) -> DataFrame:
     """A client-month dimension restricted to the reference month and to
-    resolved ids (the only ones a population holds)."""
+    resolved ids (the only ones a population holds), as distinct rows with
+    their copy count ``_c`` (one row per client when deduplicated)."""
     s = df.where((F.col("num_periodo_mes") == params.mes) & (F.col("id_master") > 0)).select(
         "id_master", *cols
     )
-    return first_per_key(s, ["id_master"]) if sem.dedupe_dimensions else s
+    if sem.dedupe_dimensions:
+        return first_per_key(s, ["id_master"]).withColumn(copies.COUNT, F.lit(1).cast("bigint"))
+    return copies.counted_rows(s, ["id_master"])
 
 
 def enrich(
@@ -204,7 +208,9 @@ def enrich(
     ``per_ref = mes``, so the dimensions are cut to that month at the scan and
     joined on the id alone: the features keep their id partitioning and only
     the dimensions shuffle.  Repeated dimension keys repeat clients (Q29)
-    unless deduplicated.  REFERENCE drops the two last-month columns (Q6).
+    unless deduplicated; the repeats travel as the row weight ``_w`` (see
+    ``operators.copies``; ``copies.expand`` turns them into rows).
+    REFERENCE drops the two last-month columns (Q6).
     """
     f = features.alias("a")
     inc = month_slice(income, params, [c for c, _ in INCOME_COLS], sem).alias("b")
@@ -219,4 +225,5 @@ def enrich(
         *[F.coalesce(F.col(f"b.{c}"), F.lit(d)).alias(c) for c, d in INCOME_COLS],
         *[F.coalesce(F.col(f"c.{c}"), F.lit(d)).alias(c) for c, d in JOURNEY_COLS],
         *[F.col(f"a.{c}").alias(c) for c in keep],
+        (copies.weight_of(features, "a") * copies.times_count("b") * copies.times_count("c")).alias(copies.WEIGHT),
     )

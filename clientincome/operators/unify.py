@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientincome.operators.deposits import FEATURE_COLS, INCOME_COLS, JOURNEY_COLS, LAST_MONTH_COLS
+from clientincome.operators import copies
 from clientincome.operators.sampling import first_per_key
 from clientincome.semantics import REFERENCE, RunParams, Semantics
 
@@ -62,6 +63,8 @@ def unify(
     sel += [F.coalesce(F.col(f"a.{n}"), F.lit(_default(n))).alias(n) for n in dep_cols]
     sel += [F.coalesce(F.col(f"b.{n}"), F.lit(_default(n))).alias(n) for n in FX_COLS]
     sel += [F.coalesce(F.col(f"c.{n}"), F.lit(_default(n))).alias(n) for n in env_cols]
+    if copies.WEIGHT in deposits.columns:  # repeats from the deposit-side dimensions
+        sel.append(copies.weight_of(deposits, "a").alias(copies.WEIGHT))
     return abc.select(*sel)
 
 
@@ -71,14 +74,17 @@ def add_demographics(unified: DataFrame, demographics: DataFrame) -> DataFrame:
     Only resolved ids (> 0) can match a client, so the contact side is cut to
     them at the scan: a large block of unresolved ids would otherwise shuffle
     into one task on the side of the outer join that AQE cannot split.
+    Repeated contact rows travel as the weight ``_w`` (``copies.expand``).
     """
-    u, d = unified.alias("u"), demographics.where(F.col("id_master") > 0).alias("d")
+    u = unified.alias("u")
+    d = copies.counted_rows(demographics.where(F.col("id_master") > 0), ["id_master"]).alias("d")
     return u.join(d, F.col("u.id_master") == F.col("d.id_master"), "left").select(
-        "u.*",
+        *[F.col(f"u.{c}") for c in unified.columns if c != copies.WEIGHT],
         F.coalesce(F.col("d.genero"), F.lit("NO DISPONIBLE")).alias("genero"),
         F.coalesce(F.col("d.edad"), F.lit(0)).alias("edad"),
         F.coalesce(F.col("d.entidad"), F.lit("NO DISPONIBLE")).alias("entidad"),
         F.coalesce(F.col("d.cod_postal"), F.lit(0)).alias("cod_postal"),
+        (copies.weight_of(unified, "u") * copies.times_count("d")).alias(copies.WEIGHT),
     )
 
 
@@ -99,8 +105,10 @@ def training_features(
     )
     if sem.dedupe_dimensions:
         j = first_per_key(j, ["id_master"])
-    p, d, r = population.alias("p"), demographics.where(F.col("id_master") > 0).alias("d"), j.alias("r")
-    return (
+    p = population.alias("p")
+    d = copies.counted_rows(demographics.where(F.col("id_master") > 0), ["id_master"]).alias("d")
+    r = copies.counted_rows(j, ["id_master"]).alias("r")
+    out = (
         p.join(d, F.col("p.id_master") == F.col("d.id_master"), "left")
         .join(r, F.col("p.id_master") == F.col("r.id_master"), "left")
         .select(
@@ -114,5 +122,7 @@ def training_features(
             F.coalesce(F.col("r.saldo"), F.lit(0)).alias("saldo"),
             F.coalesce(F.col("r.potencial"), F.lit(0)).alias("potencial"),
             F.coalesce(F.col("r.recorrido"), F.lit(0)).alias("recorrido"),
+            (copies.times_count("d") * copies.times_count("r")).alias(copies.WEIGHT),
         )
     )
+    return copies.expand(out)

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from clientincome.operators import census as census_ops
+from clientincome.operators import copies
 from clientincome.operators import deposits, demographics, populations, scoring, services, unify
 from clientincome.operators import report as report_ops
 from clientincome.operators import training
@@ -25,10 +26,18 @@ from clientincome.sources.fixtures import Inputs
 
 @dataclass
 class Features:
+    """Feature tables of a run.  ``deposits`` (enriched) and
+    ``unified_weighted`` carry repeated dimension rows as the weight ``_w``;
+    ``unified`` is the same table with the repeats as rows."""
+
     deposits: DataFrame
     fx: DataFrame
     transfers: DataFrame
-    unified: DataFrame
+    unified_weighted: DataFrame
+
+    @property
+    def unified(self) -> DataFrame:
+        return copies.expand(self.unified_weighted)
 
 
 def populations_of(i: Inputs, params: RunParams, sem: Semantics = REFERENCE):
@@ -54,6 +63,13 @@ def features(i: Inputs, params: RunParams, sem: Semantics = REFERENCE) -> Featur
     return Features(dep, fx, env, unify.add_demographics(u, demo))
 
 
+def unified_cut(f: Features) -> DataFrame:
+    """The unified features written once (weighted, so a client repeated by
+    dimension copies is one row in every shuffle), then expanded with hot
+    clients spread over tasks."""
+    return copies.expand_spread(cut(f.unified_weighted, "unified"))
+
+
 def score(
     unified: DataFrame,
     census: DataFrame,
@@ -130,7 +146,7 @@ def run_inference(
     """
     model = training.load(model_path)
     f = features(i, params, sem)
-    unified = cut(f.unified, "unified") if checkpoint else f.unified
+    unified = unified_cut(f) if checkpoint else f.unified
     scored = score(unified, i.census, factor, lambda d: training.model_income(d, model), sem)
     out = report_ops.scored_clients(scored)
     if checkpoint:

@@ -218,3 +218,46 @@ def test_deposit_population_counted_matches_rows(spark, inputs_small):
     a = deposits.deposit_features(inputs_small.account_hist, rows, P, REFERENCE)
     b = deposits.deposit_features(inputs_small.account_hist, cnt, P, REFERENCE)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_dimension_copies_repeat_rows(spark, inputs_small):
+    """Repeated contact and journey keys repeat unified rows (REFERENCE),
+    carried as weights and expanded at the end."""
+    import dataclasses
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from clientincome.plans import inference as plan
+
+    base = plan.features(inputs_small, P, REFERENCE)
+    dep_ids = {r.id_master for r in base.deposits.select("id_master").collect()}
+    svc_ids = {r.id_master for r in base.fx.select("id_master").union(base.transfers.select("id_master")).collect()}
+    only_dep = sorted(dep_ids - svc_ids)[:3]
+    a, b, c = only_dep
+    contact = inputs_small.contact
+    journey = inputs_small.journey
+    contact2 = contact.unionByName(contact.where(F.col("id_master").isin(a, c))).unionByName(
+        contact.where(F.col("id_master").isin(a, c)))
+    journey2 = journey.unionByName(journey.where(F.col("id_master").isin(b, c)))
+    copied = dataclasses.replace(inputs_small, contact=contact2, journey=journey2)
+    got = Counter(plan.features(copied, P, REFERENCE).unified.collect())
+    want = Counter()
+    mult = {a: 3, b: 2, c: 6}
+    for r in base.unified.collect():
+        want[r] += mult.get(r.id_master, 1)
+    assert got == want
+    # the inference plan's spread expansion gives the same rows
+    spread = Counter(plan.unified_cut(plan.features(copied, P, REFERENCE)).collect())
+    assert spread == want
+
+
+def test_expand_spread_equals_expand(spark):
+    from collections import Counter
+
+    from clientincome.operators import copies
+
+    df = spark.createDataFrame([(1, "x", 1), (2, "y", 7), (3, "z", 23)], "id_master BIGINT, v STRING, _w BIGINT")
+    plain = Counter(copies.expand(df).collect())
+    spread = Counter(copies.expand_spread(df, chunk=5).collect())
+    assert plain == spread and sum(plain.values()) == 31
