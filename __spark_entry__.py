@@ -355,6 +355,22 @@ def census_income(spark, sf):
     return census_ops.with_census_income(u, i.census, SEM).select("id_master", "cod_postal", "ingreso_prom_succ")
 
 
+_FACTORS: dict[tuple[str, int, str], str] = {}
+
+
+def _factor_path(spark: SparkSession, sf: str) -> str:
+    """The adjustment factor is a training artefact: computed from the
+    training table once per session and folder, saved as a one-row table,
+    and loaded by the inference queries (as the original loads its saved
+    factor).  The ``adjust_factor`` query computes it afresh."""
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf)
+    if key not in _FACTORS:
+        path = scratch_path(spark, "factor")
+        io.save_factor(_factor(_inputs(spark, sf)), path)
+        _FACTORS[key] = path
+    return _FACTORS[key]
+
+
 def _clients(spark, sf):
     """Unified clients with census income, stand-in model income and factor.
 
@@ -367,10 +383,7 @@ def _clients(spark, sf):
     u = plan.unified_cut(plan.features(i, PARAMS, SEM))
     c = census_ops.with_census_income(u, i.census, SEM)
     c = training.linear_income(c, STAND_IN)
-    # the factor is a training artefact: saved as a one-row table, loaded back
-    path = scratch_path(spark, "factor")
-    io.save_factor(_factor(i), path)
-    return census_ops.adjusted_census(c, io.load_factor(spark, path))
+    return census_ops.adjusted_census(c, io.load_factor(spark, _factor_path(spark, sf)))
 
 
 @query
