@@ -1,9 +1,9 @@
 """End-to-end plans: feature building, scoring, training.
 
 The stages are plain DataFrame functions; a plan wires them and decides where
-lineage is cut.  Cuts are reliable checkpoints in the shared folder named by
-``spark.checkpoint.dir`` (never machine-local storage), so a lost executor
-recomputes from the last cut, not from the raw history.
+lineage is cut.  Cuts are parquet tables written in the shared folder named
+by ``spark.checkpoint.dir`` (never machine-local storage on a cluster), so a
+lost executor recomputes from the last cut, not from the raw history.
 """
 
 from __future__ import annotations
