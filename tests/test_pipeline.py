@@ -216,3 +216,26 @@ def test_job_cli_train_and_infer(spark, inputs_small, tmp_path):
     scored = spark.read.option("header", True).csv(res["outputs"]["scored"])
     assert scored.count() == plan.features(inputs_small, P).unified.count()
     assert len(scored.columns) == 49
+
+
+def test_feature_plan_shape(spark):
+    """The scale properties of the feature plan, as planned without runtime
+    statistics or size-based broadcasts (as for very large inputs)."""
+    import re
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        i = entry._inputs(spark, SF_SMALL)
+        text = plan.features(i, P).unified_weighted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "CartesianProduct" not in text
+    assert not re.search(r"\bWindow \[", text)  # no window over raw rows
+    nested = re.findall(r"BroadcastNestedLoopJoin (\w+), (\w+)", text)
+    assert nested == [("BuildRight", "LeftOuter")] * 2  # the two bounded month spines
+    for keys in re.findall(r"SortMergeJoin \[([^\]]*)\]", text):
+        assert re.match(r"(coalesce\()?id_master", keys), keys  # every shuffle join keyed by client
