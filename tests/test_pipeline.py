@@ -216,6 +216,11 @@ def test_job_cli_train_and_infer(spark, inputs_small, tmp_path):
     scored = spark.read.option("header", True).csv(res["outputs"]["scored"])
     assert scored.count() == plan.features(inputs_small, P).unified.count()
     assert len(scored.columns) == 49
+    res2 = job.run(spark, ["all", "--mes", "200012", "--inputs", root, "--format", "csv", "--corrected",
+                           "--models", str(tmp_path / "models_c"), "--out", str(tmp_path / "out_c")])
+    scored_c = spark.read.option("header", True).csv(res2["outputs"]["scored"])
+    assert scored_c.count() == plan.features(inputs_small, P, CORRECTED).unified.count()
+    assert scored_c.where(F.col("cod_grupo_renta") == "nan").count() == 0
 
 
 def test_feature_plan_shape(spark):
