@@ -4,7 +4,8 @@
 ``queries()`` holds one callable per implemented operator; ``oracle_sql()``
 the matching DuckDB SQL (see ``oracle_sql.py``).  Every query reads the
 driver's test tables through the input views of
-``clientincome.sources.fixtures`` and runs over whole tables.
+``clientincome.sources.fixtures`` (staged once per session as parquet
+extracts in the shared folder) and runs over whole tables.
 """
 
 from __future__ import annotations
