@@ -69,6 +69,20 @@ def pipeline(label: str, seed: int = 123, num_trees: int = 20, max_depth: int =
     return Pipeline(stages=[assembler, forest])
 
 
+def fixed_layout(training: DataFrame, label: str) -> DataFrame:
+    """The training rows in a layout that does not depend on shuffle timing.
+
+    The forest's bagging draws per partition with a seeded generator, so a
+    seed only reproduces a model when every row lands in the same partition at
+    the same position.  Rows are hash-partitioned on all their columns (they
+    are distinct after ``prepare``, so no value combination concentrates) into
+    the configured number of partitions, then sorted within partitions.
+    """
+    cols = [*FEATURES, label]
+    parts = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return training.repartition(parts, *cols).sortWithinPartitions(*cols)
+
+
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """One row: n, rmse, mse, mae, r2, explained variance (M7, M8)."""
     y, p = dbl(label), dbl(prediction)
@@ -108,7 +122,7 @@ def train(
     label = f"log_{target}"
     data = prepare(train_features, target)
     training, test = split(data, seed)
-    model = pipeline(label, seed, num_trees, max_depth).fit(training)
+    model = pipeline(label, seed, num_trees, max_depth).fit(fixed_layout(training, label))
     model.write().overwrite().save(model_path)
     predictions = model.transform(test).select(*FEATURES, label, "prediction")
     if predictions_path:
