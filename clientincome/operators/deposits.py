@@ -135,8 +135,7 @@ def client_features(
         months_active_agg(c("num_dep_cte_cap")).alias("num_meses_distintos_dep_cte_cap"),
         months_active_agg(c("num_ret_cte_cap")).alias("num_meses_distintos_ret_cte_cap"),
     ]
-    for m_ in ("mto_dep_cap", "num_dep_cap", "mto_ret_cap", "num_ret_cap",
-               "mto_dep_cte_cap", "num_dep_cte_cap", "mto_ret_cte_cap", "num_ret_cte_cap"):
+    for m_ in MEASURES:
         total = total_agg(m_)
         if sem.deposits_keep_population:
             total = F.coalesce(total, F.lit(0))
