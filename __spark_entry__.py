@@ -35,6 +35,13 @@ from clientincome.session import scratch_path
 from clientincome.sources import io, schemas
 from clientincome.sources.fixtures import Inputs, load_inputs
 
+try:  # the corpus operators and their pipeline are an optional part
+    from clientincome.llm import registry as _corpus
+except ModuleNotFoundError as e:
+    if e.name not in ("clientincome.llm", "clientincome.llm.registry"):
+        raise
+    _corpus = None
+
 PARAMS = RunParams(mes=200012, historia=6, seed=123)
 SEM = REFERENCE
 # Deterministic linear stand-in for the forest in SQL-checked queries:
@@ -491,12 +498,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _typed(v) for k, v in _QUERIES.items()}
+    own = {k: _typed(v) for k, v in _QUERIES.items()}
+    return {**own, **_corpus.queries()} if _corpus else own
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import oracle_sql as _sql
 
     sql = _sql()
-    return {k: v for k, v in sql.items() if k in _QUERIES}
+    own = {k: v for k, v in sql.items() if k in _QUERIES}
+    return {**own, **_corpus.oracle_sql()} if _corpus else own
 
