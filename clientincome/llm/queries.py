@@ -115,7 +115,7 @@ with line as (
 )
 select doc_id, len(ls)::bigint as n_lines, coalesce(len(pos), 0)::bigint as n_removed,
        md5(array_to_string(list_transform(
-         list_filter(generate_series(1, len(ls)), i -> not list_contains(coalesce(pos, []), i)), i -> ls[i]), chr(10))) as kept_md5
+         list_filter(generate_series(1, len(ls)), lambda i: not list_contains(coalesce(pos, []), i)), lambda i: ls[i]), chr(10))) as kept_md5
 from joined
 """
 
@@ -129,7 +129,7 @@ with p as (
 ), bits as (
   -- 40 hex digits are 160 bits, 32 base32 digits of five bits
   select d.page_id, d.n, d.hex, f.first_page,
-         list_aggregate(list_transform(generate_series(0, 31), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+         list_aggregate(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
            (('0x' || substr(d.hex || '000', 1 + (5 * i) // 4, 3))::bigint >> (7 - (5 * i) % 4)) & 31)::bigint, 1)), 'string_agg', '') as b32
   from d join f using (hex)
 )
