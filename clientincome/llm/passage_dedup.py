@@ -16,7 +16,10 @@ through anchors first:
    context and place, and sorted in their bucket.  Of equal contexts all but
    the first are repeats whole.  A first context whose gram has others beside
    it, or lies at the edge of its bucket, is undecided.
-3. The suffixes of undecided contexts are range-partitioned by their leading
+3. Undecided runs are cut in blocks of BLOCK suffixes, by their distance from
+   the anchor, and settled in the same way: the bytes that all of a block's
+   strings share take the place of the gram.
+4. The suffixes of undecided blocks are range-partitioned by their leading
    bytes, fingerprint and place and sorted in their bucket; the first suffix of
    a bucket is compared with the last of the bucket before.
 
@@ -40,10 +43,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientincome.llm.common import partitions, small_batches, written
+from clientincome.llm.common import discard, partitions, small_batches, written
 
 SPAN = 100
 GRAM = 24
+BLOCK = 8
 SLICE = 1 << 20  # bytes hashed together
 
 _RANDOM = np.random.default_rng(7)
@@ -97,7 +101,7 @@ def _slices(texts: list[bytes], span: int) -> Iterator[tuple[np.ndarray, list[tu
 
 
 def anchors(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
-    """Arrays (gram hash, context hash, text, first suffix, suffixes) of the anchors."""
+    """Arrays (gram hash, context hash, text, run) of the anchors; see ``packed`` for runs."""
     for data, parts in _slices(texts, span):
         h = _Hashes(data)
         at = np.arange(len(data) - gram + 1)
@@ -117,7 +121,16 @@ def anchors(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> Iterator[
             first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
             count = np.diff(np.r_[first, n])
             context = h.of(first + where, first + where + count + span - 1)
-            yield grams[mine[first]], context, np.full(len(first), i), first + start, count
+            yield grams[mine[first]], context, np.full(len(first), i), packed(first + start, mine[first] - where - first, count)
+
+
+def packed(first: np.ndarray, ahead: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A run of ``count`` suffixes from byte ``first``, with its anchor ``ahead`` bytes on, in one number."""
+    return (first * 128 + ahead) * 128 + count
+
+
+def unpacked(run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return run >> 14, (run >> 7) & 127, run & 127
 
 
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
@@ -160,21 +173,26 @@ def _documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return keyed.select("place", "text").dropDuplicates(["place"]), keyed
 
 
+RUNS = ["core", "context", "place", "run"]
+
+
 def _anchor_table(texts: DataFrame, span: int, gram: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             place = b.column(0).to_numpy()
-            for grams, context, i, first, count in anchors(b.column(1).to_pylist(), span, gram):
+            for grams, context, i, run in anchors(b.column(1).to_pylist(), span, gram):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams.view(np.int64)), pa.array(context.view(np.int64)), pa.array(place[i]), pa.array(first * 128 + count)],
-                    ["gram", "context", "place", "run"],
+                    [pa.array(grams.view(np.int64)), pa.array(context.view(np.int64)), pa.array(place[i]), pa.array(run)], RUNS
                 )
 
-    return texts.mapInArrow(find, "gram long, context long, place long, run long")
+    return texts.mapInArrow(find, "core long, context long, place long, run long")
 
 
 def _runs(found: DataFrame, buckets: int) -> DataFrame:
-    """(place, run, repeat): anchors that are repeats, or undecided (repeat false)."""
+    """(place, run, repeat): runs that are repeats whole, or undecided (repeat false).
+
+    ``found``: (core, context, place, run), where equal strings have equal cores.
+    """
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = _arrays(batches)
@@ -182,11 +200,10 @@ def _runs(found: DataFrame, buckets: int) -> DataFrame:
         if not n:
             return
         order = multikey_order(columns)
-        gram, context, place, run = (c[order] for c in columns)
-        same_gram = gram[1:] == gram[:-1]
-        repeat = np.r_[False, same_gram & (context[1:] == context[:-1])]
+        core, context, place, run = (c[order] for c in columns)
+        repeat = np.r_[False, (core[1:] == core[:-1]) & (context[1:] == context[:-1])]
         first = np.flatnonzero(~repeat)
-        near = gram[first][1:] == gram[first][:-1]  # first contexts of one gram
+        near = core[first][1:] == core[first][:-1]  # first contexts of one core
         undecided = np.r_[True, near] | np.r_[near, True]
         for rows, flag in ((np.flatnonzero(repeat), True), (first[undecided], False)):
             for k in range(0, len(rows), 100_000):
@@ -195,41 +212,65 @@ def _runs(found: DataFrame, buckets: int) -> DataFrame:
                     [pa.array(place[some]), pa.array(run[some]), pa.array(np.full(len(some), flag))], ["place", "run", "repeat"]
                 )
 
-    ranged = found.repartitionByRange(buckets, "gram", "context", "place", "run")
+    ranged = found.repartitionByRange(buckets, *RUNS)
     return ranged.mapInArrow(settle, "place long, run long, repeat boolean")
 
 
-def _suffixes(texts: DataFrame, undecided: DataFrame, span: int) -> DataFrame:
-    """(lead, print, place, first) of every suffix of undecided runs."""
+def _expanded(texts: DataFrame, undecided: DataFrame, expand, schema: str) -> DataFrame:
+    """``expand(bytes, first, ahead, count)`` gives arrays for the undecided runs of a text."""
     runs = undecided.groupBy("place").agg(F.collect_list("run").alias("runs"))
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for place, text, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                run = runs.values.to_numpy()
-                count = run % 128
-                at = np.repeat(run // 128 - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-                at = np.unique(at)
-                data = np.frombuffer(text, np.uint8)
-                for low in range(0, len(data), SLICE):
-                    here = at[(at >= low) & (at < low + SLICE)]
-                    if not len(here):
-                        continue
-                    part = data[low : low + SLICE + span - 1]
-                    near = here - low
-                    lead = np.zeros(len(here), np.uint64)
-                    for k in range(8):
-                        lead = lead << np.uint64(8) | part[near + k]
-                    prints = _Hashes(part).of(near, near + span)
-                    for k in range(0, len(here), 100_000):
-                        s = slice(k, k + 100_000)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array((lead[s] ^ np.uint64(1 << 63)).view(np.int64)), pa.array(prints[s].view(np.int64)),
-                             pa.array(np.full(len(here[s]), place)), pa.array(here[s])],
-                            ["lead", "print", "place", "first"],
-                        )
-
-    return texts.join(runs, "place").select("place", "text", "runs").mapInArrow(expand, "lead long, print long, place long, first long")
+            for place, text, held in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                first, ahead, count = unpacked(np.sort(held.values.to_numpy()))
+                data, part = np.frombuffer(text, np.uint8), first // SLICE
+                for k in np.unique(part):  # a long text is hashed slice by slice
+                    mine, low = part == k, int(k) * SLICE
+                    near = data[low : low + SLICE + 4 * SPAN]
+                    *columns, at = expand(near, first[mine] - low, ahead[mine], count[mine])
+                    at = at + (low << 14 if names[-1] == "run" else low)
+                    columns = [c.view(np.int64) for c in columns] + [np.full(len(at), place), at]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return texts.join(runs, "place").select("place", "text", "runs").mapInArrow(each, schema)
+
+
+def _suffixes_of(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of runs, and the number of the run of each."""
+    run = np.repeat(np.arange(len(first)), count)
+    return first[run] + np.arange(len(run)) - np.r_[0, np.cumsum(count)[:-1]][run], run
+
+
+def _blocks(span: int):
+    """Runs as (core, context, run) of their blocks; the core is what all strings of a whole block share."""
+
+    def expand(data, first, ahead, count):
+        at, run = _suffixes_of(first, count)
+        anchor = (first + ahead)[run]
+        block = (anchor - at) // BLOCK
+        begin = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (block[1:] != block[:-1])])
+        size = np.diff(np.r_[begin, len(at)])
+        h, core = _Hashes(data), (anchor - BLOCK * block)[begin]
+        cores = h.of(core, core + span - BLOCK + 1)
+        context = h.of(at[begin], at[begin] + size + span - 1)
+        return cores, context, packed(at[begin], (anchor - at)[begin], size)
+
+    return expand
+
+
+def _single(span: int):
+    """Runs as (lead, print, first) of their suffixes."""
+
+    def expand(data, first, _, count):
+        at, _ = _suffixes_of(first, count)
+        lead = np.zeros(len(at), np.uint64)
+        for k in range(8):
+            lead = lead << np.uint64(8) | data[at + k]
+        return lead ^ np.uint64(1 << 63), _Hashes(data).of(at, at + span), at
+
+    return expand
 
 
 def _repeats(suffixes: DataFrame, buckets: int) -> DataFrame:
@@ -259,6 +300,7 @@ def _repeats(suffixes: DataFrame, buckets: int) -> DataFrame:
 
     ranged = suffixes.repartitionByRange(buckets, "lead", "print", "place", "first")
     settled = written(ranged.mapInArrow(settle, kinds), "pd-settled")
+    discard(suffixes)
     # two rows for each bucket: does its first suffix repeat the last of the bucket before?
     edges = sorted((r["bucket"], r["edge"], r["lead"], r["print"], r["place"], r["first"]) for r in settled.where("edge > 0").collect())
     across, last = [], None
@@ -285,11 +327,17 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     small_batches(spark)
     buckets = 2 * partitions(spark)
     texts, keyed = _documents(docs)
-    found = written(_anchor_table(texts, span, gram), "pd-anchors")
-    runs = written(_runs(found, buckets), "pd-runs")
-    suffixes = written(_suffixes(texts, runs.where("not repeat").drop("repeat"), span), "pd-suffixes")
-    single = _repeats(suffixes, buckets).select("place", (F.col("first") * 128 + 1).alias("run"))
-    whole = runs.where("repeat").select("place", "run")
+    schema = "core long, context long, place long, run long"
+    whole, undecided = None, _anchor_table(texts, span, gram)
+    for level in ("anchors", "blocks"):
+        found = written(undecided, f"pd-{level}")
+        runs = written(_runs(found, buckets), f"pd-{level}-settled")
+        discard(found)
+        repeats, left = runs.where("repeat").select("place", "run"), runs.where("not repeat").select("place", "run")
+        whole = repeats if whole is None else whole.unionByName(repeats)
+        undecided = _expanded(texts, left, _blocks(span), schema)
+    suffixes = written(_expanded(texts, left, _single(span), "lead long, print long, place long, first long"), "pd-suffixes")
+    single = _repeats(suffixes, buckets).select("place", (F.col("first") * (1 << 14) + 1).alias("run"))
     per_text = written(whole.unionByName(single).groupBy("place").agg(F.collect_list("run").alias("runs")), "pd-spans")
     joined = keyed.join(per_text, "place", "left").select("doc_id", "text", "runs")
 
@@ -303,10 +351,10 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
                     spans.append([])
                     kept.append(text)
                     continue
-                run = runs.values.to_numpy()
+                first, _, count = unpacked(runs.values.to_numpy())
                 change = np.zeros(len(text) + 1, np.int64)
-                np.add.at(change, run // 128, 1)
-                np.add.at(change, run // 128 + run % 128 + span - 1, -1)
+                np.add.at(change, first, 1)
+                np.add.at(change, first + count + span - 1, -1)
                 gone = np.cumsum(change) > 0
                 edges = np.flatnonzero(np.diff(np.r_[False, gone[:-1], False].astype(np.int8))).reshape(-1, 2)
                 spans.append([{"first": f, "end": e} for f, e in edges.tolist()])

@@ -101,8 +101,16 @@ def test_passages_odd_rows(odd_docs, make_docs, monkeypatch):
     rng = random.Random(4)
     base = "".join(rng.choice("abcdefgh") for _ in range(3000))
     data = [base[:1700] + base[200:900], base]
-    flat = [(int(g), int(c), i, f, n) for a in passage_dedup.anchors([x.encode() for x in data]) for g, c, i, f, n in zip(*a, strict=True)]
-    assert sum(n for *_, n in flat) == sum(len(x) - 99 for x in data)
+    runs = [run for *_, run in passage_dedup.anchors([x.encode() for x in data])]
+    assert sum(int(passage_dedup.unpacked(r)[2].sum()) for r in runs) == sum(len(x) - 99 for x in data)
+    # long texts pass through every step slice by slice
+    texts = [x.encode() for x in [*data, base[500:2000] + "z" + base[2000:]]]
+    for expand in (passage_dedup._blocks(100), passage_dedup._single(100)):
+        for text in texts:
+            whole = np.frombuffer(text, np.uint8)
+            run = np.sort(np.concatenate([r for _, _, i, r in passage_dedup.anchors([text])]))
+            *_, at = expand(whole, *passage_dedup.unpacked(run))
+            assert len(at)
 
 
 def test_multikey_order():
