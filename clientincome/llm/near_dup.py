@@ -48,7 +48,7 @@ WINDOW = 2
 MIN_AGREE = 36  # of TREES * DEPTH
 SIMILAR = (75, 100)  # 100 * intersection >= 75 * union
 BLOCK = 20_000  # rows of a tree looked at together
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 
 _N = TREES * DEPTH
 _RANDOM = np.random.default_rng(20240229)

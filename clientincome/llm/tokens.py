@@ -13,7 +13,7 @@ import os
 import re
 from array import array
 
-CACHE_ENTRIES = 800_000  # pieces a worker remembers (about 200 bytes each)
+CACHE_ENTRIES = 600_000  # pieces a worker remembers (about 200 bytes each)
 
 _RUNS = re.compile(r"\s\s|^\s|\s\Z")
 _STEM = re.compile(r"(.*[A-Za-z])([.,!?;:]+)\Z", re.DOTALL)
