@@ -84,13 +84,13 @@ def stage(spark: SparkSession, sf: str) -> None:
 # ------------------------------------------------------------ sources / sinks
 @query
 def src_csv(spark, sf):
-    """A table written as CSV and scanned back with a declared schema."""
+    """A table written as CSV, columns in another order and one more, and scanned back by both readers."""
     i = _inputs(spark, sf)
     path = scratch_path(spark, "src_csv")
-    io.write_csv(i.fx_hist, path)
-    a = io.read_csv(spark, path, i.fx_hist.schema)
-    b = io.read_csv_options(spark, path, i.fx_hist.schema)
-    return a.unionByName(b).distinct()
+    io.write_csv(i.fx_hist.select(F.lit("x").alias("extra"), *i.fx_hist.columns[::-1]), path)
+    a = io.read_csv(spark, path, i.fx_hist.schema).withColumn("reader", F.lit("plain"))
+    b = io.read_csv_options(spark, path, i.fx_hist.schema).withColumn("reader", F.lit("options"))
+    return a.unionByName(b)
 
 
 @query

@@ -56,10 +56,6 @@ def add_months_period(period, n: int) -> Column:
     return date_to_period(F.add_months(period_to_date(period), n))
 
 
-def months_between_dates(later, earlier) -> Column:
-    return F.months_between(_c(later), _c(earlier))
-
-
 def age_years(ref_period: int, birth) -> Column:
     """Age as ``round(months_between(first of ref month, birth) / 12)`` int."""
     first = F.to_date(F.lit(f"{int(ref_period)}01"), "yyyyMMdd")

@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from clientincome.functions.numeric import dbl, ieee_div
 from clientincome.operators.quantiles import exact_quantiles
 from clientincome.operators.sampling import first_per_key
-from clientincome.plans.broadcast import broadcast_if_small
 from clientincome.semantics import REFERENCE, Semantics
 
 # Census level holding postal-code rows, and the default postal
 # codes that carry no location.
 POSTAL_LEVEL = "Código postal"
 DEFAULT_POSTAL = 99999
-MAX_CENSUS_ROWS = 1_000_000  # postal codes are 5-digit: at most 100,000 keys
 
 
 def census_income(census: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
@@ -34,12 +32,10 @@ def with_census_income(
 ) -> DataFrame:
     """Clients + ``ingreso_prom_succ`` by postal code (0 when unknown).
 
-    The census side is broadcast only after a bounded row count proves it
-    small; otherwise the join shuffles.  Repeated postal codes repeat
-    clients (Q12) unless deduplicated.
+    Spark picks the join from the census side's measured bytes.  Repeated
+    postal codes repeat clients (Q12) unless deduplicated.
     """
-    inc = census_income(census, sem)
-    inc = broadcast_if_small(inc, MAX_CENSUS_ROWS).alias("k")
+    inc = census_income(census, sem).alias("k")
     c = clients.alias("c")
     return c.join(inc, F.col("c.cod_postal") == F.col("k.cod_postal"), "left").select(
         "c.*", F.coalesce(F.col("k.ingreso_prom_succ"), F.lit(0.0)).alias("ingreso_prom_succ")

@@ -5,9 +5,8 @@ journey) repeats every client row it joins, k times.  Those copies are part
 of the result, but they need not travel through the shuffles: the dimension
 is reduced to distinct rows with a copy count ``_c`` (a partial-combining
 aggregate), joins multiply the counts into a row weight ``_w``, and the rows
-are expanded only at the end.  ``expand_spread`` expands a written table so
-that one row standing for millions of copies is cut into chunks spread over
-tasks before it is exploded.
+are expanded only at the end, by ``expand``, which cuts a row standing for
+millions of copies into chunks spread over tasks before it is exploded.
 """
 
 from __future__ import annotations
@@ -42,31 +41,18 @@ def times_count(alias: str) -> Column:
     return F.coalesce(F.col(f"{alias}.{COUNT}"), F.lit(1).cast("bigint"))
 
 
-def expand(df: DataFrame) -> DataFrame:
-    """Rows repeated by their weight (dropped); rows of weight 1 stay as they are."""
+def expand(df: DataFrame, key: str = "id_master", chunk: int = CHUNK) -> DataFrame:
+    """Rows repeated by their weight (dropped).
+
+    A row is first cut into chunks of at most ``chunk`` copies, the chunks are
+    spread over partitions by (key, chunk), and only then does each become
+    rows: no task makes all copies of a hot client, and no array is longer
+    than the chunks of a row or the copies of a chunk.
+    """
     if WEIGHT not in df.columns:
         return df
-    return df.withColumn("_r", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(WEIGHT)))).drop(
-        "_r", WEIGHT
-    )
-
-
-def expand_spread(table: DataFrame, key: str = "id_master", chunk: int = CHUNK) -> DataFrame:
-    """``expand`` for a written (cheap to re-read) table: rows heavier than
-    ``chunk`` are first cut into chunks spread over partitions by (key,
-    chunk), so no single task generates a hot client's copies."""
-    if WEIGHT not in table.columns:
-        return table
-    w = F.col(WEIGHT)
-    light = expand(table.where(w <= chunk))
-    heavy = (
-        table.where(w > chunk)
-        .withColumn(
-            "_k",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((w - 1) / F.lit(chunk)).cast("bigint"))),
-        )
-        .repartition(key, "_k")
-        .withColumn(WEIGHT, F.least(F.lit(chunk).cast("bigint"), w - F.col("_k") * chunk))
-        .drop("_k")
-    )
-    return light.unionByName(expand(heavy))
+    long = lambda x: F.lit(x).cast("bigint")
+    last = F.floor((F.col(WEIGHT) - 1) / F.lit(chunk)).cast("bigint")
+    chunks = df.withColumn("_k", F.explode(F.sequence(long(0), last))).repartition(key, "_k")
+    copies = F.least(long(chunk), F.col(WEIGHT) - F.col("_k") * chunk)
+    return chunks.withColumn("_r", F.explode(F.sequence(long(1), copies))).drop("_r", "_k", WEIGHT)

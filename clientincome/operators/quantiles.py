@@ -6,22 +6,23 @@ stays exact and distributed:
 
 1. one partial-combining aggregate per group gives the non-null count, min,
    max and a ``percentile_approx`` sketch (rank error at most n/accuracy)
-   read at p-d and p+d: a bracket around the order statistics needed for p;
+   read at p -+ d * 2**k, k = 0, 1, ..; each group takes the narrowest bracket
+   whose margin covers the sketch's error and two ranks, 3/accuracy + 2/n (its
+   ends are open where the margin passes 0 or 1);
 2. one pass over the rows counts, per group and p, the values below the
    bracket (plain sums, no row replication) and emits only the values inside
    a bracket as (group, p, value) -> count (ties collapse map-side);
 3. a running count over each small bracketed set finds the values at ranks
    floor(h) and floor(h)+1, h = p*(n-1), and interpolates.
 
-Groups with at most ``4 * accuracy`` values use the whole value range as
-their bracket, so step 3 sees at most that many distinct values; larger groups
-see about ``2 * d * n`` (d = 3/accuracy).  Either way no task holds a whole
-large group.  If a bracket ever missed, the result is NULL, never a wrong
-number.
+Step 3 sees a few times ``2 * d * n + 4`` values (d = 3/accuracy), so no task
+holds a whole large group.  A bracket that missed its order statistics would
+raise an error, never give NULL or a wrong number.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -66,7 +67,7 @@ def exact_quantiles(
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     n_p = len(probs)
     d = 3.0 / accuracy
-    small_n = 4 * accuracy
+    steps = range(max(1, math.ceil(math.log2(1 / d)) + 1))
 
     x = df.select(*keys, F.col(value).cast("double").alias("_x"))
 
@@ -75,15 +76,16 @@ def exact_quantiles(
         F.count("_x").alias("_n"),
         F.min("_x").alias("_min"),
         F.max("_x").alias("_max"),
-        F.percentile_approx("_x", [max(0.0, p - d) for p in probs], accuracy).alias("_plo"),
-        F.percentile_approx("_x", [min(1.0, p + d) for p in probs], accuracy).alias("_phi"),
+        F.percentile_approx("_x", [max(0.0, p - d * 2**k) for p in probs for k in steps], accuracy).alias("_plo"),
+        F.percentile_approx("_x", [min(1.0, p + d * 2**k) for p in probs for k in steps], accuracy).alias("_phi"),
     )
-    small = F.col("_n") <= small_n
     inf = F.lit(float("inf"))
-    lo = [F.when(small, -inf).when(F.lit(p) <= 0, F.col("_min")).otherwise(F.col("_plo")[i])
-          for i, p in enumerate(probs)]
-    hi = [F.when(small, inf).when(F.lit(p) >= 1, F.col("_max")).otherwise(F.col("_phi")[i])
-          for i, p in enumerate(probs)]
+    # the step whose margin is enough for a group of this size
+    k = F.least(F.lit(len(steps) - 1), F.ceil(F.log2(F.lit(1.0) + F.lit(2.0 / d) / F.greatest(F.lit(1), F.col("_n")))).cast("int"))
+    margin = F.lit(d) * F.pow(F.lit(2.0), k)
+    at = [(i * len(steps), F.lit(p)) for i, p in enumerate(probs)]
+    lo = [F.when(p <= margin, -inf).otherwise(F.try_element_at("_plo", k + i + 1)) for i, p in at]
+    hi = [F.when(p + margin >= 1, inf).otherwise(F.try_element_at("_phi", k + i + 1)) for i, p in at]
     brackets = stats.select(*keys, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi"))
 
     # 2. one pass: counts below each bracket, and bracketed values
@@ -136,7 +138,9 @@ def exact_quantiles(
         F.first("_h").alias("_h"),
     )
     frac = F.col("_h") - F.floor(F.col("_h"))
-    q = F.when(frac == 0, F.col("_x0")).otherwise(F.col("_x0") + (F.col("_x1") - F.col("_x0")) * frac)
+    missed = F.col("_x0").isNull() | ((frac > 0) & F.col("_x1").isNull())
+    q = F.when(missed, F.raise_error(F.lit("quantile bracket missed its ranks")).cast("double"))
+    q = q.when(frac == 0, F.col("_x0")).otherwise(F.col("_x0") + (F.col("_x1") - F.col("_x0")) * frac)
     wide = picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_i") == i, q)).alias(n) for i, n in enumerate(names)]
     )

@@ -125,7 +125,8 @@ def report(scored_out: DataFrame, accuracy: int = 10000) -> DataFrame:
                  REPORT_PERCENTILE_NAMES, accuracy, max_groups=MAX_REPORT_GROUPS)
     # at most MAX_REPORT_GROUPS rows: a window over all of them is one small task
     total = F.sum("count").over(Window.partitionBy())
-    d = d.withColumn("prop", F.lit(100.0) * F.col("count") / total)
+    # no counted client at all: the share is missing, not an error
+    d = d.withColumn("prop", F.lit(100.0) * F.col("count") / F.nullif(total, F.lit(0)))
     stats = ["prop", "mean", "std", "min", *REPORT_PERCENTILE_NAMES, "max"]
     return d.select(*keys, "count", *[round4(c).alias(c) for c in stats])
 

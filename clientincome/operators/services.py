@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientincome.functions.numeric import weighted_trimmed_sum
@@ -117,6 +117,36 @@ def _spine_rows(population, calendar, hist, params, sem, values, flags):
     return j, wh
 
 
+def trimmed_totals(rows: DataFrame, totals: dict[str, str], params: RunParams, sem: Semantics) -> DataFrame:
+    """Per client, the trimmed total of each amount column (``totals``: column -> result).
+
+    A trimmed total reads the ranks first..first+count-1 of the amounts in
+    ascending order, so only that many of the smallest distinct amounts can
+    matter: equal amounts are added up map-side, a rank limit (also applied
+    map-side) keeps those, and no list is longer.
+    """
+    first, n, scale = trim_bounds(params, sem)
+    entries = F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).alias("v")) for c in totals]))
+    amounts = (
+        rows.select("id_master", entries.alias("e"), WEIGHT)
+        .groupBy("id_master", F.col("e.of").alias("of"), F.col("e.v").alias("v"))
+        .agg(F.sum(WEIGHT).alias("w"))
+    )
+    rank = F.row_number().over(Window.partitionBy("id_master", "of").orderBy("v"))
+    small = amounts.withColumn("_rank", rank).where(F.col("_rank") <= first + n - 1)
+    return small.groupBy("id_master").agg(
+        *[
+            (weighted_trimmed_sum(F.collect_list(F.when(F.col("of") == c, F.struct("v", "w"))), first, n).cast("double") * F.lit(scale)).alias(name)
+            for c, name in totals.items()
+        ]
+    )
+
+
+def with_trimmed(features: DataFrame, trimmed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Features and trimmed totals of each client, in the original column order."""
+    return features.join(trimmed, "id_master", "left").select(*order)
+
+
 def per_client(rows: DataFrame, aggs) -> DataFrame:
     """Group the spine rows of each client into one feature row.
 
@@ -186,15 +216,15 @@ def transfer_features(
         months_active_agg(c("num_pag_dex") + c("num_env_dex")).alias("num_meses_distintos_movs_dex"),
         months_active_agg(c("num_pag_dex")).alias("num_meses_distintos_pag_dex"),
         months_active_agg(c("num_env_dex")).alias("num_meses_distintos_env_dex"),
-        trimmed_agg("mto_pag_dex", params, sem).alias("tot_mto_pag_dex_corr"),
-        trimmed_agg("mto_env_dex", params, sem).alias("tot_mto_env_dex_corr"),
-        trimmed_agg("mto_pag_rem", params, sem).alias("tot_mto_pag_rem_corr"),
-        trimmed_agg("mto_env_rem", params, sem).alias("tot_mto_env_rem_corr"),
     ]
     for fam in ("pag_rem", "env_rem", "pag_dex", "env_dex"):
         aggs.append(total_agg(f"mto_{fam}").alias(f"tot_mto_{fam}"))
         aggs.append(total_agg(f"num_{fam}").alias(f"tot_num_{fam}"))
-    return per_client(rows, aggs)
+    plain = per_client(rows, aggs)
+    totals = {f"mto_{fam}": f"tot_mto_{fam}_corr" for fam in ("pag_dex", "env_dex", "pag_rem", "env_rem")}
+    at = plain.columns.index("tot_mto_pag_rem")
+    order = [*plain.columns[:at], *totals.values(), *plain.columns[at:]]
+    return with_trimmed(plain, trimmed_totals(rows, totals, params, sem), order)
 
 
 def fx_month_rows(
@@ -240,17 +270,19 @@ def fx_features(
     """14 columns per client, in the original order."""
     rows = fx_month_rows(population, calendar, hist, params, sem)
     c = F.col
-    return per_client(rows, [
+    plain = per_client(rows, [
         flag_agg("ind_activo_div").alias("ind_activo_div"),
         recency_agg("mto_div_cpa").alias("ult_cpa_div"),
         recency_agg("mto_div_vta").alias("ult_vta_div"),
         months_active_agg(c("num_div_cpa") + c("num_div_vta")).alias("num_meses_distintos_movs_div"),
         months_active_agg(c("num_div_cpa")).alias("num_meses_distintos_cpa_div"),
         months_active_agg(c("num_div_vta")).alias("num_meses_distintos_vta_div"),
-        trimmed_agg("mto_div_cpa", params, sem).alias("tot_mto_cpa_div_corr"),
-        trimmed_agg("mto_div_vta", params, sem).alias("tot_mto_vta_div_corr"),
         total_agg("mto_div_cpa").alias("tot_mto_cpa_div"),
         total_agg("num_div_cpa").alias("tot_num_cpa_div"),
         total_agg("mto_div_vta").alias("tot_mto_vta_div"),
         total_agg("num_div_vta").alias("tot_num_vta_div"),
     ])
+    totals = {"mto_div_cpa": "tot_mto_cpa_div_corr", "mto_div_vta": "tot_mto_vta_div_corr"}
+    at = plain.columns.index("tot_mto_cpa_div")
+    order = [*plain.columns[:at], *totals.values(), *plain.columns[at:]]
+    return with_trimmed(plain, trimmed_totals(rows, totals, params, sem), order)

@@ -67,7 +67,7 @@ def unified_cut(f: Features) -> DataFrame:
     """The unified features written once (weighted, so a client repeated by
     dimension copies is one row in every shuffle), then expanded with hot
     clients spread over tasks."""
-    return copies.expand_spread(cut(f.unified_weighted, "unified"))
+    return copies.expand(cut(f.unified_weighted, "unified"))
 
 
 def score(

@@ -75,7 +75,7 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf = tempfile.mkdtemp(prefix="clientincome-ckpt-")
     sc.setCheckpointDir(conf)

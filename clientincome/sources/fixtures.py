@@ -54,12 +54,13 @@ SELECT s_suppkey AS id_master, per AS num_periodo_mes, CASE WHEN (s_suppkey + k)
  CAST(s_acctbal AS DECIMAL(18,2)) + k * (s_suppkey % 2) AS sld_tot_prod_cap, CASE WHEN s_suppkey % 7 = 3 THEN 'PM' ELSE 'PF' END AS cod_tipo_persona
  FROM supplier CROSS JOIN (VALUES (0),(1)) AS v(k) CROSS JOIN (VALUES (200011),(200012)) AS m(per)""",
     "transfer_hist": """
-SELECT user_id AS id_master, 200007 + CAST(floor((day(ts)-1)/5) AS INT) AS num_periodo_mes, CASE WHEN user_id % 3 <> 0 THEN 1 ELSE 0 END AS ind_activo_rem, CAST(user_id % 2 AS INT) AS ind_activo_dex,
+SELECT user_id AS id_master, num_periodo_mes, CASE WHEN user_id % 3 <> 0 THEN 1 ELSE 0 END AS ind_activo_rem, CAST(user_id % 2 AS INT) AS ind_activo_dex,
  SUM(CASE WHEN event_type='purchase' THEN CAST(value AS DECIMAL(18,2)) END) AS mto_pag_rem, SUM(CASE WHEN event_type='purchase' THEN 1 END) AS num_pag_rem,
  SUM(CASE WHEN event_type='error' THEN CAST(value AS DECIMAL(18,2)) END) AS mto_env_rem, SUM(CASE WHEN event_type='error' THEN 1 END) AS num_env_rem,
  SUM(CASE WHEN event_type='signup' THEN CAST(value AS DECIMAL(18,2)) END) AS mto_pag_dex, SUM(CASE WHEN event_type='signup' THEN 1 END) AS num_pag_dex,
  SUM(CASE WHEN event_type='click' THEN CAST(value AS DECIMAL(18,2)) END) AS mto_env_dex, SUM(CASE WHEN event_type='click' THEN 1 END) AS num_env_dex
- FROM events WHERE (user_id + CAST(floor((day(ts)-1)/5) AS INT)) % (2 + user_id % 6) <> 1 GROUP BY user_id, 200007 + CAST(floor((day(ts)-1)/5) AS INT)""",
+ FROM (SELECT user_id, event_type, value, 200007 + CASE WHEN (user_id + m) % (2 + user_id % 6) <> 1 THEN m WHEN m = 0 THEN 1 ELSE m - 1 END AS num_periodo_mes
+  FROM (SELECT user_id, event_type, value, CAST(floor((day(ts)-1)/5) AS INT) AS m FROM events) AS e) AS moved GROUP BY user_id, num_periodo_mes""",
     "fx_hist": """
 SELECT 2*CAST(floor(o_custkey/15) AS BIGINT) AS id_master, year(o_orderdate)*100+month(o_orderdate) AS num_periodo_mes, MAX(CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END) AS ind_activo_div,
  SUM(CASE WHEN o_orderstatus='F' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS mto_div_cpa, SUM(CASE WHEN o_orderstatus='F' THEN 1 END) AS num_div_cpa,
@@ -76,8 +77,8 @@ SELECT c_custkey AS id_master, 200012 AS num_periodo_mes, CASE WHEN c_nationkey
     "calendar": """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS fecha, year(o_orderdate)*100+month(o_orderdate) AS num_periodo_mes FROM orders""",
     "census": """
-SELECT CASE WHEN k = 0 THEN 'Código postal' ELSE 'Estado' END AS nivel, 1000 + c_nationkey AS cod_postal, COUNT(*) AS familias, SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS ingreso_familiar, 4*COUNT(*) AS poblacion, COUNT(*) AS pei
- FROM customer CROSS JOIN (VALUES (0),(1)) AS v(k) WHERE c_nationkey <> 24 GROUP BY 1, 2""",
+SELECT CASE WHEN k = 1 THEN 'Estado' WHEN c_nationkey = 24 THEN 'Municipio' ELSE 'Código postal' END AS nivel, 1000 + c_nationkey AS cod_postal, COUNT(*) AS familias, SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS ingreso_familiar, 4*COUNT(*) AS poblacion, COUNT(*) AS pei
+ FROM customer CROSS JOIN (VALUES (0),(1)) AS v(k) GROUP BY 1, 2""",
 }
 
 

@@ -1,7 +1,8 @@
 """Readers and writers.
 
-CSV is read with a declared schema: schema inference costs an extra scan
-and its types drift with the data.  Writers never funnel the data through
+CSV is read with a declared schema, bound to the header by name: column order
+and extra columns in the files do not matter, a declared column that is not
+there or a cell that is not of its type is an error.  Writers never funnel the data through
 one task; a single file is produced only for small, bounded outputs
 (``single_file=True``).
 """
@@ -9,16 +10,37 @@ one task; a single file is produced only for small, bounded outputs
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    header = spark.read.option("header", True).csv(path).columns  # the first line alone
+    cells = spark.read.schema(_cells(header)).option("header", True).option("enforceSchema", False)
+    return _typed(cells.option("mode", "FAILFAST").csv(path), schema)
 
 
 def read_csv_options(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Option-style CSV scan (same result as ``read_csv``)."""
-    return spark.read.format("csv").options(header="true").schema(schema).load(path)
+    header = spark.read.format("csv").options(header="true").load(path).columns
+    cells = spark.read.format("csv").options(header="true", enforceSchema="false", mode="FAILFAST")
+    return _typed(cells.schema(_cells(header)).load(path), schema)
+
+
+def _cells(header: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in header])
+
+
+def _typed(cells: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The declared columns of text cells, cast; a cell that cannot be cast is an error."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    out = []
+    for f in declared.fields:
+        cell = F.col(f"`{f.name}`")
+        value = cell.try_cast(f.dataType)
+        bad = F.raise_error(F.format_string(f"column {f.name}: '%s' is no {f.dataType.simpleString()}", cell))
+        out.append(F.when(cell.isNotNull() & value.isNull(), bad.cast(f.dataType)).otherwise(value).alias(f.name))
+    return cells.select(*out)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -43,8 +65,10 @@ def save_factor(factor: DataFrame, path: str) -> None:
 
 
 def load_factor(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def schema_of(df: DataFrame) -> T.StructType:
-    return df.schema
+    """The saved factor; it must be one row with a value (an empty table would
+    lose every client it is applied to, two rows would double them)."""
+    factor = spark.read.parquet(path)
+    rows = factor.select("factor").limit(2).collect()
+    if len(rows) != 1 or rows[0]["factor"] is None:
+        raise ValueError(f"{path}: expected one row with a factor, found {rows}")
+    return factor

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from clientincome.sources import io
 from clientincome.sources.fixtures import CHANNELS, Inputs
 
 MONEY = T.DecimalType(28, 2)
@@ -72,12 +73,33 @@ def read_inputs_csv(spark: SparkSession, paths: Mapping[str, str]) -> Inputs:
     """All nine inputs from CSV files/folders (header row) with the declared
     schemas.  ``paths`` maps each input name to its location."""
     frames = {
-        name: spark.read.schema(schema).option("header", True).csv(paths[name])
+        name: read_census_csv(spark, paths[name]) if name == "census" else io.read_csv(spark, paths[name], schema)
         for name, schema in SCHEMAS.items()
     }
     return Inputs(**frames)
 
 
+# Headers of the published census file and the names used here.
+CENSUS_HEADERS = {
+    "Nivel": "nivel",
+    "Código Postal": "cod_postal",
+    "Familias": "familias",
+    "Ingreso familiar promedio $": "ingreso_familiar",
+    "Población 2019": "poblacion",
+    "Población Económicamente Inactiva (PEI)": "pei",
+}
+
+
+def read_census_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The census from CSV, under its published headers or the names used here."""
+    schema = SCHEMAS["census"]
+    if "Código Postal" not in spark.read.option("header", True).csv(path).columns:
+        return io.read_csv(spark, path, schema)
+    published = {ours: theirs for theirs, ours in CENSUS_HEADERS.items()}
+    named = T.StructType([T.StructField(published[f.name], f.dataType) for f in schema.fields])
+    return io.read_csv(spark, path, named).withColumnsRenamed(CENSUS_HEADERS)
+
+
 def read_inputs_parquet(spark: SparkSession, paths: Mapping[str, str]) -> Inputs:
     """All nine inputs from parquet (the columnar default at scale); columns
     are cast to the declared types so every source gives the same plan."""

@@ -510,7 +510,8 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     fx_hist_cols = [("id_master", "B"), ("num_periodo_mes", "B"), ("ind_activo_div", "B"),
                     ("mto_div_cpa", "D"), ("num_div_cpa", "B"), ("mto_div_vta", "D"), ("num_div_vta", "B")]
-    q["src_csv"] = _typed("(SELECT DISTINCT * FROM fx_hist) t", fx_hist_cols)
+    q["src_csv"] = _typed("(SELECT 'plain' AS reader, * FROM fx_hist UNION ALL SELECT 'options', * FROM fx_hist) t",
+                          [("reader", "S"), *fx_hist_cols])
     q["src_table"] = _typed(
         f"(SELECT id_master, num_periodo_mes AS per_ref, saldo, potencial, recorrido FROM journey "
         f"WHERE num_periodo_mes = {MES}) t",
@@ -592,7 +593,8 @@ def oracle_sql() -> dict[str, str]:
         f"""(SELECT COUNT(*) AS n, sqrt(avg(({err}) * ({err}))) AS rmse, avg(({err}) * ({err})) AS mse,
               avg(abs({err})) AS mae,
               CASE WHEN var_pop(log_mto_ing_mes) > 0 THEN 1 - avg(({err}) * ({err})) / var_pop(log_mto_ing_mes) END AS r2,
-              var_pop(2.0 + 0.0001 * CAST(saldo AS DOUBLE) + 0.05 * CAST(recorrido AS DOUBLE)) AS explained_variance
+              avg(pow(2.0 + 0.0001 * CAST(saldo AS DOUBLE) + 0.05 * CAST(recorrido AS DOUBLE)
+                  - (SELECT avg(log_mto_ing_mes) FROM tprep), 2)) AS explained_variance
             FROM tprep) t""",
         [("n", "B"), ("rmse", "R"), ("mse", "R"), ("mae", "R"), ("r2", "R"), ("explained_variance", "R")])
 

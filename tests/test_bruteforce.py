@@ -259,5 +259,5 @@ def test_expand_spread_equals_expand(spark):
 
     df = spark.createDataFrame([(1, "x", 1), (2, "y", 7), (3, "z", 23)], "id_master BIGINT, v STRING, _w BIGINT")
     plain = Counter(copies.expand(df).collect())
-    spread = Counter(copies.expand_spread(df, chunk=5).collect())
+    spread = Counter(copies.expand(df, chunk=5).collect())
     assert plain == spread and sum(plain.values()) == 31
