@@ -40,11 +40,11 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
     small_batches(docs.sparkSession)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).ids, struct.pack("<I", end_id)
+        encode, end = encoder(tokenizer).many, struct.pack("<I", end_id)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+                ids += end
                 n = len(ids) // 4
                 edges = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):

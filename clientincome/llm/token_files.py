@@ -143,14 +143,14 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, end = encoder(tokenizer).ids, struct.pack("<I", end_id)
+        encode, end = encoder(tokenizer).many, struct.pack("<I", end_id)
         shard = TaskContext.get().partitionId()
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.zst"
         out = None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
                 out = out or ShardWriter(path, width)
-                out.add(doc_id, encode(text) + end)
+                out.add(doc_id, ids + end)
         if out:
             out.close()
             yield pa.RecordBatch.from_pydict(

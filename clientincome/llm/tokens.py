@@ -12,15 +12,18 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
 CACHE_ENTRIES = 600_000  # pieces a worker remembers (about 200 bytes each)
 
-_RUNS = re.compile(r"\s\s|^\s|\s\Z")
+TOGETHER = 2_000_000  # characters whose pieces are held at a time
+
+_RUNS = re.compile(r"\s\s|^\s|\s\Z|\x00")
 _STEM = re.compile(r"(.*[A-Za-z])([.,!?;:]+)\Z", re.DOTALL)
 
 
 class Pieces(dict):
-    """piece -> its ids as little-endian unsigned 32-bit integers."""
+    """Key of a piece -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,38 +36,75 @@ class Pieces(dict):
     def library(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        m = _STEM.match(piece)
-        # letters and the marks after them are never in one pre-token
-        out = self[m[1]] + self[m[2]] if m else self.library(piece)
-        if len(self) < CACHE_ENTRIES:
-            self[piece] = out
+    def keys_of(self, text: str) -> list[str] | None:
+        """The keys of a text's pieces; None for a text that goes to the library whole."""
+        raise NotImplementedError
+
+    def spelled(self, key: str) -> str:
+        """The text of a piece; marks after letters have the key NUL and the marks."""
+        return key[1:] if key[:1] == "\0" else key
+
+    def learn(self, new: set[str]) -> list[str]:
+        """Encode the pieces that are new; returns the keys added."""
+        parts, needed = {}, set()
+        for key in new:
+            m = _STEM.match(key)  # letters and the marks after them are never in one pre-token
+            if m and key[:1] != "\0":
+                parts[key] = (m[1], "\0" + m[2])
+                needed.update(parts[key])
+            else:
+                needed.add(key)
+        single = [k for k in needed if k not in self]
+        for k, e in zip(single, self.tokenizer.encode_batch(list(map(self.spelled, single)), add_special_tokens=False), strict=True):
+            self[k] = array("I", e.ids).tobytes()
+        for key, (stem, marks) in parts.items():
+            self[key] = self[stem] + self[marks]
+        return [*single, *parts]
+
+    def together(self, texts: list[str]) -> list[bytes]:
+        split = [self.keys_of(t) for t in texts]
+        added = self.learn(set().union(*(k for k in split if k is not None)).difference(self))
+        get = self.__getitem__
+        out = [self.library(t) if keys is None else b"".join(map(get, keys)) for t, keys in zip(texts, split, strict=True)]
+        if len(self) > CACHE_ENTRIES:
+            for key in added:
+                del self[key]
         return out
 
+    def many(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self.together(held)
+                held, size = [], 0
+        yield from self.together(held)
+
     def ids(self, text: str) -> bytes:
-        raise NotImplementedError
+        return self.together([text])[0]
 
 
 class WordPieces(Pieces):
     """A vocabulary that drops white space: a piece has the same ids anywhere."""
 
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def keys_of(self, text: str) -> list[str] | None:
+        return None if "\0" in text else text.replace("\n", " ").split(" ")
 
 
 class BytePieces(Pieces):
     """A byte vocabulary whose pre-tokens carry the space before them.
 
-    Keys: " word" after a space, "\\nword" after a line end, "word" at the start
-    of a text, and marks after letters on their own.
+    Keys: "word" after a space, "\\nword" after a line end, NUL and the word at
+    the start of a text.
     """
 
-    def ids(self, text: str) -> bytes:
-        if _RUNS.search(text):
-            return self.library(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        get = self.__getitem__
-        return get(first) + b"".join([get(p if p[:1] == "\n" else " " + p) for p in rest])
+    def keys_of(self, text: str) -> list[str] | None:
+        return None if _RUNS.search(text) else ("\0" + text.replace("\n", " \n")).split(" ")
+
+    def spelled(self, key: str) -> str:
+        return key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key
 
 
 _LOADED: dict[str, Pieces] = {}

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from clientincome.llm import packing, token_files, warc
+from clientincome.llm import packing, token_files, tokens, warc
 from clientincome.llm.common import table
 from clientincome.session import scratch_path
 
@@ -33,12 +33,15 @@ def library():
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
-def test_ids_are_the_librarys(path, small, library):
-    from clientincome.llm.tokens import encoder
-
-    encode = encoder(path).ids
+def test_ids_are_the_librarys(path, small, library, monkeypatch):
+    encode = tokens.encoder(path).ids
     for text in ODD + [t for _, t, _ in small]:
         assert list(struct.unpack(f"<{len(encode(text)) // 4}I", encode(text))) == library(path, text)
+    # a full memory changes nothing
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 300)
+    monkeypatch.setattr(tokens, "TOGETHER", 5000)
+    texts = ODD + [t for _, t, _ in small]
+    assert list(tokens.encoder(path).many(texts)) == [struct.pack(f"<{len(x)}I", *x) for x in (library(path, t) for t in texts)]
 
 
 def test_token_files(spark, small, make_docs, library):
