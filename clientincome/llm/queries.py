@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientincome.llm import decontaminate, line_dedup, near_dup, packing, passage_dedup, repetition, token_files, toxicity, unigram, warc
-from clientincome.llm.common import table
+from clientincome.llm.common import table, written
 from clientincome.session import scratch_path
 
 WORD_VOCABULARY, BYTE_VOCABULARY, RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -84,7 +84,9 @@ def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written as WARC files, read back and assembled into captures."""
     manifest = warc.write_warc(table(spark, sf, "pages"), scratch_path(spark, "warc"))
-    return warc.page_rows(warc.captures(warc.read_records(spark, manifest, payload=False)))
+    # parsed once: the assembly reads the records by type, and once more for what revisits refer to
+    records = written(warc.read_records(spark, manifest, payload=False), "warc-records")
+    return warc.page_rows(warc.captures(records))
 
 
 def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
