@@ -209,6 +209,9 @@ def page_rows(assembled: DataFrame) -> DataFrame:
     page_id = F.col("metadata.fields")["page_id"].try_cast("long")
     flat = assembled.select("record_id", page_id.alias("page_id"), "response.*")
     target = flat.where("warc_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("response_page"))
-    return flat.join(target, "refers_to", "left").select(
+    # responses refer to nothing: they stay out of the join, where their nulls would meet in one task
+    alone = flat.where("refers_to is null").withColumn("response_page", F.lit(None).cast("long"))
+    found = flat.where("refers_to is not null").join(target, "refers_to", "left")
+    return alone.unionByName(found).select(
         "page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), F.col("response_page").alias("refers_to")
     )
