@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientincome.llm.common import make_folder, open_read, open_write, small_batches, written
+from clientincome.llm.common import discard, make_folder, open_read, open_write, small_batches, written
 
 MANIFEST = "path string, records long"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -54,6 +54,16 @@ def _header_value(text: str) -> str:
     return (text or "").replace("\r", "%0D").replace("\n", "%0A")
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Payloads compressed, for the table and the shuffle they pass on the way to their file."""
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor(level=5).compress
+    for b in batches:
+        packed = pa.array([squeeze(x) for x in b.column(3).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), b.column(2), packed], ["page_id", "url", "sha1", "packed"])
+
+
 def write_warc(pages: DataFrame, folder: str, files: int | None = None) -> DataFrame:
     """Write ``pages`` (page_id, url, html) to WARC files in ``folder``; returns the manifest."""
     spark = pages.sparkSession
@@ -61,7 +71,8 @@ def write_warc(pages: DataFrame, folder: str, files: int | None = None) -> DataF
     make_folder(folder)
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     # a record id must not depend on the attempt: it is that of the page and its place among repeats
-    rows = pages.select("page_id", "url", html.alias("payload")).withColumn("sha1", F.sha1("payload"))
+    rows = pages.select("page_id", "url", F.sha1(html).alias("sha1"), html.alias("payload"))
+    rows = rows.mapInArrow(_squeezed, "page_id long, url string, sha1 string, packed binary")
     keyed = written(rows.withColumn("row_id", F.expr("uuid()")), "warc-pages")
     # nulls last, so a page with an id is the response before one without
     firsts = keyed.groupBy("sha1").agg(F.min_by("row_id", F.struct(F.col("page_id").isNull(), "page_id", "row_id")).alias("first_row"))
@@ -72,11 +83,15 @@ def write_warc(pages: DataFrame, folder: str, files: int | None = None) -> DataF
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from base64 import b32encode
 
+        import zstandard
+
+        unzip = zstandard.ZstdDecompressor()
         path = f"{folder}/pages-{uuid.uuid4().hex}.warc.gz"
         out, n = None, 0
         for batch in batches:
-            for page_id, url, payload, sha1, row_id, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, url, packed, sha1, row_id, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 out = out or open_write(path)
+                payload = unzip.decompress(packed)
                 digest = "sha1:" + b32encode(bytes.fromhex(sha1)).decode()
                 uri, ident = _header_value(url), f"urn:uuid:{row_id}"
                 revisit = row_id != first
@@ -100,10 +115,12 @@ def write_warc(pages: DataFrame, folder: str, files: int | None = None) -> DataF
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "records": [n]})
 
-    dealt = planned.select("page_id", "url", "payload", "sha1", "row_id", "first_row")
+    dealt = planned.select("page_id", "url", "packed", "sha1", "row_id", "first_row")
     if files:
         dealt = dealt.repartition(files, "row_id")
-    return written(dealt.mapInArrow(write, MANIFEST), "warc-manifest")
+    manifest = written(dealt.mapInArrow(write, MANIFEST), "warc-manifest")
+    discard(keyed)
+    return manifest
 
 
 def _records(path: str, chunk: int = 1 << 20) -> Iterator[bytes]:
