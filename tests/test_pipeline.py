@@ -244,6 +244,7 @@ def test_feature_plan_shape(spark):
     windows, limits = (len(re.findall(p, text)) for p in (r"\bWindow \[", r"WindowGroupLimit .*Final"))
     assert windows == limits
     nested = re.findall(r"BroadcastNestedLoopJoin (\w+), (\w+)", text)
-    assert nested == [("BuildRight", "LeftOuter")] * 2  # the two bounded month spines
+    # the two bounded month spines, each planned for the features and again for the trimmed totals
+    assert nested == [("BuildRight", "LeftOuter")] * 4
     for keys in re.findall(r"SortMergeJoin \[([^\]]*)\]", text):
         assert re.match(r"(coalesce\()?id_master", keys), keys  # every shuffle join keyed by client
