@@ -59,6 +59,10 @@ def query(fn=None, *, name: str | None = None):
     return register(fn) if fn is not None else register
 
 
+def _session_key(spark: SparkSession, sf: str) -> tuple[str, int, str]:
+    return spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf
+
+
 _INPUTS: dict[tuple[str, int, str], Inputs] = {}
 
 
@@ -69,7 +73,7 @@ def _inputs(spark: SparkSession, sf: str) -> Inputs:
     extracts in the shared folder (the original also starts from extract
     files); every query then reads the staged inputs, whole.
     """
-    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf)
+    key = _session_key(spark, sf)
     if key not in _INPUTS:
         views = load_inputs(spark, sf)
         _INPUTS[key] = schemas.stage_inputs(views, scratch_path(spark, "inputs"))
@@ -303,34 +307,64 @@ def target_log(spark, sf):
     )
 
 
+_MODELS: dict[tuple[str, int, str], str] = {}
+
+
 def _fit(spark, sf):
-    i = _inputs(spark, sf)
+    """(training table, test predictions, status) of a forest fitted and saved now."""
     path = scratch_path(spark, "model")
-    return training.train(_train_table(i), path, seed=PARAMS.seed)
+    table = plan.cut(_train_table(_inputs(spark, sf)), "training")
+    _, predictions, status = training.train(table, path, seed=PARAMS.seed)
+    _MODELS[_session_key(spark, sf)] = path
+    return table, predictions, status
+
+
+def _model(spark, sf):
+    """The saved forest of this session and folder, fitted at its first use."""
+    if _session_key(spark, sf) not in _MODELS:
+        _fit(spark, sf)
+    return training.load(_MODELS[_session_key(spark, sf)])
 
 
 @query
 def train_model(spark, sf):
-    """Fit, predict the test split, save; status row."""
-    _, _, status = _fit(spark, sf)
-    return status
+    """Fit, save, predict the test split.
+
+    A forest depends on the engine's own random draws, so the row holds what
+    must be true of any: the size of the test split, and that no prediction
+    leaves the range of the labels it averages.
+    """
+    table, predictions, status = _fit(spark, sf)
+    label = "log_mto_ing_mes"
+    learnt, _ = training.split(training.prepare(table), PARAMS.seed)
+    # two one-row aggregates
+    bounds = learnt.agg(F.min(label).alias("low"), F.max(label).alias("high"))
+    seen = predictions.agg(F.min("prediction").alias("least"), F.max("prediction").alias("most"))
+    inside = (F.col("least") >= F.col("low") - 1e-9) & (F.col("most") <= F.col("high") + 1e-9)
+    return status.crossJoin(F.broadcast(bounds)).crossJoin(F.broadcast(seen)).select("status", "n", inside.alias("in_label_range"))
 
 
 @query
 def feature_importance(spark, sf):
-    model, _, _ = _fit(spark, sf)
-    return spark.createDataFrame(training.feature_importances(model), "feature STRING, importance DOUBLE")
+    """M5: the importances of the saved forest, none negative and 1 together."""
+    rows = spark.createDataFrame(training.feature_importances(_model(spark, sf)), "feature STRING, importance DOUBLE")
+    total = rows.agg(round4(F.sum("importance")).alias("total"))
+    return rows.crossJoin(F.broadcast(total)).select("feature", (F.col("importance") >= 0).alias("non_negative"), "total")
 
 
 @query
 def model_income(spark, sf):
-    """The saved forest reloaded and applied to every client."""
-    i = _inputs(spark, sf)
-    path = scratch_path(spark, "model")
-    training.train(_train_table(i), path, seed=PARAMS.seed)
-    model = training.load(path)
-    u = plan.features(i, PARAMS, SEM).unified
-    return training.model_income(u, model).select("id_master", "ind_activo_cap", "regr")
+    """The saved forest reloaded and applied to every client: an
+    income above -1 for deposit clients, zero for the others."""
+    u = plan.features(_inputs(spark, sf), PARAMS, SEM).unified
+    c = training.model_income(u, _model(spark, sf))
+    flag = F.col("ind_activo_cap")
+    return c.select(
+        "id_master",
+        "ind_activo_cap",
+        F.when(flag == 0, F.coalesce(F.col("regr") == 0, F.lit(False))).alias("zero_other"),
+        F.when(flag == 1, F.coalesce((F.col("regr") > -1) & ~F.isnan("regr"), F.lit(False))).alias("present_deposit"),
+    )
 
 
 @query
@@ -371,7 +405,7 @@ def _factor_path(spark: SparkSession, sf: str) -> str:
     training table once per session and folder, saved as a one-row table,
     and loaded by the inference queries (as the original loads its saved
     factor).  The ``adjust_factor`` query computes it afresh."""
-    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf)
+    key = _session_key(spark, sf)
     if key not in _FACTORS:
         path = scratch_path(spark, "factor")
         io.save_factor(_factor(_inputs(spark, sf)), path)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientincome.functions.numeric import dbl
@@ -22,6 +22,7 @@ from clientincome.operators.sampling import hash_bucket
 FEATURES = ("saldo", "potencial", "recorrido", "edad")
 MIN_AGE, MAX_AGE = 18, 100  # fixed values: half-open training age range
 TRAIN_SHARE = 80            # percent of rows in the training split
+REGISTRY = "version STRING, path STRING"
 LAYOUT_PARTITIONS = 8       # parts of the training rows; raise it with their number
 
 
@@ -183,6 +184,11 @@ def split_by_deposit_flag(clients: DataFrame) -> DataFrame:
     return clients.where(F.col("ind_activo_cap").isin(0, 1))
 
 
+def register_model(spark: SparkSession, registry_path: str, version: str, path: str) -> None:
+    """Appends a (version, path) row to the model registry."""
+    spark.createDataFrame([(version, path)], REGISTRY).coalesce(1).write.mode("append").parquet(registry_path)
+
+
 def latest_model(registry: DataFrame) -> DataFrame:
     """Newest entry of a (version, path) model registry (O3).  A max over
     the version column: one partial aggregate, no driver-side listing."""

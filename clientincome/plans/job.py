@@ -7,7 +7,13 @@
 ``ROOT`` holds one folder per input (contact, account_hist, deposit_hist,
 transfer_hist, fx_hist, income, journey, calendar, census), parquet by
 default or CSV with a header (``--format csv``), read with the declared
-schemas.  ``--corrected`` switches to the CORRECTED semantics.
+schemas.  With ``--format table`` it is a pattern of catalog names, such as
+``extracts.{}``.  ``--corrected`` switches to the CORRECTED semantics.
+
+Each training writes a version of its own (``--version``, else the time in UTC)
+and a row of the registry table in DIR; ``infer`` takes the newest version, or
+the one named.  ``--executors`` and ``--executor-cores`` size the session for
+``--input-bytes`` of input.
 """
 
 from __future__ import annotations
@@ -15,11 +21,15 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from clientincome.operators import training
 from clientincome.plans import inference as plan
 from clientincome.semantics import CORRECTED, REFERENCE, RunParams
+from clientincome.session import cluster_conf
 from clientincome.sources import io, schemas
 
 
@@ -30,30 +40,53 @@ def _args(argv):
     ap.add_argument("--historia", type=int, default=6)
     ap.add_argument("--seed", type=int, default=123)
     ap.add_argument("--inputs", required=True)
-    ap.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+    ap.add_argument("--format", choices=["parquet", "csv", "table"], default="parquet")
     ap.add_argument("--models", required=True)
     ap.add_argument("--out")
+    ap.add_argument("--version")
     ap.add_argument("--corrected", action="store_true")
+    ap.add_argument("--input-bytes", type=int, default=0)
+    ap.add_argument("--executors", type=int, default=0)
+    ap.add_argument("--executor-cores", type=int, default=1)
     return ap.parse_args(argv)
 
 
+def _version(spark: SparkSession, registry: str, version: str | None) -> tuple[str, str]:
+    """The version named, or the newest of the registry, and its folder."""
+    known = spark.read.schema(training.REGISTRY).parquet(registry)
+    newest = training.latest_model(known.where(F.col("version") == version) if version else known).first()
+    if newest.version is None:
+        raise SystemExit(f"{registry} holds no version {version or 'at all'}")
+    return newest.version, newest.path
+
+
 def run(spark: SparkSession, argv) -> dict:
     a = _args(argv)
     params = RunParams(a.mes, a.historia, a.seed)
     sem = CORRECTED if a.corrected else REFERENCE
-    paths = {name: f"{a.inputs.rstrip('/')}/{name}" for name in schemas.SCHEMAS}
-    reader = schemas.read_inputs_csv if a.format == "csv" else schemas.read_inputs_parquet
-    inputs = reader(spark, paths)
-    model_path, factor_path = f"{a.models.rstrip('/')}/model", f"{a.models.rstrip('/')}/factor"
+    if a.executors:
+        for key, value in cluster_conf(a.input_bytes, a.executor_cores, a.executors).items():
+            if spark.conf.isModifiable(key):
+                spark.conf.set(key, value)
+    pattern = a.inputs if a.format == "table" else f"{a.inputs.rstrip('/')}/{{}}"
+    readers = {"csv": schemas.read_inputs_csv, "parquet": schemas.read_inputs_parquet, "table": schemas.read_inputs_table}
+    inputs = readers[a.format](spark, {name: pattern.format(name) for name in schemas.SCHEMAS})
+    models = a.models.rstrip("/")
+    registry = f"{models}/registry"
     result: dict = {}
     if a.mode in ("train", "all"):
-        status = plan.run_training(inputs, params, model_path, factor_path, sem=sem).first()
+        result["version"] = a.version or datetime.now(UTC).strftime("%Y-%m-%dT%H%M%S.%f")
+        path = f"{models}/{result['version']}"
+        status = plan.run_training(inputs, params, f"{path}/model", f"{path}/factor", sem=sem).first()
         result["training"] = status.asDict()
+        # last, so that the registry names whole versions only
+        training.register_model(spark, registry, result["version"], path)
     if a.mode in ("infer", "all"):
         if not a.out:
             raise SystemExit("--out is required to infer")
-        factor = io.load_factor(spark, factor_path)
-        scored, report = plan.run_inference(inputs, params, model_path, factor, sem)
+        result["version"], path = _version(spark, registry, result.get("version") or a.version)
+        factor = io.load_factor(spark, f"{path}/factor")
+        scored, report = plan.run_inference(inputs, params, f"{path}/model", factor, sem)
         result["outputs"] = plan.write_outputs(scored, report, a.out)
     return result
 

@@ -101,14 +101,21 @@ def read_census_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_inputs_parquet(spark: SparkSession, paths: Mapping[str, str]) -> Inputs:
-    """All nine inputs from parquet (the columnar default at scale); columns
-    are cast to the declared types so every source gives the same plan."""
+    """All nine inputs from parquet (the columnar default at scale)."""
+    return _declared({name: spark.read.parquet(paths[name]) for name in SCHEMAS})
 
-    def load(name: str) -> DataFrame:
-        df = spark.read.parquet(paths[name])
-        return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
 
-    return Inputs(**{name: load(name) for name in SCHEMAS})
+def read_inputs_table(spark: SparkSession, names: Mapping[str, str]) -> Inputs:
+    """All nine inputs from tables of the catalog."""
+    return _declared({name: io.read_table(spark, names[name]) for name in SCHEMAS})
+
+
+def _declared(frames: Mapping[str, DataFrame]) -> Inputs:
+    """The declared columns, cast to the declared types so every source gives the same plan."""
+    return Inputs(**{
+        name: df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+        for name, df in frames.items()
+    })
 
 
 def write_inputs(inputs: Inputs, root: str, fmt: str = "parquet", parallel: bool = True) -> dict[str, str]:

@@ -584,6 +584,17 @@ def oracle_sql() -> dict[str, str]:
               f"CAST(recorrido AS VARCHAR), CAST(edad AS VARCHAR))), 1, 8) AS UBIGINT) % 100 < 80")
     q["train_split"] = _typed(f"(SELECT *, {bucket} AS is_train FROM tprep) t",
                               prep_cols + [("is_train", "B")])
+    # a forest's own values are the engine's; these hold for any forest on these rows
+    q["train_model"] = _typed(
+        f"(SELECT 'success' AS status, COUNT(*) AS n, true AS in_label_range FROM tprep WHERE NOT ({bucket})) t",
+        [("status", "S"), ("n", "B"), ("in_label_range", "B")])
+    q["feature_importance"] = _typed(
+        "(SELECT unnest(['saldo', 'potencial', 'recorrido', 'edad']) AS feature, true AS non_negative, 1.0 AS total) t",
+        [("feature", "S"), ("non_negative", "B"), ("total", "D")])
+    q["model_income"] = _typed(
+        "(SELECT id_master, ind_activo_cap, CASE WHEN ind_activo_cap = 0 THEN true END AS zero_other, "
+        "CASE WHEN ind_activo_cap = 1 THEN true END AS present_deposit FROM unid) t",
+        [("id_master", "B"), ("ind_activo_cap", "B"), ("zero_other", "B"), ("present_deposit", "B")])
     q["target_log"] = _typed(
         "(SELECT id_master, mto_ing_mes, round_even(log10(CAST(mto_ing_mes AS DOUBLE) + 1), 10) AS log_mto_ing_mes, "
         "pow(10.0, log10(CAST(mto_ing_mes AS DOUBLE) + 1)) - 1 AS mto_ing_mes_back FROM train_feat) t",

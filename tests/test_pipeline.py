@@ -21,7 +21,7 @@ ORACLE_KEYS = [
     "deposits_account_month", "deposits_features", "deposits_enriched", "calendar_spine",
     "transfer_features", "fx_features", "feat_demographics", "unify_demographics",
     "train_features", "train_split", "adjust_factor", "score_clients", "report", "period_math",
-    "src_csv", "sink_csv", "dim_states",
+    "src_csv", "sink_csv", "dim_states", "train_model", "feature_importance", "model_income",
 ]
 
 
@@ -55,10 +55,10 @@ def test_matches_oracle(spark, duck, key):
     assert _canon(df.collect(), df.columns) == _canon(cur.fetchall(), dcols)
 
 
-def test_every_query_has_oracle_or_is_model_based():
+def test_every_query_has_oracle():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(entry._QUERIES) <= set(qs)
-    assert set(entry._QUERIES) - set(sql) == {"train_model", "model_income", "feature_importance"}
+    assert set(entry._QUERIES) <= set(sql)
 
 
 def test_entry_smoke(spark):
@@ -205,6 +205,25 @@ def test_run_training_then_inference(spark, inputs_small, tmp_path):
     assert io.read_csv(spark, paths["report"], rep.schema).count() == rep.count()
 
 
+def test_job_reads_catalog_tables_and_picks_the_newest_model(spark, inputs_small, tmp_path):
+    from clientincome.plans import job
+    from clientincome.sources import schemas
+
+    for name in schemas.SCHEMAS:
+        getattr(inputs_small, name).createOrReplaceTempView(f"extract_{name}")
+    common = ["--mes", "200012", "--inputs", "extract_{}", "--format", "table", "--models", str(tmp_path / "models")]
+    for version in ("2024-02", "2024-03", "2024-01"):
+        res = job.run(spark, ["train", *common, "--version", version])
+        assert res["training"]["path_model"].endswith(f"/{version}/model")
+    res = job.run(spark, ["infer", *common, "--out", str(tmp_path / "out")])
+    assert res["version"] == "2024-03"
+    assert spark.read.option("header", True).csv(res["outputs"]["scored"]).count() > 0
+    res = job.run(spark, ["infer", *common, "--out", str(tmp_path / "out_1"), "--version", "2024-01"])
+    assert res["version"] == "2024-01"
+    with pytest.raises(SystemExit):
+        job.run(spark, ["infer", *common, "--out", str(tmp_path / "out_2"), "--version", "2023-01"])
+
+
 def test_job_cli_train_and_infer(spark, inputs_small, tmp_path):
     from clientincome.plans import job
     from clientincome.sources import schemas
