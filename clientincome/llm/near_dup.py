@@ -5,15 +5,17 @@ equal sets (128-bit hash) form a class; its smallest doc_id stands for it, so
 thousands of copies are one node.
 
 Forest.  A signature has TREES * DEPTH minima; tree t sorts the nodes by its
-own DEPTH minima, over range partitions.  Candidates of a node are
+own DEPTH minima, over range partitions.  The cuts between partitions, and
+between the blocks of one, leave no trace in the candidates of a node:
 
-* its neighbours in sorted order, the longest common prefixes first, WINDOW to
-  either side, and
+* its neighbours in sorted order, WINDOW to either side, over the ends of blocks
+  and partitions too, and
 * in every region of a tree (a run of nodes that share a prefix) larger than
   that, the region's hub: the node whose signature agrees most with the
   majority of the region.  Dense regions are split further, prefix by prefix,
   down to regions that the window covers, so the depth adapts; a region of n
-  nodes gives n candidates and not all pairs.
+  nodes gives n candidates and not all pairs.  A region that reaches an end of a
+  block is put together from all blocks, its rows dealt over SALTS keys.
 
 Links.  Candidates whose whole signatures agree in fewer than MIN_AGREE places
 are dropped (a pair of similarity 0.75 agrees in so few with a chance of about
@@ -32,10 +34,13 @@ one node, each with its own set.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +53,8 @@ WINDOW = 2
 MIN_AGREE = 36  # of TREES * DEPTH
 SIMILAR = (75, 100)  # 100 * intersection >= 75 * union
 BLOCK = 20_000  # rows of a tree looked at together
+SALTS = 64  # keys over which the rows of a region in several blocks are dealt
+PAIR, REGION, EDGE = range(3)  # what a look at a block gives
 CACHED_WORDS = 300_000
 
 _N = TREES * DEPTH
@@ -127,54 +134,166 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(sketch, schema)
 
 
-def _best_of(region: np.ndarray) -> int:
-    """The row that agrees most with the majority of its region."""
-    flat = region.astype(np.int64) + 256 * np.arange(region.shape[1])
-    return int(np.bincount(flat.ravel(), minlength=256 * region.shape[1])[flat].sum(1).argmax())
+def _best_of(region: np.ndarray, ids: np.ndarray) -> int:
+    """The row that agrees in most places with the majority of its region, of equals the smallest id."""
+    places = np.arange(region.shape[1])
+    counts = np.bincount((region.astype(np.int64) + 256 * places).ravel(), minlength=256 * region.shape[1])
+    agree = (region == counts.reshape(-1, 256).argmax(1)).sum(1)
+    return int(np.lexsort((ids, -agree))[0])
 
 
-def block_candidates(tree: np.ndarray, keys: np.ndarray, marks: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> set[tuple[int, int, int]]:
-    """(a, b, agreement) of the candidates among sorted rows of the forest.
+class Block(NamedTuple):
+    """Sorted rows of the forest: ``keys`` are DEPTH minima of each row in its
+    tree, ``marks`` a byte of every minimum of the whole signature."""
 
-    ``keys``: DEPTH minima of each row in its tree; ``marks``: a byte of every
-    minimum of the whole signature.
-    """
-    n = len(ids)
-    if n < 2:
-        return set()
-    same = (keys[1:] == keys[:-1]) & (tree[1:] == tree[:-1])[:, None]
-    prefix = np.cumprod(same, axis=1).sum(1)
-    left, right = [], []
-    shared = prefix
-    for w in range(1, min(WINDOW, n - 1) + 1):
-        if w > 1:
-            shared = np.minimum(shared[: n - w], prefix[w - 1 :])
-        at = np.flatnonzero(shared > 0)
-        left.append(at)
-        right.append(at + w)
-    for depth in range(1, DEPTH + 1):
-        edges = np.flatnonzero(np.diff(np.r_[0, prefix >= depth, 0]))
-        for first, last in edges.reshape(-1, 2):  # rows first..last share the prefix
-            if last - first <= 2 * WINDOW:
-                continue
-            hub = first + _best_of(marks[first : last + 1])
-            others = np.r_[first:hub, hub + 1 : last + 1]
-            left.append(np.full(len(others), hub))
-            right.append(others)
-    a, b = np.concatenate(left), np.concatenate(right)
+    tree: np.ndarray
+    keys: np.ndarray
+    marks: np.ndarray
+    ids: np.ndarray
+    sizes: np.ndarray
+
+    def rows(self, at) -> Block:
+        return Block(*(x[at] for x in self))
+
+    def after(self, other: Block) -> Block:
+        return Block(*(np.concatenate(x) for x in zip(other, self, strict=True)))
+
+    def shared(self, w: int) -> np.ndarray:
+        """The length of the prefix that each row shares with the one ``w`` rows on."""
+        same = (self.keys[w:] == self.keys[:-w]) & (self.tree[w:] == self.tree[:-w])[:, None]
+        return np.cumprod(same, axis=1).sum(1)
+
+
+def _close(rows: Block, a: np.ndarray, b: np.ndarray) -> set[tuple[int, int, int]]:
+    """(a, b, agreement) of those pairs of rows whose sizes and signatures allow a link."""
     out = set()
     for k in range(0, len(a), 100_000):
         x, y = a[k : k + 100_000], b[k : k + 100_000]
-        low, high = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
-        fits = (SIMILAR[1] * low >= SIMILAR[0] * high) & (ids[x] != ids[y])
+        low, high = np.minimum(rows.sizes[x], rows.sizes[y]), np.maximum(rows.sizes[x], rows.sizes[y])
+        fits = (SIMILAR[1] * low >= SIMILAR[0] * high) & (rows.ids[x] != rows.ids[y])
         x, y = x[fits], y[fits]
-        agree = (marks[x] == marks[y]).sum(1)
+        agree = (rows.marks[x] == rows.marks[y]).sum(1)
         close = agree >= MIN_AGREE
-        x, y, agree = x[close], y[close], agree[close]
-        out.update(zip(np.minimum(ids[x], ids[y]).tolist(), np.maximum(ids[x], ids[y]).tolist(), agree.tolist(), strict=True))
+        x, y, agree = rows.ids[x[close]], rows.ids[y[close]], agree[close]
+        out.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), agree.tolist(), strict=True))
     return out
 
 
+def window_candidates(rows: Block, piece: np.ndarray | None = None) -> set[tuple[int, int, int]]:
+    """Pairs of rows up to WINDOW apart that share a prefix; with ``piece``, those of different pieces alone."""
+    out = set()
+    for w in range(1, min(WINDOW, len(rows.ids) - 1) + 1):
+        meet = rows.shared(w) > 0
+        if piece is not None:
+            meet &= piece[w:] != piece[:-w]
+        at = np.flatnonzero(meet)
+        out |= _close(rows, at, at + w)
+    return out
+
+
+def region_candidates(rows: Block) -> tuple[set[tuple[int, int, int]], list[tuple[bytes, int, int]]]:
+    """Candidates of the regions that end within the block, and the others.
+
+    A region that holds the first or the last row may go on in another block:
+    it is returned as (its name, first row, last row).
+    """
+    n = len(rows.ids)
+    if n == 0:
+        return set(), []
+    prefix = rows.shared(1)
+    hubs, others, going_on = [], [], []
+    for depth in range(1, DEPTH + 1):
+        bounds = np.flatnonzero(np.r_[True, prefix < depth, True])
+        inner = bounds[1:-1] if len(bounds) > 2 else bounds[:0]
+        for first, last in {(0, int(bounds[1]) - 1), (int(bounds[-2]), n - 1)}:
+            name = bytes([rows.tree[first], depth]) + rows.keys[first, :depth].astype(">u4").tobytes()
+            going_on.append((name, first, last))
+        for k in np.flatnonzero(np.diff(inner) > 2 * WINDOW + 1):
+            first, last = inner[k], inner[k + 1] - 1  # rows first..last share the prefix
+            hub = first + _best_of(rows.marks[first : last + 1], rows.ids[first : last + 1])
+            rest = np.r_[first:hub, hub + 1 : last + 1]
+            hubs.append(np.full(len(rest), hub))
+            others.append(rest)
+    if not hubs:
+        return set(), going_on
+    return _close(rows, np.concatenate(hubs), np.concatenate(others)), going_on
+
+
+def _salted(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """``rows`` joined to one row for each region, the rows of a region dealt over SALTS keys."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    mine = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return mine.join(regions.select("*", salts), ["region", "salt"])
+
+
+def hub_candidates(going_on: DataFrame) -> DataFrame:
+    """(a, b, agree) of the regions that lie in several blocks, by the same hub as in one.
+
+    ``going_on``: (region, id, size, marks), a row for each region and node.
+    """
+    large = going_on.groupBy("region").count().where(F.col("count") > 2 * WINDOW + 1).select("region")
+    rows = written(_salted(going_on, large).drop("salt"), "nd-regions")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, np.ndarray] = {}
+
+        def counted() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.binary()), pa.array([zlib.compress(x.tobytes(), 1) for x in held.values()], pa.binary())], ["region", "counts"]
+            )
+            held.clear()
+            return out
+
+        for b in batches:
+            marks = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, _N) + 256 * np.arange(_N)
+            at: dict[bytes, list[int]] = {}
+            for i, name in enumerate(b.column(0).to_pylist()):
+                at.setdefault(name, []).append(i)
+            for name, some in at.items():
+                counts = np.bincount(marks[some].ravel(), minlength=256 * _N)
+                held[name] = held[name] + counts if name in held else counts
+            if len(held) > 100:
+                yield counted()
+        yield counted()
+
+    def merge(parts: pa.Table) -> pa.Table:
+        total = np.zeros(256 * _N, np.int64)
+        for x in parts["counts"]:
+            total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+        most = total.reshape(-1, 256).argmax(1).astype(np.uint8)  # of equally frequent marks the smallest
+        return pa.table([parts["region"].slice(0, 1), pa.array([most.tobytes()], pa.binary())], ["region", "majority"])
+
+    counts = rows.select("region", "marks").mapInArrow(count, "region binary, counts binary")
+    majority = counts.groupBy("region").applyInArrow(merge, "region binary, majority binary")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, _N) for c in ("marks", "majority"))
+            agree = pa.array((x == y).sum(1), pa.int32())
+            columns = [b.column(c) for c in ("region", "id", "size", "marks")]
+            yield pa.RecordBatch.from_arrays([*columns, agree], ["region", "id", "size", "marks", "agree"])
+
+    scored = _salted(rows, majority).drop("salt").mapInArrow(score, "region binary, id long, size long, marks binary, agree int")
+    best = F.max(F.struct("agree", (-F.col("id")).alias("id"), "size", "marks"))
+    hubs = scored.groupBy("region").agg(best.alias("hub")).select(
+        "region", (-F.col("hub.id")).alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.marks").alias("hub_marks")
+    )
+    fits = SIMILAR[1] * F.least("size", "hub_size") >= SIMILAR[0] * F.greatest("size", "hub_size")
+    met = _salted(rows, hubs).where((F.col("id") != F.col("hub")) & fits)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, _N) for c in ("marks", "hub_marks"))
+            a, h, agree = b.column("id").to_numpy(), b.column("hub").to_numpy(), (x == y).sum(1)
+            close = agree >= MIN_AGREE
+            a, h, agree = a[close], h[close], agree[close]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, h)), pa.array(np.maximum(a, h)), pa.array(agree, pa.int32())], ["a", "b", "agree"]
+            )
+
+    return met.select("id", "hub", "marks", "hub_marks").mapInArrow(compare, "a long, b long, agree int")
+
+
 def candidates(nodes: DataFrame) -> DataFrame:
     """Distinct candidate pairs (a, b, agree) of ``nodes`` (doc_id, n_shingles, signature)."""
 
@@ -198,36 +317,88 @@ def candidates(nodes: DataFrame) -> DataFrame:
     )
     ordered = forest.repartitionByRange(2 * partitions(nodes.sparkSession), "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
 
+    names = ["kind", "a", "b", "agree", "region", "marks", "piece"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
+
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        piece = TaskContext.get().partitionId()
+
+        def out(kind: int, *columns) -> pa.RecordBatch:
+            """Some of the columns a to marks, the others null."""
+            n = len(columns[0])
+            full = [[kind] * n, *(c if c is not None else [None] * n for c in columns), [piece] * n]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(full, types, strict=True)], names)
+
+        def pairs(found: set[tuple[int, int, int]]) -> pa.RecordBatch:
+            rows = sorted(found)
+            return out(PAIR, *([r[i] for r in rows] for i in range(3)), None, None)
 
-        def found() -> pa.RecordBatch:
+        def edge(rows: Block) -> pa.RecordBatch:
+            keys, marks = [k.astype(">u4").tobytes() for k in rows.keys], [m.tobytes() for m in rows.marks]
+            return out(EDGE, rows.ids, rows.sizes, rows.tree, keys, marks)
+
+        def block(held: list[pa.RecordBatch]) -> Block:
             t = pa.Table.from_batches(held)
             n = t.num_rows
-            out = sorted(
-                block_candidates(
-                    t["tree"].to_numpy(), np.frombuffer(b"".join(t["key"].to_pylist()), ">u4").reshape(n, DEPTH),
-                    np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint8).reshape(n, _N), t["id"].to_numpy(), t["size"].to_numpy(),
-                )
+            return Block(
+                t["tree"].to_numpy(), np.frombuffer(b"".join(t["key"].to_pylist()), ">u4").reshape(n, DEPTH),
+                np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint8).reshape(n, _N), t["id"].to_numpy(), t["size"].to_numpy(),
             )
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "agree"]
-            )
 
-        rows = 0
-        for b in batches:
-            if b.num_rows:
-                held.append(b)
-                rows += b.num_rows
-            if rows >= BLOCK:
-                yield found()
-                # the next block begins with the last rows of this one
-                held = held[-1:]
-                rows = held[0].num_rows
-        if held:
-            yield found()
-
-    return ordered.mapInArrow(look, "a long, b long, agree int").distinct()
+        def blocks() -> Iterator[Block]:
+            held: list[pa.RecordBatch] = []
+            for b in batches:
+                if b.num_rows:
+                    held.append(b)
+                if sum(x.num_rows for x in held) >= BLOCK:
+                    yield block(held)
+                    held = []
+            if held:
+                yield block(held)
+
+        first: Block | None = None
+        last: Block | None = None
+        for rows in blocks():
+            found, going_on = region_candidates(rows)
+            # windows reach back to the last rows of the block before
+            joined = rows if last is None else rows.after(last)
+            yield pairs(found | window_candidates(joined))
+            for name, x, y in going_on:
+                for k in range(x, y + 1, 1000):
+                    at = slice(k, min(k + 1000, y + 1))
+                    some = rows.ids[at]
+                    yield out(REGION, some, rows.sizes[at], None, [name] * len(some), [m.tobytes() for m in rows.marks[at]])
+            if first is None or len(first.ids) < WINDOW:
+                first = joined.rows(slice(0, WINDOW))
+            last = joined.rows(slice(-WINDOW, None))
+        if first is not None:
+            known = set(zip(first.tree.tolist(), first.ids.tolist(), strict=True))
+            yield edge(first)
+            yield edge(last.rows([i for i, x in enumerate(zip(last.tree.tolist(), last.ids.tolist(), strict=True)) if x not in known]))
+
+    schema = "kind int, a long, b long, agree int, region binary, marks binary, piece int"
+    seen = written(ordered.mapInArrow(look, schema), "nd-looks")
+
+    def seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows over the ends of the range partitions, from 2 * WINDOW rows of each at most."""
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        n = t.num_rows
+        rows = Block(
+            t["agree"].to_numpy(), np.frombuffer(b"".join(t["region"].to_pylist()), ">u4").reshape(n, DEPTH),
+            np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint8).reshape(n, _N), t["a"].to_numpy(), t["b"].to_numpy(),
+        )
+        found = sorted(window_candidates(rows, t["piece"].to_numpy()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in found], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "agree"]
+        )
+
+    edges = seen.where(F.col("kind") == EDGE).drop("kind").repartition(1).sortWithinPartitions("agree", "region", "a")
+    over = edges.mapInArrow(seams, "a long, b long, agree int")
+    going_on = seen.where(F.col("kind") == REGION).select("region", F.col("a").alias("id"), F.col("b").alias("size"), "marks")
+    return seen.where(F.col("kind") == PAIR).select("a", "b", "agree").unionByName(over).unionByName(hub_candidates(going_on)).distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:

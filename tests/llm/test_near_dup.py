@@ -65,3 +65,25 @@ def test_components(spark):
     links = [(a, b) for a, b in links if a != b]
     got = components(spark.createDataFrame(links, "a long, b long"))
     assert {r["node"]: r["component"] for r in got.collect()} == brute.components(links)
+
+
+def test_candidates_whatever_the_partitions(spark, make_docs):
+    """A region cut by ranges and blocks has one hub, and the windows reach over the cuts."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    docs = [list(base) for _ in range(301)]
+    for words in docs[1:]:
+        for i in rng.sample(range(300), 8):
+            words[i] = f"w{rng.randrange(10**6)}"
+    docs += [[f"x{rng.randrange(10**6)}" for _ in range(80)] for _ in range(100)]
+    docs += [[*words[:-1], "end"] for words in docs[-100:]]
+    nodes = near_dup.sketches(make_docs([(i, " ".join(w)) for i, w in enumerate(docs)])).cache()
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("8", "64", "400"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append({(r["a"], r["b"]) for r in near_dup.candidates(nodes).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+    assert {(0, i) for i in range(1, 301)} | {(i, i + 100) for i in range(301, 401)} <= found[0]
