@@ -24,8 +24,10 @@ sets; then all candidates between different components are confirmed, so no
 candidate that could join two components goes unchecked.
 
 A pair of similarity s shares a prefix of length 1 in some tree with a chance
-of 1 - (1 - s)**TREES, above 0.9999999 from 0.75 on.  What is missed: a pair
-that is never close in a crowded region although nothing else links it.
+of 1 - (1 - s)**TREES, above 0.9999999 from 0.75 on; that is no chance of being
+compared.  What is missed: pairs that meet in crowded regions alone, are never
+neighbours or hub there, and that nothing else links, as happens among documents
+that share a long passage and are themselves just below 0.75.
 
 Nulls and empty texts have an empty set, linked with nothing.  A null doc_id
 is linked with nothing and kept, its component is null.  Rows of one doc_id are
