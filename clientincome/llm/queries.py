@@ -1,16 +1,17 @@
-"""The queries of the ten corpus operators, over whole tables of a test folder."""
+"""The queries of the corpus operators, over whole tables of a test folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientincome.llm import decontaminate, line_dedup, near_dup, packing, passage_dedup, repetition, token_files, toxicity, unigram, warc
+from clientincome.llm import conversation_trie, decontaminate, line_dedup, near_dup, packing, passage_dedup, repetition, token_files, toxicity, unigram, warc
 from clientincome.llm.common import table, written
 from clientincome.session import scratch_path
 
 WORD_VOCABULARY, BYTE_VOCABULARY, RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 END_ID, PACK_END, CAPACITY = 2, 0, 2048
+TRIE_GROUP, TRIE_HEADS = 5, 9  # see op11_conversation_trie
 HELD_OUT = 5  # a document is held out if the CRC-32 of its id is divisible by this
 
 
@@ -94,9 +95,21 @@ def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), vocabulary(BYTE_VOCABULARY), PACK_END, CAPACITY)
 
 
+def op11_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Every node of the prefix trie of conversations rebuilt on the first of their group."""
+    turns = conversation_trie.rebuilt(conversation_trie.numbered(table(spark, sf, "conversations")), TRIE_GROUP, TRIE_HEADS)
+    nodes, ends = conversation_trie.prefix_trie(turns)
+    digests = conversation_trie.member_digests(ends)
+    return nodes.join(digests, "name", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved_bytes").alias("saved_tokens"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_toxicity, op3_minhash_near_dedup, op4_quality_rules, op5_suffix_array_dedup, op6_token_counts,
     op7_benchmark_decontamination, op8_token_files, op9_warc, op10_best_fit_packing,
+    op11_conversation_trie,
 )}
 
 OP1_SQL = f"""
@@ -141,4 +154,48 @@ select page_id, n::bigint as payload_bytes, b32 as payload_digest,
 from bits
 """
 
-SQL = {"op1_line_dedup": OP1_SQL, "op9_warc": OP9_SQL}
+OP11_SQL = f"""
+with convs as (
+  select distinct conv_id, conv_id - conv_id % {TRIE_GROUP} as base,
+    (4294967295 - list_reduce(
+      flatten(list_transform(string_split(conv_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+      -- a byte is xored in, then shifted out bit by bit
+      lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, 3988292384 * (c & 1)) end, 4294967295::bigint)) % {TRIE_HEADS} as h
+  from conversations where conv_id is not null
+), turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i
+  from conversations where conv_id is not null
+), rebuilt as (
+  select c.conv_id, t.i, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.i <= c.h
+  union all
+  select c.conv_id, t.i + 1000000000, t.role, t.text from convs c join turns t on t.conv_id = c.conv_id and t.i > c.h
+), paths as (
+  select conv_id, row_number() over (partition by conv_id order by i) as depth, octet_length(encode(text)) as bytes,
+    list(sha256(octet_length(encode(role)) || ':' || role || text)) over (partition by conv_id order by i) as name
+  from rebuilt
+), all_paths as (
+  select conv_id, depth, bytes, sha256(array_to_string(name, '')) as name from paths
+  union all
+  select conv_id, 0, 0, '' from convs
+), nodes as (
+  select name, min(conv_id) as conv_id, any_value(depth) as depth, count(*) as n_convs, any_value(bytes) as bytes from all_paths group by name
+), up as (
+  select n.name, p.name as parent, p.conv_id as parent_conv_id
+  from nodes n join all_paths a on a.conv_id = n.conv_id and a.depth = n.depth - 1 join nodes p on p.name = a.name
+), children as (
+  select parent as name, count(*) as n_children from up group by parent
+), above as (
+  select a.name, sum((c.name is null)::int) as n_leaves, sum((n.n_convs - 1) * n.bytes) as saved_tokens
+  from nodes n left join children c using (name) join all_paths a on a.conv_id = n.conv_id and a.depth <= n.depth
+  group by a.name
+), ends as (
+  select name, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256
+  from (select conv_id, arg_max(name, depth) as name from all_paths group by conv_id) group by name
+)
+select n.conv_id, n.depth::bigint as depth, up.parent_conv_id, n.n_convs::bigint as n_convs, coalesce(c.n_children, 0)::bigint as n_children,
+  a.n_leaves::bigint as n_leaves, a.saved_tokens::bigint as saved_tokens, coalesce(e.ends_sha256, sha256('')) as ends_sha256
+from nodes n left join up using (name) left join children c using (name) join above a using (name) left join ends e using (name)
+"""
+
+SQL = {"op1_line_dedup": OP1_SQL, "op9_warc": OP9_SQL, "op11_conversation_trie": OP11_SQL}
