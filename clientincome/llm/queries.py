@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientincome.llm import conversation_trie, decontaminate, line_dedup, near_dup, packing, passage_dedup, repetition, token_files, toxicity, unigram, warc
+from clientincome.llm import conversation_trie, decontaminate, language_id, line_dedup, near_dup, packing, passage_dedup, repetition, spelling, token_files, toxicity, unigram, warc
 from clientincome.llm.common import table, written
 from clientincome.session import scratch_path
 
 WORD_VOCABULARY, BYTE_VOCABULARY, RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 END_ID, PACK_END, CAPACITY = 2, 0, 2048
+LANG_FOLDS, LANG_HELD_OUT = 4, 2  # held out: CRC-32 of the id leaves this remainder
 TRIE_GROUP, TRIE_HEADS = 5, 9  # see op11_conversation_trie
+MIN_LETTERS, MIN_COUNT = 5, 3  # of a word that op13 looks at
 HELD_OUT = 5  # a document is held out if the CRC-32 of its id is divisible by this
 
 
@@ -106,10 +109,25 @@ def op11_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document, learnt outside the held-out quarter."""
+    docs = table(spark, sf, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % LANG_FOLDS
+    apart = F.coalesce(rest == LANG_HELD_OUT, F.lit(False))
+    model = language_id.fit(docs, ~apart, vocabulary(MULTI_RANKS))
+    return language_id.identify(docs, model).select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of all documents, their spelling variants and the word each stands for."""
+    words = spelling.counted(spelling.occurrences(table(spark, sf, "documents")), MIN_LETTERS, MIN_COUNT)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_toxicity, op3_minhash_near_dedup, op4_quality_rules, op5_suffix_array_dedup, op6_token_counts,
     op7_benchmark_decontamination, op8_token_files, op9_warc, op10_best_fit_packing,
-    op11_conversation_trie,
+    op11_conversation_trie, op12_language_id, op13_spelling_variants,
 )}
 
 OP1_SQL = f"""
@@ -198,4 +216,44 @@ select n.conv_id, n.depth::bigint as depth, up.parent_conv_id, n.n_convs::bigint
 from nodes n left join up using (name) left join children c using (name) join above a using (name) left join ends e using (name)
 """
 
-SQL = {"op1_line_dedup": OP1_SQL, "op9_warc": OP9_SQL, "op11_conversation_trie": OP11_SQL}
+OP13_SQL = f"""
+with runs as (
+  select coalesce(doc_id::varchar, '') || ':' || run as id, run, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run
+    from documents) group by doc_id, run
+), hashed as (
+  -- CRC-32: a byte of the UTF-8 text is xored in, then shifted out bit by bit
+  select run, n, 4294967295 - list_reduce(flatten(list_transform(
+      string_split(id, ''), lambda c: case when ascii(c) < 128 then [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]
+        else [192 + (ascii(c) >> 6)::bigint, -1, -1, -1, -1, -1, -1, -1, -1, 128 + (ascii(c) & 63)::bigint, -1, -1, -1, -1, -1, -1, -1, -1] end)),
+    lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, 3988292384 * (c & 1)) end, 4294967295::bigint) as h
+  from runs
+), words as (
+  select word, sum(n)::bigint as n from (
+    select case when h % {spelling.SPOILT} = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n
+    from hashed) where length(word) >= {MIN_LETTERS} group by word having sum(n) >= {MIN_COUNT}
+), cuts as (
+  select word, n, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail
+  from (select word, n, unnest(generate_series(1, length(word))) as i from words)
+), pairs as (
+  select a.word, a.n, b.word as near, b.n as near_n from cuts a join cuts b on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word
+  union
+  select w.word, w.n, c.word, c.n from words w join cuts c on c.head || c.tail = w.word
+  union
+  select c.word, c.n, w.word, w.n from words w join cuts c on c.head || c.tail = w.word
+), best as (
+  select word, count(*) as n_near, min({{'m': -near_n, 'w': near}}) as b, any_value(n) as n from pairs group by word
+), forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when -b.b.m >= 2 * w.n then b.b.w end as form, case when -b.b.m >= 2 * w.n then -b.b.m end as form_n
+  from words w left join best b using (word)
+), chains as (
+  with recursive step(word, here, next) as (
+    select word, word, form from forms
+    union all
+    select s.word, s.next, f.form from step s join forms f on f.word = s.next
+  ) select word, here as root from step where next is null
+)
+select word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n from forms join chains using (word)
+"""
+
+SQL = {"op1_line_dedup": OP1_SQL, "op9_warc": OP9_SQL, "op11_conversation_trie": OP11_SQL, "op13_spelling_variants": OP13_SQL}
