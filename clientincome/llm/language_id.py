@@ -1,6 +1,6 @@
 """Language identification by segmentation-marginalised unigrams.
 
-A word is a run of letters (and marks on them), lower-cased, with a space
+A word is a run of a-z and of characters beyond ASCII, lower-cased, with a space
 before it, as UTF-8 bytes.  Its pieces come from a fixed public vocabulary of
 byte strings that holds every single byte, so each word has segmentations.  A
 language has a probability for each piece; the probability of a word is the sum
@@ -16,7 +16,9 @@ unseen piece costs the same everywhere.
 
 Scoring (``identify``).  Whole texts; a word is scored once by a worker and
 then remembered.  The score is the probability of the predicted language given
-the text, with the languages' shares of the learning rows as a prior.
+the text, with the languages' shares of the learning rows as a prior.  Words of one
+length are summed together: their spans are hashed (64 bits) side by side and
+looked up in the vocabulary's table of hashes.
 
 Sizes.  The model has a float for each piece and language: it is the only thing
 that passes through the driver, and is bounded by the vocabulary times the
@@ -51,10 +53,13 @@ ADDED = 0.1  # added to the count of every piece in all languages together
 LONGEST = 24  # bytes of a piece that is used
 LONG = 64  # bytes of a word that is summed together with others of its length
 HELD_WORDS = 400_000  # distinct words that a task counts before it hands them on
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000  # words whose sums a worker remembers (about 150 bytes each)
 TOGETHER = 2_000  # words of equal length summed at a time
 
-_LETTERS = r"\p{L}[\p{L}\p{M}]*"
+_FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_CELLS = 1 << 19  # of the table of hashes; a sixth of them hold a piece at most
+# a-z and what is beyond ASCII stay, A-Z become a-z, the rest of ASCII parts words
+_FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
 class Vocabulary:
@@ -63,12 +68,41 @@ class Vocabulary:
     def __init__(self, path: str):
         with open_read(path) as f:
             pieces = sorted(base64.b64decode(line.split()[0]) for line in f.read().splitlines() if line)
-        self.number = {p: i for i, p in enumerate(p for p in pieces if len(p) <= LONGEST)}
+        pieces = [p for p in pieces if len(p) <= LONGEST]
+        self.number = {p: i for i, p in enumerate(pieces)}
         missing = [b for b in range(256) if bytes([b]) not in self.number]
         if missing:
             raise ValueError(f"{path}: no pieces for the bytes {missing[:5]}")
-        self.none = len(self.number)
-        self.longest = max(map(len, self.number))
+        if 6 * len(pieces) > _CELLS:
+            raise ValueError(f"{path}: more than {_CELLS // 6} pieces")
+        self.none = len(pieces)
+        self.longest = max(map(len, pieces))
+        # open addressing: a piece lies in its cell or in one of the next ``probes``
+        self.hashes, self.at = np.zeros(_CELLS + 64, np.uint64), np.full(_CELLS + 64, self.none, np.int32)
+        self.probes = 1
+        for p, i in self.number.items():
+            h = 0
+            for c in p:
+                h = ((h + c + 1) * int(_FACTOR)) % 2**64
+            cell = first = self._cell(np.array([h], np.uint64))[0]
+            while self.at[cell] != self.none:
+                cell += 1
+            self.hashes[cell], self.at[cell] = h, i
+            self.probes = max(self.probes, int(cell - first) + 1)
+
+    @staticmethod
+    def _cell(h: np.ndarray) -> np.ndarray:
+        return ((h ^ (h >> np.uint64(31))) * _MIX >> np.uint64(45)).astype(np.intp)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of ``h`` that are the hash of a piece, ascending, and the pieces."""
+        cell = self._cell(h)
+        found = np.full(len(h), self.none, np.int32)
+        for k in range(self.probes):
+            hit = self.hashes[cell + k] == h
+            found[hit] = self.at[cell + k][hit]
+        where = np.flatnonzero(found != self.none)
+        return where, found[where]
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
@@ -81,10 +115,11 @@ def _vocabulary(path: str) -> Vocabulary:
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """The words of a text as the model sees them."""
-    import regex
-
-    return [b" " + w.encode("utf-8", "replace") for w in regex.findall(_LETTERS, (text or "").lower())]
+    """The words of a text as the model sees them, without the space; none if the text has no letter."""
+    words = (text or "").lower().encode("utf-8", "replace").translate(_FOLD).split()
+    if words and not any(w.isascii() for w in words) and not any(map(str.isalpha, text)):
+        return []  # signs beyond ASCII alone
+    return words
 
 
 # ---------------------------------------------------------------- segmentations
@@ -97,16 +132,19 @@ class Segmentations:
     def __init__(self, vocabulary: Vocabulary, p: np.ndarray):
         self.v, self.p = vocabulary, p
 
-    def _pieces(self, words: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
-        """Of words of one length: (start, end) -> number of the piece there in each word; spans that are no piece in any are left out."""
-        n, get, none = len(words[0]), self.v.number.get, self.v.none
-        out = {}
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.v.longest), end):
-                found = [get(w[start:end], none) for w in words]
-                if any(x != none for x in found):
-                    out[start, end] = np.array(found)
-        return out
+    def _pieces(self, words: list[bytes]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """Of words of one length: (start, end) -> which words have a piece there, and the pieces; in the order of ends."""
+        n = len(words[0])
+        chars = np.frombuffer(b"".join(words), np.uint8).reshape(-1, n).astype(np.uint64).T + np.uint64(1)
+        found = {}
+        for start in range(n):
+            h = np.zeros(len(words), np.uint64)
+            for end in range(start + 1, min(n, start + self.v.longest) + 1):
+                h = (h + chars[end - 1]) * _FACTOR
+                where, ids = self.v.find(h)
+                if len(where):
+                    found[start, end] = where, ids
+        return dict(sorted(found.items(), key=lambda x: x[0][::-1]))
 
     def _alike(self, words: list[bytes]) -> Iterator[list[int]]:
         """Places of words of one length, TOGETHER at most."""
@@ -133,8 +171,8 @@ class Segmentations:
     def _forward(self, spans, n: int, count: int) -> np.ndarray:
         a = np.zeros((n + 1, count, self.p.shape[1]))
         a[0] = 1.0
-        for (start, end), ids in spans.items():  # in the order of their ends
-            a[end] += a[start] * self.p[ids]
+        for (start, end), (where, ids) in spans.items():  # in the order of their ends
+            a[end, where] += a[start, where] * self.p[ids]
         return a
 
     def _long(self, word: bytes) -> np.ndarray:
@@ -166,11 +204,13 @@ class Segmentations:
                 a = self._forward(spans, len(part[0]), len(part))
                 b = np.zeros_like(a)
                 b[-1] = 1.0
-                for (start, end), ids in reversed(spans.items()):
-                    b[start] += b[end] * self.p[ids]
+                for (start, end), (where, ids) in reversed(spans.items()):
+                    b[start, where] += b[end, where] * self.p[ids]
                 weight = counts[some] / a[-1]
-                for (start, end), ids in spans.items():
-                    np.add.at(out, ids, weight * a[start] * self.p[ids] * b[end])
+                shares = [weight[where] * a[start, where] * self.p[ids] * b[end, where] for (start, end), (where, ids) in spans.items()]
+                pieces_at, shares = np.concatenate([ids for _, ids in spans.values()]), np.concatenate(shares)
+                for lang in range(out.shape[1]):
+                    out[:, lang] += np.bincount(pieces_at, shares[:, lang], len(out))
         return out
 
 
@@ -188,21 +228,22 @@ def word_counts(docs: DataFrame, learn: Column) -> DataFrame:
     """(lang, word, n) over the rows of ``docs`` (doc_id, text, lang) for which ``learn`` holds."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def counted() -> pa.RecordBatch:
-            kinds = (pa.string(), pa.binary(), pa.int64())
-            rows = zip(*((lang, word, n) for (lang, word), n in held.items()), strict=True) if held else ([], [], [])
-            out = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(rows, kinds, strict=True)], ["lang", "word", "n"])
+        held: dict[str, Counter] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, words in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(words), pa.string()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())],
+                    ["lang", "word", "n"],
+                )
             held.clear()
-            return out
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                held.update([(lang, w) for w in words_of(text)])
-                if len(held) > HELD_WORDS:
-                    yield counted()
-        yield counted()
+                held.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, held.values())) > HELD_WORDS:
+                yield from counted()
+        yield from counted()
 
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     return rows.mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -235,7 +276,7 @@ def fit(docs: DataFrame, learn: Column, vocabulary: str) -> Model:
                     for x in each:
                         counts[i, place[x["lang"]]] += x["n"]
                 if some:
-                    total += sums.expected(some, counts)
+                    total += sums.expected([b" " + w for w in some], counts)
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], ["piece", "lang", "n"]
@@ -269,36 +310,50 @@ class Scorer:
         self.sums = Segmentations(_vocabulary(model.vocabulary), model.p.value)
         self.prior = model.log_prior
         self.row: dict[bytes, int] = {}  # word -> its row in logs
-        self.logs = np.empty((0, len(model.languages)))
+        self.logs = np.empty((0, len(model.languages)), np.float32)
 
     def _learn(self, new: list[bytes]) -> None:
         n = len(self.row)
         if n + len(new) > len(self.logs):
-            larger = np.empty((2 * n + len(new), self.logs.shape[1]))
+            larger = np.empty((2 * n + len(new), self.logs.shape[1]), np.float32)
             larger[:n] = self.logs[:n]
             self.logs = larger
-        self.logs[n : n + len(new)] = self.sums.log_sums(new)
+        self.logs[n : n + len(new)] = self.sums.log_sums([b" " + w for w in new])
         self.row.update(zip(new, range(n, n + len(new)), strict=True))
 
     def of(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """The log probability of each text and language; None without a word."""
-        split = [Counter(words_of(t)) for t in texts]
-        if len(self.row) > CACHED_WORDS:
-            self.row = {}
-        self._learn(sorted(set().union(*split).difference(self.row)))
+        split = [words_of(t) for t in texts]
+        new = sorted(set().union(*split).difference(self.row))
+        self._learn(new)
         out: list[np.ndarray | None] = []
         for words in split:
             at = np.fromiter(map(self.row.__getitem__, words), np.intp, len(words))
-            out.append(self.prior + np.fromiter(words.values(), float, len(words)) @ self.logs[at] if words else None)
+            out.append(self.prior + self.logs[at].sum(0, dtype=np.float64) if words else None)
+        if len(self.row) > CACHED_WORDS:
+            for w in new:
+                del self.row[w]
         return out
 
 
+_SCORERS: dict[int, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """The worker's scorer for a model, kept between tasks; an earlier model's goes."""
+    key = id(model.p.value)
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Scorer(model)
+    return _SCORERS[key]
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs`` (doc_id, text)."""
     small_batches(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model) if model.languages else None
+        scorer = _scorer(model) if model.languages else None
         for b in batches:
             texts, found, scores = b.column(1).to_pylist(), [], []
             for x in scorer.of(texts) if scorer else [None] * len(texts):

@@ -15,7 +15,8 @@ name; only files in the manifest count, so a lost or repeated attempt leaves
 no wrong shard.
 
 Nulls: a null text is empty (its frame holds the end id alone), a null doc_id
-sorts first and stays null.  Repeated doc_ids each keep their own frame.
+sorts first and stays null.  Repeated doc_ids each keep their own frame, in the
+order of a hash of their texts.  An id too large for ``width`` is an error.
 An empty table gives no shard and no rows.
 """
 
@@ -59,7 +60,10 @@ class ShardWriter:
         import xxhash
 
         if self.width == 2:
-            ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+            wide = np.frombuffer(ids, "<u4")
+            if len(wide) and wide.max() > 0xFFFF:
+                raise ValueError(f"id {wide.max()} does not fit into two bytes: write with width 4")
+            ids = wide.astype("<u2").tobytes()
         frame = self.zstd.compress(ids)
         self.out.write(frame)
         self.table.append((len(frame), len(ids), xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF))
@@ -157,9 +161,11 @@ def write_token_files(
                 {"shard": pa.array([shard], pa.int32()), "path": [path], "docs": [len(out.table)], "ids": [out.ids]}
             )
 
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
-    ordered = rows.repartitionByRange(shards or partitions(spark), "doc_id").sortWithinPartitions("doc_id")
-    return written(ordered.mapInArrow(write, MANIFEST), "token-manifest")
+    # rows of one doc_id are ordered, and parted if they are many, by the hash of their text
+    order = ("doc_id", "hash")
+    rows = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("hash"))
+    ordered = rows.repartitionByRange(shards or partitions(spark), *order).sortWithinPartitions(*order)
+    return written(ordered.select("doc_id", "text").mapInArrow(write, MANIFEST), "token-manifest")
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame, doc_ids: list[int] | None = None) -> DataFrame:

@@ -3,22 +3,25 @@
 Both public vocabularies cut a text at white space before they merge anything,
 so the ids of a text are those of its pieces between single spaces and line
 ends, one after the other; a piece is encoded by the library the first time a
-worker meets it.  Texts with runs of white space or white space at an end go
-to the library whole.
+worker meets it.  A piece of Latin letters alone is one pre-token: it goes to
+the library's merging model at once, spelt as the library's byte table spells
+it.  Texts with runs of white space, white space at an end, or what may be an
+added token go to the library whole.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
 from collections.abc import Iterator
 
-CACHE_ENTRIES = 600_000  # pieces a worker remembers (about 200 bytes each)
+CACHE_ENTRIES = 800_000  # pieces a worker remembers (about 200 bytes each)
 
 TOGETHER = 2_000_000  # characters whose pieces are held at a time
 
-_RUNS = re.compile(r"\s\s|^\s|\s\Z|\x00")
+_LATIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _STEM = re.compile(r"(.*[A-Za-z])([.,!?;:]+)\Z", re.DOTALL)
 
 
@@ -28,14 +31,21 @@ class Pieces(dict):
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.openings = tuple({t[:2] for t in added})
+        table = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {c: table.pre_tokenize_str(chr(c))[0][0] for c in [32, *range(65, 256)] if chr(c).isalpha() or c == 32}
 
     def library(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def may_hold_added(self, text: str) -> bool:
+        return any(x in text for x in self.openings)
+
     def keys_of(self, text: str) -> list[str] | None:
         """The keys of a text's pieces; None for a text that goes to the library whole."""
         raise NotImplementedError
@@ -44,6 +54,10 @@ class Pieces(dict):
         """The text of a piece; marks after letters have the key NUL and the marks."""
         return key[1:] if key[:1] == "\0" else key
 
+    def folded(self, latin: str) -> str:
+        """Latin letters as the vocabulary's normalizer leaves them."""
+        return latin
+
     def learn(self, new: set[str]) -> list[str]:
         """Encode the pieces that are new; returns the keys added."""
         parts, needed = {}, set()
@@ -55,17 +69,33 @@ class Pieces(dict):
             else:
                 needed.add(key)
         single = [k for k in needed if k not in self]
-        for k, e in zip(single, self.tokenizer.encode_batch(list(map(self.spelled, single)), add_special_tokens=False), strict=True):
+        model, spelt, others = self.tokenizer.model, self.bytes_of, []
+        for k in single:
+            text = self.spelled(k)
+            if _LATIN.fullmatch(text):
+                self[k] = array("I", [t.id for t in model.tokenize(self.folded(text).translate(spelt))]).tobytes()
+            else:
+                others.append((k, text))
+        encoded = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
+        for (k, _), e in zip(others, encoded, strict=True):
             self[k] = array("I", e.ids).tobytes()
         for key, (stem, marks) in parts.items():
             self[key] = self[stem] + self[marks]
         return [*single, *parts]
 
     def together(self, texts: list[str]) -> list[bytes]:
+        get, new = self.get, set()
         split = [self.keys_of(t) for t in texts]
-        added = self.learn(set().union(*(k for k in split if k is not None)).difference(self))
-        get = self.__getitem__
-        out = [self.library(t) if keys is None else b"".join(map(get, keys)) for t, keys in zip(texts, split, strict=True)]
+        known = [None if keys is None else list(map(get, keys)) for keys in split]
+        for keys, found in zip(split, known, strict=True):
+            if found is not None and None in found:
+                new.update([k for k, x in zip(keys, found, strict=True) if x is None])
+        added = self.learn(new)
+        out = []
+        for text, keys, found in zip(texts, split, known, strict=True):
+            if found is not None and None in found:
+                found = [x if x is not None else self[k] for k, x in zip(keys, found, strict=True)]
+            out.append(self.library(text) if found is None else b"".join(found))
         if len(self) > CACHE_ENTRIES:
             for key in added:
                 del self[key]
@@ -78,19 +108,32 @@ class Pieces(dict):
             held.append(text)
             size += len(text)
             if size >= TOGETHER:
-                yield from self.together(held)
+                yield from self._without_gc(held)
                 held, size = [], 0
-        yield from self.together(held)
+        yield from self._without_gc(held)
+
+    def _without_gc(self, texts: list[str]) -> list[bytes]:
+        """``together``; its many small objects have no cycles to look for."""
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return self.together(texts)
+        finally:
+            if on:
+                gc.enable()
 
     def ids(self, text: str) -> bytes:
         return self.together([text])[0]
 
 
 class WordPieces(Pieces):
-    """A vocabulary that drops white space: a piece has the same ids anywhere."""
+    """A vocabulary in lower case that drops white space: a piece has the same ids anywhere."""
+
+    def folded(self, latin: str) -> str:
+        return latin.lower()
 
     def keys_of(self, text: str) -> list[str] | None:
-        return None if "\0" in text else text.replace("\n", " ").split(" ")
+        return None if "\0" in text or self.may_hold_added(text) else text.replace("\n", " ").split(" ")
 
 
 class BytePieces(Pieces):
@@ -101,7 +144,9 @@ class BytePieces(Pieces):
     """
 
     def keys_of(self, text: str) -> list[str] | None:
-        return None if _RUNS.search(text) else ("\0" + text.replace("\n", " \n")).split(" ")
+        words = text.split()
+        runs = len(text) - len("".join(words)) != max(len(words) - 1, 0)  # of white space, or some at an end
+        return None if runs or "\0" in text or self.may_hold_added(text) else ("\0" + text.replace("\n", " \n")).split(" ")
 
     def spelled(self, key: str) -> str:
         return key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key

@@ -14,7 +14,7 @@ from clientincome.session import scratch_path
 
 P = pytest.importorskip("public_tokenizers")
 WORD, BYTE = str(P.path("word_bpe_49k.json")), str(P.path("byte_bpe_50k.json"))
-ODD = ["", " ", " a", "a ", "a  b", "a\n\nb", "a.\nB c", "don't stop, it's 5'9\" x", "ée ́x", "x\ty z", "<|endoftext|> a", "..., ,,", "a \nb", "1.5, 2!? ok..", "a's. b've, c", " x   y", "İΣ Σ."]
+ODD = ["", " ", " a", "a ", "a  b", "a\n\nb", "a.\nB c", "don't stop, it's 5'9\" x", "ée ́x", "x\ty z", "<|endoftext|> a", "a <|endoftext|> b", "a<|startoftext|>b <|STARTOFTEXT|>", "<| a |>", "..., ,,", "a \nb", "1.5, 2!? ok..", "a's. b've, c", " x   y", "İΣ Σ.", "ÀÉ Öß\nÿ", "ªº µ", "a\u00a0b c", "Straße,Œuvre ŒUVRE", "\u212b e\u0301"]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,6 @@ def library():
     def ids(path, text):
         if path not in loaded:
             loaded[path] = Tokenizer.from_file(path)
-            loaded[path].encode_special_tokens = True
         return loaded[path].encode(text or "", add_special_tokens=False).ids
 
     return ids

@@ -60,8 +60,25 @@ def test_long_words_agree_with_short_ones(sums, monkeypatch):
 
 
 def test_words_of_a_text():
-    assert li.words_of("L'Été 12 ab_c ²x\n") == [w.encode() for w in (" l", " été", " ab", " c", " x")]
-    assert li.words_of(None) == li.words_of("12 -- ½") == []
+    assert li.words_of("L'Été 12 ab_c x\n") == [w.encode() for w in ("l", "été", "ab", "c", "x")]
+    assert li.words_of("日本 a") == ["日本".encode(), b"a"] and li.words_of("日本") == ["日本".encode()]
+    assert li.words_of(None) == li.words_of("12 -- ½") == li.words_of("… — ²") == []
+
+
+def test_table_of_hashes_holds_each_piece_and_no_other(sums):
+    v = sums.v
+    pieces = [p for p in v.number if len(p) == 7]
+    where, ids = v.find(np.array([h(p) for p in pieces], np.uint64))
+    assert list(where) == list(range(len(pieces))) and list(ids) == [v.number[p] for p in pieces]
+    others = [b"%07d" % i for i in range(5000) if b"%07d" % i not in v.number]
+    assert len(v.find(np.array([h(p) for p in others], np.uint64))[0]) == 0
+
+
+def h(piece: bytes) -> int:
+    out = 0
+    for c in piece:
+        out = (out + c + 1) * int(li._FACTOR) % 2**64
+    return out
 
 
 def test_held_out_accuracy(spark):
