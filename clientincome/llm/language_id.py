@@ -97,10 +97,15 @@ class Vocabulary:
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of ``h`` that are the hash of a piece, ascending, and the pieces."""
         cell = self._cell(h)
-        found = np.full(len(h), self.none, np.int32)
-        for k in range(self.probes):
-            hit = self.hashes[cell + k] == h
-            found[hit] = self.at[cell + k][hit]
+        found, where = np.full(len(h), self.none, np.int32), np.arange(len(h))
+        for _ in range(self.probes):
+            taken = self.at[cell] != self.none  # behind an empty cell lies nothing
+            where, cell = where[taken], cell[taken]
+            if not len(where):
+                break
+            hit = self.hashes[cell] == h[where]
+            found[where[hit]] = self.at[cell[hit]]
+            where, cell = where[~hit], cell[~hit] + 1
         where = np.flatnonzero(found != self.none)
         return where, found[where]
 
@@ -269,14 +274,25 @@ def fit(docs: DataFrame, learn: Column, vocabulary: str) -> Model:
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             sums, total = Segmentations(_vocabulary(vocabulary), shared.value), np.zeros_like(shared.value)
+            words: list[bytes] = []
+            counts: list[tuple[int, int, int]] = []  # word, language, how often
+
+            def add() -> None:
+                if words:
+                    n = np.zeros((len(words), len(languages)))
+                    word, lang, each = np.array(counts).T
+                    n[word, lang] = each
+                    np.add(total, sums.expected(words, n), out=total)
+                    words.clear()
+                    counts.clear()
+
             for b in batches:
-                some, ns = b.column(0).to_pylist(), b.column(1).to_pylist()
-                counts = np.zeros((len(some), len(languages)))
-                for i, each in enumerate(ns):
-                    for x in each:
-                        counts[i, place[x["lang"]]] += x["n"]
-                if some:
-                    total += sums.expected([b" " + w for w in some], counts)
+                for word, ns in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    counts += [(len(words), place[x["lang"]], x["n"]) for x in ns]
+                    words.append(b" " + word)
+                if len(words) > 20 * TOGETHER:
+                    add()
+            add()
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], ["piece", "lang", "n"]
