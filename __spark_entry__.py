@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 from clientincome.functions import periods as P
 from clientincome.functions.numeric import canonical, round4, trimmed_sum
 from clientincome.operators import census as census_ops
-from clientincome.operators import copies
+from clientincome.operators import copies, sketches, states
 from clientincome.operators import deposits, demographics, populations, scoring, services, training, unify
 from clientincome.operators import report as report_ops
 from clientincome.operators.sampling import one_per_key
 from clientincome.plans import inference as plan
 from clientincome.semantics import REFERENCE, RunParams
 from clientincome.session import scratch_path
-from clientincome.sources import io, schemas
+from clientincome.sources import io, registry, schemas
 from clientincome.sources.fixtures import Inputs, load_inputs
 
 try:  # the corpus operators and their pipeline are an optional part
@@ -46,6 +46,8 @@ PARAMS = RunParams(mes=200012, historia=6, seed=123)
 SEM = REFERENCE
 # Deterministic linear stand-in for the forest in SQL-checked queries:
 # regr = c0 + c1*saldo + c2*potencial + c3*recorrido + c4*edad (deposit clients).
+LABELS = ["cod_grupo_renta", "cod_ingreso_renta"]  # '' where no rule applies, which CSV cannot tell from null
+RANK_ERROR = 0.005  # of a quantile of the approximate report
 STAND_IN = (-2500.0, 0.1, 0.001, 20.0, 5.0)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,12 +73,13 @@ def _inputs(spark: SparkSession, sf: str) -> Inputs:
 
     The views over the driver's tables are staged once per session as parquet
     extracts in the shared folder (the original also starts from extract
-    files); every query then reads the staged inputs, whole.
+    files), of the histories the months of the run; every query then reads the
+    staged inputs, whole.  What needs other months reads the views.
     """
     key = _session_key(spark, sf)
     if key not in _INPUTS:
         views = load_inputs(spark, sf)
-        _INPUTS[key] = schemas.stage_inputs(views, scratch_path(spark, "inputs"))
+        _INPUTS[key] = schemas.stage_inputs(views, scratch_path(spark, "inputs"), (PARAMS.start, PARAMS.mes))
     return _INPUTS[key]
 
 
@@ -89,7 +92,7 @@ def stage(spark: SparkSession, sf: str) -> None:
 @query
 def src_csv(spark, sf):
     """A table written as CSV, columns in another order and one more, and scanned back by both readers."""
-    i = _inputs(spark, sf)
+    i = load_inputs(spark, sf)
     path = scratch_path(spark, "src_csv")
     io.write_csv(i.fx_hist.select(F.lit("x").alias("extra"), *i.fx_hist.columns[::-1]), path)
     a = io.read_csv(spark, path, i.fx_hist.schema).withColumn("reader", F.lit("plain"))
@@ -97,6 +100,22 @@ def src_csv(spark, sf):
     return a.unionByName(b)
 
 
+@query
+def src_quarantine(spark, sf):
+    """A table as CSV with cells that are no number; the good rows, and the bad cells from the side table."""
+    i = load_inputs(spark, sf)
+    path, side = scratch_path(spark, "src_quarantine"), scratch_path(spark, "quarantine")
+    spoilt = i.fx_hist.withColumns({
+        "mto_div_cpa": F.when(F.col("id_master") % 7 == 1, "n/a").otherwise(F.col("mto_div_cpa").cast("string")),
+        "num_periodo_mes": F.when(F.col("id_master") % 5 == 2, "unknown").otherwise(F.col("num_periodo_mes").cast("string")),
+    })
+    io.write_csv(spoilt, path)
+    good = io.read_csv_quarantined(spark, path, i.fx_hist.schema, side)
+    bad = spark.read.schema(io.QUARANTINE).parquet(side)
+    good = good.select(F.lit("good").alias("kind"), *[F.lit(None).cast("string").alias(c) for c in ("column", "reason", "cell")], "id_master", "num_periodo_mes", "mto_div_cpa")
+    return good.unionByName(bad.select(F.lit("bad").alias("kind"), "column", "reason", "cell"), allowMissingColumns=True)
+
+
 @query
 def src_table(spark, sf):
     """S3: catalog table scan (temp view) with filter and projection."""
@@ -125,6 +144,26 @@ def sink_csv(spark, sf):
     return io.read_csv(spark, path, pop.schema)
 
 
+@query
+def sink_scored(spark, sf):
+    """The scored clients written as CSV part files by the job's sink and read back."""
+    scored, _, paths = _written_outputs(spark, sf)
+    return io.read_csv(spark, paths["scored"], scored.schema).na.fill("", LABELS)
+
+
+@query
+def sink_report(spark, sf):
+    """The report written as one CSV file and read back."""
+    _, report, paths = _written_outputs(spark, sf)
+    return io.read_csv(spark, paths["report"], report.schema).na.fill("", LABELS)
+
+
+def _written_outputs(spark, sf):
+    scored = plan.cut(_scored_out(spark, sf), "scored")
+    report = plan.cut(report_ops.report(scored), "report")
+    return scored, report, plan.write_outputs(scored, report, scratch_path(spark, "outputs"))
+
+
 # ---------------------------------------------------------------- populations
 @query
 def pop_training(spark, sf):
@@ -232,6 +271,45 @@ def fx_features(spark, sf):
     return services.fx_features(pop, i.calendar, i.fx_hist, PARAMS, SEM)
 
 
+# --------------------------------------------------------------------- states
+_STATES: dict[tuple[str, int, str], states.States] = {}
+
+
+def _rolled(spark, sf) -> states.States:
+    """State tables of this session and folder: the window of the month before, then the run's own, which adds its new month alone."""
+    key = _session_key(spark, sf)
+    if key not in _STATES:
+        i, kept = load_inputs(spark, sf), states.States(spark, scratch_path(spark, "states"))
+        kept.roll(i, RunParams(PARAMS.mes - 1, PARAMS.historia, PARAMS.seed))
+        added = kept.roll(i, PARAMS)
+        if any(months != [PARAMS.mes] for months in added.values()):
+            raise RuntimeError(f"one new month expected, found {added}")
+        _STATES[key] = kept
+    return _STATES[key]
+
+
+@query
+def state_deposits(spark, sf):
+    """A1-A8, X7 from monthly states: the deposit features, five months of them kept by the run before."""
+    return _rolled(spark, sf).deposit_features(_pop_cap_counted(_inputs(spark, sf)), PARAMS)
+
+
+@query
+def state_transfers(spark, sf):
+    """X10 from monthly states."""
+    i = _inputs(spark, sf)
+    pop = populations.transfer_population_counted(i.transfer_hist, i.contact, PARAMS, SEM)
+    return _rolled(spark, sf).transfer_features(pop, i.calendar, PARAMS)
+
+
+@query
+def state_fx(spark, sf):
+    """X11 from monthly states."""
+    i = _inputs(spark, sf)
+    pop = populations.fx_population_counted(i.fx_hist, i.contact, PARAMS, SEM)
+    return _rolled(spark, sf).fx_features(pop, i.calendar, PARAMS)
+
+
 # ------------------------------------------------------- unify / demographics
 @query
 def feat_demographics(spark, sf):
@@ -307,64 +385,82 @@ def target_log(spark, sf):
     )
 
 
+LABEL = "log_mto_ing_mes"
+# a forest that SQL can grow too: one split a tree, between any two values
+STUMPS = {"max_depth": 1, "max_bins": 4096}
 _MODELS: dict[tuple[str, int, str], str] = {}
 
 
-def _fit(spark, sf):
-    """(training table, test predictions, status) of a forest fitted and saved now."""
+def _fit(spark, sf, **forest):
+    """(test predictions as written and read back, folder) of a forest fitted and saved now."""
     path = scratch_path(spark, "model")
     table = plan.cut(_train_table(_inputs(spark, sf)), "training")
-    _, predictions, status = training.train(table, path, seed=PARAMS.seed)
-    _MODELS[_session_key(spark, sf)] = path
-    return table, predictions, status
+    _, predictions, _ = training.train(table, path, seed=PARAMS.seed, predictions_path=f"{path}_test_predictions", **forest)
+    return predictions, path
 
 
-def _model(spark, sf):
-    """The saved forest of this session and folder, fitted at its first use."""
-    if _session_key(spark, sf) not in _MODELS:
-        _fit(spark, sf)
-    return training.load(_MODELS[_session_key(spark, sf)])
+def _stumps(spark, sf):
+    """The saved forest of STUMPS of this session and folder, fitted at its first use."""
+    key = _session_key(spark, sf)
+    if key not in _MODELS:
+        _, _MODELS[key] = _fit(spark, sf, **STUMPS)
+    return training.load(_MODELS[key])
 
 
 @query
 def train_model(spark, sf):
-    """Fit, save, predict the test split.
-
-    A forest depends on the engine's own random draws, so the row holds what
-    must be true of any: the size of the test split, and that no prediction
-    leaves the range of the labels it averages.
-    """
-    table, predictions, status = _fit(spark, sf)
-    label = "log_mto_ing_mes"
-    learnt, _ = training.split(training.prepare(table), PARAMS.seed)
+    """The forest of 20 trees of depth 5 fitted and
+    saved; whether its error on the written test predictions is below the
+    deviation of their labels, as that of a useless forest is not."""
+    predictions, _ = _fit(spark, sf)
+    m = training.regression_metrics(predictions, LABEL)
+    deviation = predictions.agg(F.stddev_pop(LABEL).alias("deviation"))
     # two one-row aggregates
-    bounds = learnt.agg(F.min(label).alias("low"), F.max(label).alias("high"))
-    seen = predictions.agg(F.min("prediction").alias("least"), F.max("prediction").alias("most"))
-    inside = (F.col("least") >= F.col("low") - 1e-9) & (F.col("most") <= F.col("high") + 1e-9)
-    return status.crossJoin(F.broadcast(bounds)).crossJoin(F.broadcast(seen)).select("status", "n", inside.alias("in_label_range"))
+    return m.crossJoin(F.broadcast(deviation)).select(
+        F.lit("success").alias("status"), "n", round4("deviation").alias("label_deviation"), (F.col("rmse") < F.col("deviation")).alias("rmse_below_deviation")
+    )
+
+
+@query
+def stump_model(spark, sf):
+    """20 trees of one split each; metrics of the test predictions of the model as saved."""
+    predictions, path = _fit(spark, sf, **STUMPS)
+    _MODELS[_session_key(spark, sf)] = path
+    m = training.regression_metrics(predictions, LABEL)
+    return m.select("n", *[round4(c).alias(c) for c in ("rmse", "mse", "mae", "r2", "explained_variance")])
 
 
 @query
 def feature_importance(spark, sf):
-    """M5: the importances of the saved forest, none negative and 1 together."""
-    rows = spark.createDataFrame(training.feature_importances(_model(spark, sf)), "feature STRING, importance DOUBLE")
-    total = rows.agg(round4(F.sum("importance")).alias("total"))
-    return rows.crossJoin(F.broadcast(total)).select("feature", (F.col("importance") >= 0).alias("non_negative"), "total")
+    """M5: the importances of the saved forest of stumps."""
+    rows = spark.createDataFrame(training.feature_importances(_stumps(spark, sf)), "feature STRING, importance DOUBLE")
+    return rows.select("feature", round4("importance").alias("importance"))
 
 
 @query
 def model_income(spark, sf):
-    """The saved forest reloaded and applied to every client: an
-    income above -1 for deposit clients, zero for the others."""
+    """The saved forest of stumps reloaded and applied to every client."""
     u = plan.features(_inputs(spark, sf), PARAMS, SEM).unified
-    c = training.model_income(u, _model(spark, sf))
-    flag = F.col("ind_activo_cap")
-    return c.select(
-        "id_master",
-        "ind_activo_cap",
-        F.when(flag == 0, F.coalesce(F.col("regr") == 0, F.lit(False))).alias("zero_other"),
-        F.when(flag == 1, F.coalesce((F.col("regr") > -1) & ~F.isnan("regr"), F.lit(False))).alias("present_deposit"),
-    )
+    return training.model_income(u, _stumps(spark, sf)).select("id_master", "ind_activo_cap", round4("regr").alias("regr"))
+
+
+@query
+def latest_model(spark, sf):
+    """O3: models of two reference months published, a newer one left unfinished; the newest whole one."""
+    i, root = _inputs(spark, sf), scratch_path(spark, "models")
+    for mes in (PARAMS.mes - 1, PARAMS.mes):
+        path = f"{root}/{mes}"
+        status = plan.run_training(i, RunParams(mes, PARAMS.historia, PARAMS.seed), f"{path}/model", f"{path}/factor", num_trees=2, max_depth=1).first()
+        registry.publish(spark, root, str(mes), path, status["n_train"], plan.MODEL_PARTS)
+    unfinished = f"{root}/{PARAMS.mes + 1}"  # its factor is there, its model is not
+    io.save_factor(io.load_factor(spark, f"{root}/{PARAMS.mes}/factor"), f"{unfinished}/factor")
+    try:
+        registry.publish(spark, root, str(PARAMS.mes + 1), unfinished, 0, plan.MODEL_PARTS)
+    except FileNotFoundError:
+        pass
+    newest = registry.latest(spark, root)
+    count = registry.published(spark, root).agg(F.count("*").alias("published"))
+    return count.select(F.lit(newest["version"]).alias("version"), F.lit(newest["n_rows"]).alias("n_train"), "published")
 
 
 @query
@@ -494,6 +590,18 @@ def report(spark, sf):
     return report_ops.report(plan.cut(_scored_out(spark, sf), "scored"))
 
 
+@query
+def report_approx(spark, sf):
+    """A11, opt-in: percentiles from one mergeable sketch a group and month; whether each rank is within the bound."""
+    scored = plan.cut(_scored_out(spark, sf), "scored")
+    keys, value = LABELS, "ing_renta_indirecta"
+    monthly = sketches.sketch_state(scored, value, [*keys, "num_periodo_mes"])
+    names, probs = report_ops.REPORT_PERCENTILE_NAMES, report_ops.REPORT_PERCENTILES
+    approx = plan.cut(sketches.quantiles(sketches.merged(monthly, keys), probs, names), "approx")
+    worst = sketches.rank_errors(scored, value, keys, approx, probs, names)
+    return worst.select(*keys, "count", (F.col("worst") <= RANK_ERROR).alias("within"))
+
+
 @query
 def report_overall(spark, sf):
     return report_ops.report_overall(plan.cut(_scored_out(spark, sf), "scored"))
@@ -502,8 +610,7 @@ def report_overall(spark, sf):
 @query
 def period_math(spark, sf):
     """Period <-> date conversions and month arithmetic."""
-    i = _inputs(spark, sf)
-    m = i.account_hist.select("num_periodo_mes").distinct()
+    m = load_inputs(spark, sf).account_hist.select("num_periodo_mes").distinct()
     first = F.to_date(F.lit(f"{PARAMS.mes}01"), "yyyyMMdd")
     return m.select(
         "num_periodo_mes",

@@ -11,6 +11,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def months_of(start: int, end: int) -> list[int]:
+    """The yyyyMM periods from ``start`` to ``end``, both included."""
+    first, last = (p // 100 * 12 + p % 100 - 1 for p in (start, end))
+    return [m // 12 * 100 + m % 12 + 1 for m in range(first, last + 1)]
+
+
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x)
 

@@ -9,9 +9,9 @@ stays exact and distributed:
    read at p -+ d * 2**k, k = 0, 1, ..; each group takes the narrowest bracket
    whose margin covers the sketch's error and two ranks, 3/accuracy + 2/n (its
    ends are open where the margin passes 0 or 1);
-2. one pass over the rows counts, per group and p, the values below the
-   bracket (plain sums, no row replication) and emits only the values inside
-   a bracket as (group, p, value) -> count (ties collapse map-side);
+2. one pass over the rows groups them by the value if it is inside a bracket,
+   and the rest of a group together, with plain sums of the values below each
+   bracket (no row is replicated, ties and the rest collapse map-side);
 3. a running count over each small bracketed set finds the values at ranks
    floor(h) and floor(h)+1, h = p*(n-1), and interpolates.
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10000
@@ -49,6 +49,7 @@ def exact_quantiles(
     accuracy: int = DEFAULT_ACCURACY,
     names: Sequence[str] | None = None,
     max_groups: int | None = None,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per group (all groups of ``df``) and one DOUBLE per probability.
 
@@ -61,6 +62,9 @@ def exact_quantiles(
     broadcast into the pass over the rows, so rows are never shuffled by a
     (possibly skewed) group key.  Without it, AQE decides at runtime from the
     bracket table's measured size.
+
+    ``extra``: named aggregates of the value (column ``_x``) that the first
+    pass shall also compute; they follow the group's columns.
     """
     keys = list(group_cols)
     probs = [float(p) for p in probs]
@@ -73,6 +77,7 @@ def exact_quantiles(
 
     # 1. per-group count, range and sketch brackets
     stats = x.groupBy(*keys).agg(
+        *extra,
         F.count("_x").alias("_n"),
         F.min("_x").alias("_min"),
         F.max("_x").alias("_max"),
@@ -92,22 +97,18 @@ def exact_quantiles(
     if keys and max_groups is not None:
         brackets = F.broadcast(brackets)
     j = _join_on(x.where(F.col("_x").isNotNull()), brackets, keys)
-    below = j.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("_x") < F.col("_lo")[i], 1).otherwise(0)).alias(f"_b{i}")
-          for i in range(n_p)]
-    )
     idx = F.array(*[F.lit(i) for i in range(n_p)])
-    inside = (
-        j.select(
-            *keys,
-            "_x",
-            F.explode(
-                F.filter(idx, lambda i: (F.col("_x") >= F.element_at(F.col("_lo"), i + 1))
-                         & (F.col("_x") <= F.element_at(F.col("_hi"), i + 1)))
-            ).alias("_i"),
-        )
-        .groupBy(*keys, "_i", "_x")
-        .agg(F.count(F.lit(1)).alias("_c"))
+
+    def holding(v: str) -> Column:
+        return F.filter(idx, lambda i: (F.col(v) >= F.element_at(F.col("_lo"), i + 1)) & (F.col(v) <= F.element_at(F.col("_hi"), i + 1)))
+
+    grouped = j.groupBy(*keys, F.when(F.size(holding("_x")) > 0, F.col("_x")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"),
+        *[F.sum(F.when(F.col("_x") < F.col("_lo")[i], 1).otherwise(0)).alias(f"_b{i}") for i in range(n_p)],
+    )
+    below = grouped.groupBy(*keys).agg(*[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(n_p)])
+    inside = _join_on(grouped.where(F.col("_v").isNotNull()).select(*keys, "_v", "_c"), brackets, keys).select(
+        *keys, F.col("_v").alias("_x"), "_c", F.explode(holding("_v")).alias("_i")
     )
 
     # targets: one row per (group, p) with rank position and count below
@@ -144,14 +145,15 @@ def exact_quantiles(
     wide = picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_i") == i, q)).alias(n) for i, n in enumerate(names)]
     )
-    out = _join_on(stats.select(*keys), wide, keys, "left") if keys else wide
+    shown = [c for c in stats.columns if c not in (*keys, "_n", "_min", "_max", "_plo", "_phi")]
+    out = _join_on(stats.select(*keys, *shown), wide, keys, "left") if keys else None
     if not keys:
         # a table with no non-null value still yields one row of NULLs
-        out = _one_row(stats, wide, names)
-    return out.select(*keys, *names)
+        out = _one_row(stats.select(*shown), wide, names)
+    return out.select(*keys, *shown, *names)
 
 
 def _one_row(stats: DataFrame, wide: DataFrame, names: Sequence[str]) -> DataFrame:
-    base = stats.select(F.lit(1).alias("_k"))
+    base = stats.select("*", F.lit(1).alias("_k"))
     w = wide.select(F.lit(1).alias("_k"), *names)
     return base.join(w, "_k", "left").drop("_k")

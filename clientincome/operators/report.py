@@ -90,26 +90,12 @@ def describe(
     """count / mean / std / min / percentiles / max of ``value`` per group.
 
     Count skips missing values but every group is kept (Q30).  Moments are
-    partial aggregates; percentiles come from the exact distributed operator.
+    partial aggregates in the first pass of the exact distributed percentiles;
+    ``df`` is read twice in all.
     """
-    group_cols = list(group_cols)
-    x = F.col(value).cast("double")
-    moments = df.groupBy(*group_cols).agg(
-        F.count(x).alias("count"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-    )
-    q = exact_quantiles(df, value, probs, group_cols, accuracy, names, max_groups=max_groups)
-    if group_cols:
-        r = q.select(*[F.col(k).alias(f"_q_{k}") for k in group_cols], *names)
-        joined = moments.join(
-            r, [moments[k].eqNullSafe(r[f"_q_{k}"]) for k in group_cols], "left"
-        ).drop(*[f"_q_{k}" for k in group_cols])
-    else:
-        joined = moments.crossJoin(F.broadcast(q))
-    return joined
+    x = F.col("_x")
+    moments = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+    return exact_quantiles(df, value, probs, list(group_cols), accuracy, names, max_groups=max_groups, extra=moments)
 
 
 def report(scored_out: DataFrame, accuracy: int = 10000) -> DataFrame:

@@ -92,7 +92,7 @@ def flag_agg(flag_sum: str) -> Column:
 
 
 # -- spine x history -------------------------------------------------------
-def _history_counted(hist: DataFrame, params: RunParams, values: Sequence[str]) -> DataFrame:
+def history_counted(hist: DataFrame, params: RunParams, values: Sequence[str]) -> DataFrame:
     """Distinct history rows of the window with their copy count ``w``."""
     return (
         hist.where(F.col("num_periodo_mes").between(params.start, params.mes) & (F.col("id_master") > 0))
@@ -102,11 +102,11 @@ def _history_counted(hist: DataFrame, params: RunParams, values: Sequence[str])
 
 
 def _spine_rows(population, calendar, hist, params, sem, values, flags):
-    """Counted spine joined to the counted history.  ``_wh`` = history copies
+    """Counted spine joined to the history, counted here unless it has its copies ``w``.  ``_wh`` = history copies
     of the row (1 when no history), ``_wt`` = all copies (x population ``n``)."""
     pop = counted(population, flag_sums=flags)
     spine = month_spine(pop, calendar, params, sem).alias("s")
-    h = _history_counted(hist, params, values).alias("h")
+    h = (hist if "w" in hist.columns else history_counted(hist, params, values)).alias("h")
     j = spine.join(
         h,
         (F.col("s.id_master") == F.col("h.id_master"))
@@ -117,45 +117,54 @@ def _spine_rows(population, calendar, hist, params, sem, values, flags):
     return j, wh
 
 
-def trimmed_totals(rows: DataFrame, totals: dict[str, str], params: RunParams, sem: Semantics) -> DataFrame:
-    """Per client, the trimmed total of each amount column (``totals``: column -> result).
+def per_client(rows: DataFrame, aggs: Sequence[Column], totals: dict[str, str], params: RunParams, sem: Semantics) -> DataFrame:
+    """One feature row for each client: ``aggs`` (named), and the trimmed total
+    of each amount column (``totals``: column -> result), from one pass over
+    the spine rows.
 
     A trimmed total reads the ranks first..first+count-1 of the amounts in
     ascending order, so only that many of the smallest distinct amounts can
-    matter: equal amounts are added up map-side, a rank limit (also applied
-    map-side) keeps those, and no list is longer.
+    matter.  Each row goes to one group for the aggregates and to one for each
+    of its amounts; equal amounts are added up, a rank limit keeps the smallest,
+    and no list is longer.  All of it is by client, which the rows are already.
+
+    The original groups by (client, per_ref).  Every population is cut to the
+    run's reference month, so a client has one ``per_ref``: grouping by the
+    client alone gives the same rows, and the result stays partitioned by
+    client, which the unification joins reuse instead of shuffling again.
     """
     first, n, scale = trim_bounds(params, sem)
-    entries = F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).alias("v")) for c in totals]))
-    amounts = (
-        rows.select("id_master", entries.alias("e"), WEIGHT)
-        .groupBy("id_master", F.col("e.of").alias("of"), F.col("e.v").alias("v"))
-        .agg(F.sum(WEIGHT).alias("w"))
+    of, v = F.col("_of"), F.col("_v")
+    plain = F.struct(F.lit("").alias("of"), F.lit(None).alias("v"))
+    entries = F.explode(F.array(plain, *[F.struct(F.lit(c).alias("of"), F.col(c).alias("v")) for c in totals]))
+    grouped = (
+        rows.withColumn("_e", entries)
+        .groupBy("id_master", F.col("_e.of").alias("_of"), F.col("_e.v").alias("_v"))
+        .agg(F.sum(WEIGHT).alias("_n"), *aggs)
     )
-    rank = F.row_number().over(Window.partitionBy("id_master", "of").orderBy("v"))
-    small = amounts.withColumn("_rank", rank).where(F.col("_rank") <= first + n - 1)
+    rank = F.row_number().over(Window.partitionBy("id_master", "_of").orderBy("_v"))
+    small = grouped.withColumn("_rank", rank).where(F.col("_rank") <= first + n - 1)
+    names = [c for c in grouped.columns if c not in ("id_master", "_of", "_v", "_n")]
+    entry = F.struct(v.alias("v"), F.col("_n").alias("w"))
     return small.groupBy("id_master").agg(
+        *[F.max(F.when(of == "", F.col(c))).alias(c) for c in names],
         *[
-            (weighted_trimmed_sum(F.collect_list(F.when(F.col("of") == c, F.struct("v", "w"))), first, n).cast("double") * F.lit(scale)).alias(name)
+            (weighted_trimmed_sum(F.collect_list(F.when(of == c, entry)), first, n).cast("double") * F.lit(scale)).alias(name)
             for c, name in totals.items()
-        ]
+        ],
     )
 
 
-def with_trimmed(features: DataFrame, trimmed: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Features and trimmed totals of each client, in the original column order."""
-    return features.join(trimmed, "id_master", "left").select(*order)
+def trimmed_totals(rows: DataFrame, totals: dict[str, str], params: RunParams, sem: Semantics) -> DataFrame:
+    """(id_master, trimmed totals) of weighted rows."""
+    return per_client(rows, [], totals, params, sem)
 
 
-def per_client(rows: DataFrame, aggs) -> DataFrame:
-    """Group the spine rows of each client into one feature row.
-
-    The original groups by (client, per_ref).  Every population is cut to the
-    run's reference month, so a client has one ``per_ref``: grouping by the
-    client alone gives the same rows, and the result stays partitioned by
-    client, which the unification joins reuse instead of shuffling again.
-    """
-    return rows.groupBy("id_master").agg(F.max("per_ref").alias("per_ref"), *aggs)
+def in_order(features: DataFrame, totals: Sequence[str], before: str) -> DataFrame:
+    """The trimmed totals moved in front of the column ``before``, where the original has them."""
+    rest = [c for c in features.columns if c not in totals]
+    at = rest.index(before)
+    return features.select(*rest[:at], *totals, *rest[at:])
 
 
 def transfer_month_rows(
@@ -204,6 +213,7 @@ def transfer_features(
     rows = transfer_month_rows(population, calendar, hist, params, sem)
     c = F.col
     aggs = [
+        F.max("per_ref").alias("per_ref"),
         flag_agg("ind_activo_dex").alias("ind_activo_dex"),
         flag_agg("ind_activo_rem").alias("ind_activo_rem"),
         recency_agg("mto_pag_rem").alias("ult_pag_rem"),
@@ -220,11 +230,8 @@ def transfer_features(
     for fam in ("pag_rem", "env_rem", "pag_dex", "env_dex"):
         aggs.append(total_agg(f"mto_{fam}").alias(f"tot_mto_{fam}"))
         aggs.append(total_agg(f"num_{fam}").alias(f"tot_num_{fam}"))
-    plain = per_client(rows, aggs)
     totals = {f"mto_{fam}": f"tot_mto_{fam}_corr" for fam in ("pag_dex", "env_dex", "pag_rem", "env_rem")}
-    at = plain.columns.index("tot_mto_pag_rem")
-    order = [*plain.columns[:at], *totals.values(), *plain.columns[at:]]
-    return with_trimmed(plain, trimmed_totals(rows, totals, params, sem), order)
+    return in_order(per_client(rows, aggs, totals, params, sem), list(totals.values()), "tot_mto_pag_rem")
 
 
 def fx_month_rows(
@@ -270,7 +277,9 @@ def fx_features(
     """14 columns per client, in the original order."""
     rows = fx_month_rows(population, calendar, hist, params, sem)
     c = F.col
-    plain = per_client(rows, [
+    totals = {"mto_div_cpa": "tot_mto_cpa_div_corr", "mto_div_vta": "tot_mto_vta_div_corr"}
+    aggs = [
+        F.max("per_ref").alias("per_ref"),
         flag_agg("ind_activo_div").alias("ind_activo_div"),
         recency_agg("mto_div_cpa").alias("ult_cpa_div"),
         recency_agg("mto_div_vta").alias("ult_vta_div"),
@@ -281,8 +290,5 @@ def fx_features(
         total_agg("num_div_cpa").alias("tot_num_cpa_div"),
         total_agg("mto_div_vta").alias("tot_mto_vta_div"),
         total_agg("num_div_vta").alias("tot_num_vta_div"),
-    ])
-    totals = {"mto_div_cpa": "tot_mto_cpa_div_corr", "mto_div_vta": "tot_mto_vta_div_corr"}
-    at = plain.columns.index("tot_mto_cpa_div")
-    order = [*plain.columns[:at], *totals.values(), *plain.columns[at:]]
-    return with_trimmed(plain, trimmed_totals(rows, totals, params, sem), order)
+    ]
+    return in_order(per_client(rows, aggs, totals, params, sem), list(totals.values()), "tot_mto_cpa_div")

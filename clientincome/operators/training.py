@@ -1,29 +1,42 @@
 """Income model: training-set preparation, split, random forest, metrics,
-importances, prediction and the model registry.
+importances and prediction.
 
 One constant feature order (D4) is used for training and for prediction,
 through the saved pipeline; the split is a seeded hash (repeatable on any
 partitioning) and the saved artefact is the *fitted* pipeline.
+
+Bagging is a seeded hash too: a row weighs as much in a tree as a draw from
+Poisson(1) by the hash of tree and row says.  Spark's own forest draws by
+partition; here a row has the same weight on every layout, and SQL can compute
+it.  Each tree is one of Spark's weighted decision trees over all features; the
+trees are fitted side by side and put together into Spark's forest model.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import SparkContext
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, RandomForestRegressionModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientincome.functions.numeric import dbl
 from clientincome.operators.sampling import hash_bucket
+from clientincome.sources import io
 
 FEATURES = ("saldo", "potencial", "recorrido", "edad")
 MIN_AGE, MAX_AGE = 18, 100  # fixed values: half-open training age range
 TRAIN_SHARE = 80            # percent of rows in the training split
-REGISTRY = "version STRING, path STRING"
-LAYOUT_PARTITIONS = 8       # parts of the training rows; raise it with their number
+NUM_TREES, MAX_DEPTH, MAX_BINS = 20, 5, 32  # fixed values: the defaults the original relies on
+ROWS_PER_PART = 500_000     # of the training rows
+TREES_AT_ONCE = 8           # fits submitted together; they share the executors
+# chances of at most 0, 1, 2, .. draws from Poisson(1)
+_POISSON = tuple(sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8))
 
 
 def log_target(x) -> F.Column:
@@ -59,30 +72,63 @@ def split(df: DataFrame, seed: int = 123, share: int = TRAIN_SHARE) -> tuple[Dat
     )
 
 
-def pipeline(label: str, seed: int = 123, num_trees: int = 20, max_depth: int = 5) -> Pipeline:
-    """VectorAssembler + RandomForestRegressor (M2, M4); 20 trees of depth 5
-    are the defaults the original relies on, made explicit."""
-    assembler = VectorAssembler(
-        inputCols=list(FEATURES), outputCol="features", handleInvalid="keep"
-    )
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth, seed=seed
-    )
-    return Pipeline(stages=[assembler, forest])
+def tree_weight(tree: int, seed: int) -> F.Column:
+    """How often a row is drawn for ``tree``: Poisson(1) of 32 bits of the md5 of seed, tree and features."""
+    digest = F.md5(F.concat_ws("|", F.lit(f"{seed}:{tree}"), *[F.col(c).cast("string") for c in FEATURES]))
+    u = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    draws = F.lit(0)
+    for chance in _POISSON:
+        draws = draws + F.when(u >= chance, 1).otherwise(0)
+    return draws.cast("double")
 
 
-def fixed_layout(training: DataFrame, label: str, partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
+def fixed_layout(training: DataFrame, label: str, partitions: int | None = None) -> DataFrame:
     """The training rows in a layout that does not depend on shuffle timing.
 
-    The forest's bagging draws per partition with a seeded generator, so a
-    seed only reproduces a model when every row lands in the same partition at
-    the same position.  Rows are hash-partitioned on all their columns (they
-    are distinct after ``prepare``, so no value combination concentrates) into
-    ``partitions`` parts, then sorted within them.  The number is part of the
-    model like its seed, and no tuning setting changes it.
+    Rows are hash-partitioned on all their columns (they are distinct after
+    ``prepare``, so no value combination concentrates), then sorted within.
+    Sums then add up in one order, and of more rows than MLlib samples for its
+    thresholds the same are sampled.  The number of parts goes by the number of
+    rows (ROWS_PER_PART each) and by no setting of the session.
     """
     cols = [*FEATURES, label]
-    return training.repartition(partitions, *cols).sortWithinPartitions(*cols)
+    parts = partitions or 1 + training.count() // ROWS_PER_PART
+    return training.repartition(parts, *cols).sortWithinPartitions(*cols)
+
+
+def fit_forest(
+    training: DataFrame, label: str, seed: int = 123, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS
+) -> PipelineModel:
+    """VectorAssembler and a forest of weighted decision trees (M2, M4).
+
+    A feature of at most ``max_bins`` distinct values is split between any two
+    of them, a finer one at so many quantiles.
+    """
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
+    weights = [tree_weight(t, seed).alias(f"_w{t}") for t in range(num_trees)]
+    rows = assembler.transform(training.select("*", *weights)).select("features", label, *[f"_w{t}" for t in range(num_trees)]).persist()
+    rows.count()
+
+    def fit(t: int) -> DecisionTreeRegressionModel:
+        tree = DecisionTreeRegressor(labelCol=label, weightCol=f"_w{t}", maxDepth=max_depth, maxBins=max_bins, seed=seed)
+        return tree.fit(rows.where(F.col(f"_w{t}") > 0))
+
+    with ThreadPoolExecutor(TREES_AT_ONCE) as pool:
+        trees = list(pool.map(fit, range(num_trees)))
+    rows.unpersist()
+    return PipelineModel([assembler, _forest_of(trees)])
+
+
+def _forest_of(trees: list[DecisionTreeRegressionModel]) -> RandomForestRegressionModel:
+    """Spark's forest model of fitted trees: the mean of their predictions."""
+    sc = SparkContext._active_spark_context
+    java = sc._jvm.org.apache.spark.ml.regression
+    array = sc._gateway.new_array(java.DecisionTreeRegressionModel, len(trees))
+    for i, t in enumerate(trees):
+        array[i] = t._java_obj
+    forest = java.RandomForestRegressionModel(trees[0].uid.replace("DecisionTree", "RandomForest"), array, len(FEATURES))
+    forest.set(forest.numTrees(), len(trees))
+    return RandomForestRegressionModel(forest)
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -114,25 +160,28 @@ def train(
     model_path: str,
     target: str = "mto_ing_mes",
     seed: int = 123,
-    num_trees: int = 20,
-    max_depth: int = 5,
+    num_trees: int = NUM_TREES,
+    max_depth: int = MAX_DEPTH,
+    max_bins: int = MAX_BINS,
     predictions_path: str | None = None,
-    layout_partitions: int = LAYOUT_PARTITIONS,
+    layout_partitions: int | None = None,
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Fit on the training split, predict the test split, save the fitted
     pipeline (M10).  Returns (model, test predictions, one-row status).
 
     ``predictions_path``: also write the test predictions as CSV with a
-    header (S6), in parallel part files and apart from the model folder.
+    header (S6), in parallel part files and apart from the model folder; the
+    predictions returned, and the status, are then those read back.
     """
     label = f"log_{target}"
     data = prepare(train_features, target)
     training, test = split(data, seed)
-    model = pipeline(label, seed, num_trees, max_depth).fit(fixed_layout(training, label, layout_partitions))
+    model = fit_forest(fixed_layout(training, label, layout_partitions), label, seed, num_trees, max_depth, max_bins)
     model.write().overwrite().save(model_path)
     predictions = model.transform(test).select(*FEATURES, label, "prediction")
     if predictions_path:
-        predictions.write.mode("overwrite").option("header", True).csv(predictions_path)
+        io.write_csv(predictions, predictions_path)
+        predictions = io.read_csv(train_features.sparkSession, predictions_path, predictions.schema)
     status = regression_metrics(predictions, label).select(
         F.lit("success").alias("status"), F.lit(model_path).alias("path_model"), "n", "rmse"
     )
@@ -182,14 +231,3 @@ def split_by_deposit_flag(clients: DataFrame) -> DataFrame:
     on ``ind_activo_cap`` and unions the parts back; rows with other flag
     values drop out, as there.  One filter gives the same rows in one pass."""
     return clients.where(F.col("ind_activo_cap").isin(0, 1))
-
-
-def register_model(spark: SparkSession, registry_path: str, version: str, path: str) -> None:
-    """Appends a (version, path) row to the model registry."""
-    spark.createDataFrame([(version, path)], REGISTRY).coalesce(1).write.mode("append").parquet(registry_path)
-
-
-def latest_model(registry: DataFrame) -> DataFrame:
-    """Newest entry of a (version, path) model registry (O3).  A max over
-    the version column: one partial aggregate, no driver-side listing."""
-    return registry.agg(F.max(F.struct("version", "path")).alias("m")).select("m.version", "m.path")

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clientincome.operators import census as census_ops
 from clientincome.operators import copies
@@ -24,6 +25,10 @@ from clientincome.sources import io
 from clientincome.sources.fixtures import Inputs
 
 
+# tables of a published model version, each with the marker file of its writer
+MODEL_PARTS = ("model/metadata", "factor")
+
+
 @dataclass
 class Features:
     """Feature tables of a run.  ``deposits`` (enriched) and
@@ -50,10 +55,15 @@ def populations_of(i: Inputs, params: RunParams, sem: Semantics = REFERENCE):
     )
 
 
-def features(i: Inputs, params: RunParams, sem: Semantics = REFERENCE) -> Features:
+def features(i: Inputs, params: RunParams, sem: Semantics = REFERENCE, written_population: bool = False) -> Features:
     """Populations, the three feature families, unification and
-    demographics (76 columns under REFERENCE)."""
+    demographics (76 columns under REFERENCE).
+
+    ``written_population``: the deposit population is cut first, so that Spark
+    can make a runtime filter of its ids (``filtered_by``)."""
     pop_cap, pop_env, pop_div = populations_of(i, params, sem)
+    if written_population:
+        pop_cap = filtered_by(cut(pop_cap, "population"))
     dep = deposits.deposit_features(i.account_hist, pop_cap, params, sem)
     dep = deposits.enrich(dep, i.income, i.journey, params, sem)
     fx = services.fx_features(pop_div, i.calendar, i.fx_hist, params, sem)
@@ -63,6 +73,18 @@ def features(i: Inputs, params: RunParams, sem: Semantics = REFERENCE) -> Featur
     return Features(dep, fx, env, unify.add_demographics(u, demo))
 
 
+def filtered_by(population: DataFrame) -> DataFrame:
+    """A written counted population, as a filter over a scan.
+
+    In that form Spark's own runtime filter (a Bloom filter of the client ids,
+    ``spark.sql.optimizer.runtime.bloomFilter.*``) reaches the account scan and
+    drops other clients' rows before the two aggregates, where the history is
+    large enough for it to pay.  Every counted row has a copy, so the filter
+    drops nothing itself.
+    """
+    return population.where(F.col("n") >= 1)
+
+
 def unified_cut(f: Features) -> DataFrame:
     """The unified features written once (weighted, so a client repeated by
     dimension copies is one row in every shuffle), then expanded with hot
@@ -113,21 +135,25 @@ def run_training(
     factor_path: str,
     target: str = "mto_ing_mes",
     sem: Semantics = REFERENCE,
+    **forest: int,
 ) -> DataFrame:
     """T1-T3 and the adjustment factor: fit and save the forest, save the
-    factor next to it; returns the one-row status (path, n, rmse).
+    factor next to it; returns the one-row status (path, n and rmse of the
+    test rows, n_train: rows of the training table).
 
-    The training table is cut once: the forest makes several passes over it
+    ``forest``: num_trees, max_depth, max_bins or layout_partitions of
+    ``training.train``.  The training table is cut once: the forest makes several passes over it
     and the factor reads it again.
     """
     train = cut(training_table(i, params, sem), "training")
+    rows = train.count()
     _, _, status = training.train(
         train, model_path, target=target, seed=params.seed,
-        predictions_path=f"{model_path.rstrip('/')}_test_predictions",
+        predictions_path=f"{model_path.rstrip('/')}_test_predictions", **forest,
     )
     factor = census_ops.adjustment_factor(train, i.census, target=target, sem=sem)
     io.save_factor(factor, factor_path)
-    return status
+    return status.withColumn("n_train", F.lit(rows).cast("long"))
 
 
 def run_inference(
@@ -145,7 +171,7 @@ def run_inference(
     recomputing the pipeline per consumer.
     """
     model = training.load(model_path)
-    f = features(i, params, sem)
+    f = features(i, params, sem, written_population=checkpoint)
     unified = unified_cut(f) if checkpoint else f.unified
     scored = score(unified, i.census, factor, lambda d: training.model_income(d, model), sem)
     out = report_ops.scored_clients(scored)

@@ -11,8 +11,8 @@ schemas.  With ``--format table`` it is a pattern of catalog names, such as
 ``extracts.{}``.  ``--corrected`` switches to the CORRECTED semantics.
 
 Each training writes a version of its own (``--version``, else the time in UTC)
-and a row of the registry table in DIR; ``infer`` takes the newest version, or
-the one named.  ``--executors`` and ``--executor-cores`` size the session for
+and publishes it in DIR when it is whole; ``infer`` takes the newest version
+published, or the one named.  ``--executors`` and ``--executor-cores`` size the session for
 ``--input-bytes`` of input.
 """
 
@@ -24,13 +24,11 @@ import sys
 from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from clientincome.operators import training
 from clientincome.plans import inference as plan
 from clientincome.semantics import CORRECTED, REFERENCE, RunParams
 from clientincome.session import cluster_conf
-from clientincome.sources import io, schemas
+from clientincome.sources import io, registry, schemas
 
 
 def _args(argv):
@@ -51,13 +49,12 @@ def _args(argv):
     return ap.parse_args(argv)
 
 
-def _version(spark: SparkSession, registry: str, version: str | None) -> tuple[str, str]:
-    """The version named, or the newest of the registry, and its folder."""
-    known = spark.read.schema(training.REGISTRY).parquet(registry)
-    newest = training.latest_model(known.where(F.col("version") == version) if version else known).first()
-    if newest.version is None:
-        raise SystemExit(f"{registry} holds no version {version or 'at all'}")
-    return newest.version, newest.path
+def _version(spark: SparkSession, models: str, version: str | None) -> tuple[str, str]:
+    """The version named, or the newest published, and its folder."""
+    found = registry.latest(spark, models, version)
+    if found is None:
+        raise SystemExit(f"{models} holds no version {version or 'at all'}")
+    return found["version"], found["path"]
 
 
 def run(spark: SparkSession, argv) -> dict:
@@ -72,19 +69,18 @@ def run(spark: SparkSession, argv) -> dict:
     readers = {"csv": schemas.read_inputs_csv, "parquet": schemas.read_inputs_parquet, "table": schemas.read_inputs_table}
     inputs = readers[a.format](spark, {name: pattern.format(name) for name in schemas.SCHEMAS})
     models = a.models.rstrip("/")
-    registry = f"{models}/registry"
     result: dict = {}
     if a.mode in ("train", "all"):
         result["version"] = a.version or datetime.now(UTC).strftime("%Y-%m-%dT%H%M%S.%f")
         path = f"{models}/{result['version']}"
         status = plan.run_training(inputs, params, f"{path}/model", f"{path}/factor", sem=sem).first()
         result["training"] = status.asDict()
-        # last, so that the registry names whole versions only
-        training.register_model(spark, registry, result["version"], path)
+        # last, so that whole versions alone are published
+        registry.publish(spark, models, result["version"], path, status["n_train"], plan.MODEL_PARTS)
     if a.mode in ("infer", "all"):
         if not a.out:
             raise SystemExit("--out is required to infer")
-        result["version"], path = _version(spark, registry, result.get("version") or a.version)
+        result["version"], path = _version(spark, models, result.get("version") or a.version)
         factor = io.load_factor(spark, f"{path}/factor")
         scored, report = plan.run_inference(inputs, params, f"{path}/model", factor, sem)
         result["outputs"] = plan.write_outputs(scored, report, a.out)

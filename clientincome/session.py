@@ -58,6 +58,11 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int) -> dict[
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "snappy",
+        # a written population filters the account scan: up to 64 MB of ids make a
+        # Bloom filter where the scan it thins out is at least 10 GB
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10g",
     }
 
 

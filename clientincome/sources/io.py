@@ -2,7 +2,8 @@
 
 CSV is read with a declared schema, bound to the header by name: column order
 and extra columns in the files do not matter, a declared column that is not
-there or a cell that is not of its type is an error.  Writers never funnel the data through
+there or a cell that is not of its type is an error, or goes to a side table
+(``read_csv_quarantined``) while the rest goes on.  Writers never funnel the data through
 one task; a single file is produced only for small, bounded outputs
 (``single_file=True``).
 """
@@ -27,6 +28,49 @@ def read_csv_options(spark: SparkSession, path: str, schema: T.StructType | str)
     return _typed(cells.schema(_cells(header)).load(path), schema)
 
 
+CORRUPT = "_corrupt_record"  # where Spark's reader puts a line of the wrong shape
+QUARANTINE = "column STRING, reason STRING, cell STRING, record STRING"
+
+
+def read_csv_apart(spark: SparkSession, path: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): the rows of the declared types, and what keeps the others out.
+
+    ``bad`` has a row for each bad cell (column, reason, cell, the record as
+    CSV) and for each line with too few or too many cells (column null).  A row
+    with a bad cell is in ``bad`` alone; the rest go on.  Both are lazy scans.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.option("header", True).csv(path).columns
+    cells = spark.read.schema(_cells([*header, CORRUPT])).option("header", True).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    wrong = [
+        F.when(
+            F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
+            F.struct(
+                F.lit(f.name).alias("column"), F.lit(f"is no {f.dataType.simpleString()}").alias("reason"), F.col(f"`{f.name}`").alias("cell"),
+                F.to_csv(F.struct(*[F.col(f"`{c}`") for c in header])).alias("record"),
+            ),
+        )
+        for f in declared.fields
+    ]
+    shape = F.when(
+        F.col(CORRUPT).isNotNull(),
+        F.array(F.struct(
+            F.lit(None).cast("string").alias("column"), F.lit("has another number of cells than the header").alias("reason"),
+            F.lit(None).cast("string").alias("cell"), F.col(CORRUPT).alias("record"),
+        )),
+    )
+    found = cells.withColumn("_wrong", F.coalesce(shape, F.array_compact(F.array(*wrong))))
+    good = _typed(found.where(F.size("_wrong") == 0), declared)
+    return good, found.select(F.explode("_wrong").alias("w")).select("w.*")
+
+
+def read_csv_quarantined(spark: SparkSession, path: str, schema: T.StructType | str, side_table: str) -> DataFrame:
+    """The good rows; what keeps the others out is written to ``side_table`` (parquet)."""
+    good, bad = read_csv_apart(spark, path, schema)
+    bad.write.mode("overwrite").parquet(side_table)
+    return good
+
+
 def _cells(header: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in header])
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientincome.sources import io
@@ -118,16 +119,31 @@ def _declared(frames: Mapping[str, DataFrame]) -> Inputs:
     })
 
 
-def write_inputs(inputs: Inputs, root: str, fmt: str = "parquet", parallel: bool = True) -> dict[str, str]:
+# the inputs that grow month by month
+HISTORIES = ("account_hist", "transfer_hist", "fx_hist")
+
+
+def write_inputs(
+    inputs: Inputs, root: str, fmt: str = "parquet", parallel: bool = True, window: tuple[int, int] | None = None
+) -> dict[str, str]:
     """Materialise every input under ``root`` (e.g. to stage extracts).
 
+    ``window``: first and last month; of the histories those months alone are
+    copied.  Histories are partitioned by month, so a later read of some months
+    opens their folders only.
+
     The nine writes are independent jobs; with ``parallel`` they are
     submitted together from threads and share the executors.
     """
     paths = {name: f"{root.rstrip('/')}/{name}" for name in SCHEMAS}
 
     def write(name: str) -> None:
-        w = getattr(inputs, name).write.mode("overwrite")
+        df = getattr(inputs, name)
+        if window and name in HISTORIES:
+            df = df.where(F.col("num_periodo_mes").between(*window))
+        w = df.write.mode("overwrite")
+        if fmt == "parquet" and name in HISTORIES:
+            w = w.partitionBy("num_periodo_mes")
         if fmt == "csv":
             w.option("header", True).csv(paths[name])
         else:
@@ -144,9 +160,9 @@ def write_inputs(inputs: Inputs, root: str, fmt: str = "parquet", parallel: bool
     return paths
 
 
-def stage_inputs(inputs: Inputs, root: str) -> Inputs:
+def stage_inputs(inputs: Inputs, root: str, window: tuple[int, int] | None = None) -> Inputs:
     """Write every input once under ``root`` (a folder in the shared
     checkpoint location) and return the inputs read back with the declared
     types: the extract step the pipeline starts from."""
     spark = inputs.contact.sparkSession
-    return read_inputs_parquet(spark, write_inputs(inputs, root))
+    return read_inputs_parquet(spark, write_inputs(inputs, root, window=window))

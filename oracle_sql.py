@@ -10,6 +10,8 @@ ones: reference month 200012, six months of history, seed 123.
 
 from __future__ import annotations
 
+import math
+
 from clientincome.operators.deposits import FEATURE_COLS, INCOME_COLS, JOURNEY_COLS, MEASURES
 from clientincome.operators.report import OUTPUT_COLUMNS, RENAMES, ROUNDED
 from clientincome.operators.unify import FX_COLS, TRANSFER_COLS
@@ -279,6 +281,43 @@ SELECT DISTINCT saldo, potencial, recorrido, edad,
 FROM train_feat WHERE edad >= 18 AND edad < 100"""
 
 # --------------------------------------------------------------------- census
+# ------------------------------------------------------------ forest of stumps
+TREES = 20
+_BUCKET = (f"CAST('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(saldo AS VARCHAR), CAST(potencial AS VARCHAR), "
+           f"CAST(recorrido AS VARCHAR), CAST(edad AS VARCHAR))), 1, 8) AS UBIGINT) % 100 < 80")
+CTE["test_rows"] = f"SELECT * FROM tprep WHERE NOT ({_BUCKET})"
+# a row is in a tree as often as a draw from Poisson(1) says
+_DRAW = (f"CAST('0x' || substr(md5(concat_ws('|', '{SEED}:' || t, CAST(saldo AS VARCHAR), CAST(potencial AS VARCHAR), "
+         f"CAST(recorrido AS VARCHAR), CAST(edad AS VARCHAR))), 1, 8) AS UBIGINT) / 4294967296.0")
+_CHANCES = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8)]
+CTE["tree_rows"] = f"""
+SELECT *, {" + ".join(f"(u >= {c!r})::INT" for c in _CHANCES)} AS w
+FROM (SELECT t, tprep.*, {_DRAW} AS u FROM tprep CROSS JOIN range({TREES}) AS trees(t) WHERE {_BUCKET}) d"""
+_FEATURES = ("saldo", "potencial", "recorrido", "edad")
+CTE["tree_values"] = " UNION ALL ".join(
+    f"SELECT t, {k} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, SUM(w) AS w, SUM(w * log_mto_ing_mes) AS s, "
+    f"SUM(w * log_mto_ing_mes * log_mto_ing_mes) AS q FROM tree_rows WHERE w > 0 GROUP BY t, {c}" for k, c in enumerate(_FEATURES))
+CTE["tree_cuts"] = """
+SELECT *, SUM(w) OVER below AS wl, SUM(s) OVER below AS sl, SUM(q) OVER below AS ql, lead(x) OVER below AS above,
+  SUM(w) OVER whole AS wt, SUM(s) OVER whole AS st, SUM(q) OVER whole AS qt
+FROM tree_values WINDOW below AS (PARTITION BY t, f ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), whole AS (PARTITION BY t, f)"""
+CTE["stumps"] = """
+SELECT t, feature, (x + above) / 2 AS threshold, sl / wl AS low, (st - sl) / (wt - wl) AS high FROM (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY
+      (qt / wt - (st / wt) * (st / wt)) - wl / wt * (ql / wl - (sl / wl) * (sl / wl))
+      - (wt - wl) / wt * ((qt - ql) / (wt - wl) - ((st - sl) / (wt - wl)) * ((st - sl) / (wt - wl))) DESC, f, x) AS best
+  FROM tree_cuts WHERE above IS NOT NULL) c WHERE best = 1"""
+
+
+def _stump_mean(source: str) -> str:
+    value = " ".join(f"WHEN '{c}' THEN CAST({c} AS DOUBLE)" for c in _FEATURES)
+    sums = f"list_transform((SELECT list({{'f': feature, 'x': threshold, 'a': low, 'b': high}}) FROM stumps), lambda s: CASE WHEN (CASE s.f {value} END) <= s.x THEN s.a ELSE s.b END)"
+    return f"SELECT *, list_avg({sums}) AS prediction FROM {source}"
+
+
+CTE["stump_test"] = _stump_mean("test_rows")
+CTE["stump_clients"] = _stump_mean("unid")
+
 CTE["succ"] = """
 SELECT cod_postal,
   CAST(ingreso_familiar AS DOUBLE) / ((CAST(poblacion AS DOUBLE) - CAST(pei AS DOUBLE)) / CAST(familias AS DOUBLE))
@@ -580,21 +619,28 @@ def oracle_sql() -> dict[str, str]:
     q["train_features"] = _typed("train_feat", train_cols)
     prep_cols = [("saldo", "D"), ("potencial", "D"), ("recorrido", "B"), ("edad", "B"), ("log_mto_ing_mes", "L")]
     q["train_prep"] = _typed("tprep", prep_cols)
-    bucket = (f"CAST('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(saldo AS VARCHAR), CAST(potencial AS VARCHAR), "
-              f"CAST(recorrido AS VARCHAR), CAST(edad AS VARCHAR))), 1, 8) AS UBIGINT) % 100 < 80")
-    q["train_split"] = _typed(f"(SELECT *, {bucket} AS is_train FROM tprep) t",
+    q["train_split"] = _typed(f"(SELECT *, {_BUCKET} AS is_train FROM tprep) t",
                               prep_cols + [("is_train", "B")])
-    # a forest's own values are the engine's; these hold for any forest on these rows
     q["train_model"] = _typed(
-        f"(SELECT 'success' AS status, COUNT(*) AS n, true AS in_label_range FROM tprep WHERE NOT ({bucket})) t",
-        [("status", "S"), ("n", "B"), ("in_label_range", "B")])
+        "(SELECT 'success' AS status, COUNT(*) AS n, stddev_pop(log_mto_ing_mes) AS label_deviation, true AS rmse_below_deviation FROM test_rows) t",
+        [("status", "S"), ("n", "B"), ("label_deviation", "R"), ("rmse_below_deviation", "B")])
+    serr = "(prediction - log_mto_ing_mes)"
+    q["stump_model"] = _typed(
+        f"""(SELECT COUNT(*) AS n, sqrt(avg({serr} * {serr})) AS rmse, avg({serr} * {serr}) AS mse, avg(abs({serr})) AS mae,
+              1 - avg({serr} * {serr}) / var_pop(log_mto_ing_mes) AS r2,
+              avg(pow(prediction - (SELECT avg(log_mto_ing_mes) FROM test_rows), 2)) AS explained_variance
+            FROM stump_test) t""",
+        [("n", "B"), ("rmse", "R"), ("mse", "R"), ("mae", "R"), ("r2", "R"), ("explained_variance", "R")])
     q["feature_importance"] = _typed(
-        "(SELECT unnest(['saldo', 'potencial', 'recorrido', 'edad']) AS feature, true AS non_negative, 1.0 AS total) t",
-        [("feature", "S"), ("non_negative", "B"), ("total", "D")])
+        f"""(SELECT f.feature, (SELECT count(*) FROM stumps s WHERE s.feature = f.feature) / {TREES}.0 AS importance
+            FROM (SELECT unnest(['saldo', 'potencial', 'recorrido', 'edad']) AS feature) f) t""",
+        [("feature", "S"), ("importance", "R")])
     q["model_income"] = _typed(
-        "(SELECT id_master, ind_activo_cap, CASE WHEN ind_activo_cap = 0 THEN true END AS zero_other, "
-        "CASE WHEN ind_activo_cap = 1 THEN true END AS present_deposit FROM unid) t",
-        [("id_master", "B"), ("ind_activo_cap", "B"), ("zero_other", "B"), ("present_deposit", "B")])
+        """(SELECT id_master, ind_activo_cap, CASE WHEN ind_activo_cap = 1 THEN pow(10.0, prediction) - 1 WHEN ind_activo_cap = 0 THEN 0 END AS regr
+            FROM stump_clients) t""",
+        [("id_master", "B"), ("ind_activo_cap", "B"), ("regr", "R")])
+    q["latest_model"] = _typed(
+        f"(SELECT '{MES}' AS version, COUNT(*) AS n_train, 2 AS published FROM train_feat) t", [("version", "S"), ("n_train", "B"), ("published", "B")])
     q["target_log"] = _typed(
         "(SELECT id_master, mto_ing_mes, round_even(log10(CAST(mto_ing_mes AS DOUBLE) + 1), 10) AS log_mto_ing_mes, "
         "pow(10.0, log10(CAST(mto_ing_mes AS DOUBLE) + 1)) - 1 AS mto_ing_mes_back FROM train_feat) t",
@@ -665,4 +711,16 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT num_periodo_mes FROM account_hist) m) t""",
         [("num_periodo_mes", "B"), ("fecha", ""), ("per_formato", "B"), ("per_portable", "B"),
          ("inicio_historia", "B"), ("diff_mes", "B"), ("diff_mes_fechas", "B")])
+    q["report_approx"] = _typed(
+        "(SELECT cod_grupo_renta, cod_ingreso_renta, COUNT(ing_renta_indirecta) AS count, true AS within FROM scored_out GROUP BY 1, 2) t",
+        [("cod_grupo_renta", "S"), ("cod_ingreso_renta", "S"), ("count", "B"), ("within", "B")])
+    q["sink_scored"], q["sink_report"] = q["score_clients"], q["report"]
+    q["src_quarantine"] = _typed(
+        """(SELECT 'good' AS kind, NULL AS "column", NULL AS reason, NULL AS cell, id_master, num_periodo_mes, mto_div_cpa FROM fx_hist
+              WHERE id_master % 7 <> 1 AND id_master % 5 <> 2
+            UNION ALL SELECT 'bad', 'mto_div_cpa', 'is no decimal(28,2)', 'n/a', NULL, NULL, NULL FROM fx_hist WHERE id_master % 7 = 1
+            UNION ALL SELECT 'bad', 'num_periodo_mes', 'is no int', 'unknown', NULL, NULL, NULL FROM fx_hist WHERE id_master % 5 = 2) t""",
+        [("kind", "S"), ('"column"', "S"), ("reason", "S"), ("cell", "S"), ("id_master", "B"), ("num_periodo_mes", "B"), ("mto_div_cpa", "D")])
+    # the same features from monthly states
+    q |= {"state_deposits": q["deposits_features"], "state_transfers": q["transfer_features"], "state_fx": q["fx_features"]}
     return q

@@ -133,13 +133,6 @@ def test_model_is_seeded_and_saved(spark, inputs_small, tmp_path):
     assert [f for f, _ in training.feature_importances(m1)] == list(training.FEATURES)
 
 
-def test_latest_model(spark):
-    reg = spark.createDataFrame(
-        [("2024-01-01", "/m/a"), ("2024-03-05", "/m/c"), ("2024-02-01", "/m/b")], "version STRING, path STRING"
-    )
-    r = training.latest_model(reg).first()
-    assert (r.version, r.path) == ("2024-03-05", "/m/c")
-
 
 def test_factor_and_inputs_io_round_trip(spark, inputs_small, tmp_path):
     from clientincome.sources import io
@@ -263,7 +256,7 @@ def test_feature_plan_shape(spark):
     windows, limits = (len(re.findall(p, text)) for p in (r"\bWindow \[", r"WindowGroupLimit .*Final"))
     assert windows == limits
     nested = re.findall(r"BroadcastNestedLoopJoin (\w+), (\w+)", text)
-    # the two bounded month spines, each planned for the features and again for the trimmed totals
-    assert nested == [("BuildRight", "LeftOuter")] * 4
+    # the two bounded month spines, each joined to its history once
+    assert nested == [("BuildRight", "LeftOuter")] * 2
     for keys in re.findall(r"SortMergeJoin \[([^\]]*)\]", text):
         assert re.match(r"(coalesce\()?id_master", keys), keys  # every shuffle join keyed by client
