@@ -90,8 +90,11 @@ class StateTable:
 class States:
     """The states of the three families under ``folder``."""
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = 8, sem: Semantics = REFERENCE):
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None, sem: Semantics = REFERENCE):
+        """``buckets``: fixed once a state is written; by default the session's shuffle partitions.  With fewer than
+        those, Spark shuffles the states to the other side's partitions."""
         self.sem = sem
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.deposits, self.transfers, self.fx = (StateTable(spark, folder, f, buckets) for f in ("deposits", "transfers", "fx"))
 
     def roll(self, i: Inputs, params: RunParams) -> dict[str, list[int]]:
