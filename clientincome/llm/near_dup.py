@@ -15,7 +15,8 @@ between the blocks of one, leave no trace in the candidates of a node:
   majority of the region.  Dense regions are split further, prefix by prefix,
   down to regions that the window covers, so the depth adapts; a region of n
   nodes gives n candidates and not all pairs.  A region that reaches an end of a
-  block is put together from all blocks, its rows dealt over SALTS keys.
+  block is put together from counts of its marks: its hub is found and compared
+  in the range partitions that hold its rows.
 
 Links.  Candidates whose whole signatures agree in fewer than MIN_AGREE places
 are dropped (a pair of similarity 0.75 agrees in so few with a chance of about
@@ -55,8 +56,7 @@ WINDOW = 2
 MIN_AGREE = 36  # of TREES * DEPTH
 SIMILAR = (75, 100)  # 100 * intersection >= 75 * union
 BLOCK = 20_000  # rows of a tree looked at together
-SALTS = 64  # keys over which the rows of a region in several blocks are dealt
-PAIR, REGION, EDGE = range(3)  # what a look at a block gives
+PAIR, REGION, EDGE, COUNT = range(4)  # what a look at a block gives
 CACHED_WORDS = 300_000
 
 _N = TREES * DEPTH
@@ -157,6 +157,10 @@ class Block(NamedTuple):
     def rows(self, at) -> Block:
         return Block(*(x[at] for x in self))
 
+    def name(self, row: int, depth: int) -> bytes:
+        """The region of a row's first ``depth`` minima."""
+        return bytes([self.tree[row]]) + self.keys[row, :depth].astype(">u4").tobytes()
+
     def after(self, other: Block) -> Block:
         return Block(*(np.concatenate(x) for x in zip(other, self, strict=True)))
 
@@ -208,8 +212,7 @@ def region_candidates(rows: Block) -> tuple[set[tuple[int, int, int]], list[tupl
         bounds = np.flatnonzero(np.r_[True, prefix < depth, True])
         inner = bounds[1:-1] if len(bounds) > 2 else bounds[:0]
         for first, last in {(0, int(bounds[1]) - 1), (int(bounds[-2]), n - 1)}:
-            name = bytes([rows.tree[first], depth]) + rows.keys[first, :depth].astype(">u4").tobytes()
-            going_on.append((name, first, last))
+            going_on.append((rows.name(first, depth), first, last))
         for k in np.flatnonzero(np.diff(inner) > 2 * WINDOW + 1):
             first, last = inner[k], inner[k + 1] - 1  # rows first..last share the prefix
             hub = first + _best_of(rows.marks[first : last + 1], rows.ids[first : last + 1])
@@ -221,79 +224,139 @@ def region_candidates(rows: Block) -> tuple[set[tuple[int, int, int]], list[tupl
     return _close(rows, np.concatenate(hubs), np.concatenate(others)), going_on
 
 
-def _salted(rows: DataFrame, regions: DataFrame) -> DataFrame:
-    """``rows`` joined to one row for each region, the rows of a region dealt over SALTS keys."""
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    mine = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    return mine.join(regions.select("*", salts), ["region", "salt"])
+def _counts(marks: np.ndarray) -> np.ndarray:
+    """How often each mark stands at each place."""
+    return np.bincount((marks.astype(np.int64) + 256 * np.arange(_N)).ravel(), minlength=256 * _N)
 
 
-def hub_candidates(going_on: DataFrame) -> DataFrame:
-    """(a, b, agree) of the regions that lie in several blocks, by the same hub as in one.
+def _matrix(marks: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(marks.to_pylist()), np.uint8).reshape(-1, _N)
 
-    ``going_on``: (region, id, size, marks), a row for each region and node.
-    """
-    large = going_on.groupBy("region").count().where(F.col("count") > 2 * WINDOW + 1).select("region")
-    rows = written(_salted(going_on, large).drop("salt"), "nd-regions")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, np.ndarray] = {}
+_COUNTS = "region binary, n long, counts binary"
 
-        def counted() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array([zlib.compress(x.tobytes(), 1) for x in held.values()], pa.binary())], ["region", "counts"]
-            )
-            held.clear()
-            return out
 
-        for b in batches:
-            marks = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, _N) + 256 * np.arange(_N)
-            at: dict[bytes, list[int]] = {}
-            for i, name in enumerate(b.column(0).to_pylist()):
-                at.setdefault(name, []).append(i)
-            for name, some in at.items():
-                counts = np.bincount(marks[some].ravel(), minlength=256 * _N)
-                held[name] = held[name] + counts if name in held else counts
-            if len(held) > 100:
-                yield counted()
-        yield counted()
-
-    def merge(parts: pa.Table) -> pa.Table:
-        total = np.zeros(256 * _N, np.int64)
-        for x in parts["counts"]:
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
-        most = total.reshape(-1, 256).argmax(1).astype(np.uint8)  # of equally frequent marks the smallest
-        return pa.table([parts["region"].slice(0, 1), pa.array([most.tobytes()], pa.binary())], ["region", "majority"])
-
-    counts = rows.select("region", "marks").mapInArrow(count, "region binary, counts binary")
-    majority = counts.groupBy("region").applyInArrow(merge, "region binary, majority binary")
+def _added(parts: pa.Table) -> pa.Table:
+    """One row of _COUNTS for the parts of a region."""
+    total = np.zeros(256 * _N, np.int64)
+    for x in parts["counts"]:
+        total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+    n = sum(parts["n"].to_pylist())
+    return pa.table([parts["region"].slice(0, 1), pa.array([n], pa.int64()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["region", "n", "counts"])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, _N) for c in ("marks", "majority"))
-            agree = pa.array((x == y).sum(1), pa.int32())
-            columns = [b.column(c) for c in ("region", "id", "size", "marks")]
-            yield pa.RecordBatch.from_arrays([*columns, agree], ["region", "id", "size", "marks", "agree"])
-
-    scored = _salted(rows, majority).drop("salt").mapInArrow(score, "region binary, id long, size long, marks binary, agree int")
-    best = F.max(F.struct("agree", (-F.col("id")).alias("id"), "size", "marks"))
-    hubs = scored.groupBy("region").agg(best.alias("hub")).select(
-        "region", (-F.col("hub.id")).alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.marks").alias("hub_marks")
+
+def _most(parts: pa.Table) -> pa.Table:
+    """The majority of a region, of equally frequent marks the smallest."""
+    total = _added(parts)
+    counts = np.frombuffer(zlib.decompress(total["counts"][0].as_py()), np.int64).reshape(-1, 256)
+    return pa.table([total["region"], total["n"], pa.array([counts.argmax(1).astype(np.uint8).tobytes()], pa.binary())], ["region", "n", "marks"])
+
+
+def _beside(heads: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``heads`` (piece, region, id, size, marks) and ``nodes`` of the same pieces together, of each piece
+    the heads first.  A piece is a range partition, so none is larger than the others."""
+    both = heads.select(F.lit(0).alias("kind"), "piece", "region", "id", "size", "marks").unionByName(
+        nodes.select(F.lit(1).alias("kind"), "piece", "region", "id", "size", "marks")
+    )
+    return both.repartition(partitions(nodes.sparkSession), "piece").sortWithinPartitions("piece", "kind", "region")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, dict, dict[bytes, np.ndarray], pa.RecordBatch]]:
+    """Of rows from ``_beside``: (whether a piece begins, its heads by region, rows of the nodes by region, batch).
+
+    A node stands under its deepest region; it is given for each prefix of that name that has a head.
+    """
+    piece, heads = None, {}
+    for b in batches:
+        kinds, pieces, regions = b.column("kind").to_numpy(), b.column("piece").to_numpy(), b.column("region").to_pylist()
+        for at in np.split(np.arange(b.num_rows), np.flatnonzero(np.diff(pieces)) + 1):
+            if not len(at):
+                continue
+            begins = pieces[at[0]] != piece
+            if begins:
+                piece, heads = pieces[at[0]], {}
+            some: dict[bytes, list[int]] = {}
+            for i in at.tolist():
+                if kinds[i] == 0:
+                    heads[regions[i]] = (b.column("id")[i].as_py(), b.column("size")[i].as_py(), np.frombuffer(b.column("marks")[i].as_py(), np.uint8))
+                else:
+                    some.setdefault(regions[i], []).append(i)
+            under: dict[bytes, list[int]] = {}
+            for name, rows in some.items():
+                for end in range(5, len(name) + 1, 4):  # a byte for the tree, four for each minimum
+                    if name[:end] in heads:
+                        under.setdefault(name[:end], []).extend(rows)
+            yield begins, heads, {k: np.array(v) for k, v in under.items()}, b
+
+
+def hub_candidates(going_on: DataFrame, counts: DataFrame) -> DataFrame:
+    """(a, b, agree) of the regions that lie in several blocks, by the same hub as in one.
+
+    ``going_on``: (piece, region, id, size, marks), a row for each tree and node, under the deepest of its
+    regions that reach an end of its block; ``counts``: (piece, region, n, counts) of all those regions.
+    No row is repeated for the regions it lies in: the majority and then the hub of a region go to the
+    pieces that hold its rows.
+    """
+    some = counts.withColumn("part", F.floor(F.col("piece") / 32)).groupBy("part", "region").applyInArrow(
+        lambda parts: _added(parts), _COUNTS
+    )
+    most = some.groupBy("region").applyInArrow(lambda parts: _most(parts), "region binary, n long, marks binary")
+    where = written(
+        counts.select("piece", "region").distinct().join(most.where(F.col("n") > 2 * WINDOW + 1).drop("n"), "region"), "nd-majorities"
     )
-    fits = SIMILAR[1] * F.least("size", "hub_size") >= SIMILAR[0] * F.greatest("size", "hub_size")
-    met = _salted(rows, hubs).where((F.col("id") != F.col("hub")) & fits)
+    heads = where.select("piece", "region", F.lit(0).cast("long").alias("id"), F.lit(0).cast("long").alias("size"), "marks")
+    schema = "region binary, agree int, id long, size long, marks binary"
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bytes, tuple[int, int, int, bytes]] = {}
+
+        def scored() -> pa.RecordBatch:
+            columns = zip(*best.values(), strict=True) if best else ([], [], [], [])
+            agree, ids, sizes, marks = (list(c) for c in columns)
+            out = [pa.array(list(best), pa.binary()), pa.array(agree, pa.int32()), pa.array([-i for i in ids], pa.int64()),
+                   pa.array(sizes, pa.int64()), pa.array(marks, pa.binary())]
+            best.clear()
+            return pa.RecordBatch.from_arrays(out, ["region", "agree", "id", "size", "marks"])
+
+        for begins, heads, under, b in _met(batches):
+            if begins:
+                yield scored()
+            if not under:
+                continue
+            ids, sizes, every = b.column("id").to_numpy(), b.column("size").to_numpy(), b.column("marks")
+            for name, at in under.items():
+                agree = (_matrix(every.take(pa.array(at))) == heads[name][2]).sum(1)
+                k = int(np.lexsort((ids[at], -agree))[0])
+                found = (int(agree[k]), -int(ids[at[k]]), int(sizes[at[k]]), every[int(at[k])].as_py())
+                best[name] = max(best[name], found) if name in best else found
+        yield scored()
+
+    # every region's best row of each piece; ``id`` is that of the node again
+    each = _beside(heads, going_on).mapInArrow(score, schema)
+    top = F.max(F.struct("agree", (-F.col("id")).alias("less"), "size", "marks")).alias("hub")
+    hubs = each.groupBy("region").agg(top).select("region", (-F.col("hub.less")).alias("id"), "hub.size", "hub.marks")
+    heads = written(where.select("piece", "region").join(hubs, "region"), "nd-hubs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, _N) for c in ("marks", "hub_marks"))
-            a, h, agree = b.column("id").to_numpy(), b.column("hub").to_numpy(), (x == y).sum(1)
-            close = agree >= MIN_AGREE
-            a, h, agree = a[close], h[close], agree[close]
+        for _, heads, under, b in _met(batches):
+            if not under:
+                continue
+            ids, sizes, every = b.column("id").to_numpy(), b.column("size").to_numpy(), b.column("marks")
+            found = set()  # a node has one pair with each of its hubs
+            for name, at in under.items():
+                hub, size, marks = heads[name]
+                low, high = np.minimum(sizes[at], size), np.maximum(sizes[at], size)
+                at = at[(SIMILAR[1] * low >= SIMILAR[0] * high) & (ids[at] != hub)]
+                agree = (_matrix(every.take(pa.array(at))) == marks).sum(1)
+                close = agree >= MIN_AGREE
+                at, agree = ids[at[close]], agree[close]
+                found.update(zip(np.minimum(at, hub).tolist(), np.maximum(at, hub).tolist(), agree.tolist(), strict=True))
+            rows = sorted(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, h)), pa.array(np.maximum(a, h)), pa.array(agree, pa.int32())], ["a", "b", "agree"]
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "agree"]
             )
 
-    return met.select("id", "hub", "marks", "hub_marks").mapInArrow(compare, "a long, b long, agree int")
+    return _beside(heads, going_on).mapInArrow(compare, "a long, b long, agree int")
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
@@ -358,6 +421,12 @@ def candidates(nodes: DataFrame) -> DataFrame:
             if held:
                 yield block(held)
 
+        open_counts: dict[bytes, tuple[int, np.ndarray]] = {}  # of regions that may go on in the next block
+
+        def counted(regions: list[bytes]) -> pa.RecordBatch:
+            held = [open_counts.pop(r) for r in regions]
+            return out(COUNT, [n for n, _ in held], None, None, regions, [zlib.compress(c.tobytes(), 1) for _, c in held])
+
         first: Block | None = None
         last: Block | None = None
         for rows in blocks():
@@ -365,14 +434,21 @@ def candidates(nodes: DataFrame) -> DataFrame:
             # windows reach back to the last rows of the block before
             joined = rows if last is None else rows.after(last)
             yield pairs(found | window_candidates(joined))
+            deepest = np.zeros(len(rows.ids), np.int64)
             for name, x, y in going_on:
-                for k in range(x, y + 1, 1000):
-                    at = slice(k, min(k + 1000, y + 1))
-                    some = rows.ids[at]
-                    yield out(REGION, some, rows.sizes[at], None, [name] * len(some), [m.tobytes() for m in rows.marks[at]])
+                deepest[x : y + 1] = np.maximum(deepest[x : y + 1], (len(name) - 1) // 4)
+                n, counts = open_counts.get(name, (0, 0))
+                open_counts[name] = n + y + 1 - x, counts + _counts(rows.marks[x : y + 1])
+            ended = open_counts.keys() - {name for name, _, y in going_on if y == len(rows.ids) - 1}
+            yield counted(sorted(ended))
+            at = np.flatnonzero(deepest)
+            for some in np.split(at, range(1000, len(at), 1000)):
+                names_of = [rows.name(i, deepest[i]) for i in some]
+                yield out(REGION, rows.ids[some], rows.sizes[some], None, names_of, [m.tobytes() for m in rows.marks[some]])
             if first is None or len(first.ids) < WINDOW:
                 first = joined.rows(slice(0, WINDOW))
             last = joined.rows(slice(-WINDOW, None))
+        yield counted(sorted(open_counts))
         if first is not None:
             known = set(zip(first.tree.tolist(), first.ids.tolist(), strict=True))
             yield edge(first)
@@ -399,14 +475,17 @@ def candidates(nodes: DataFrame) -> DataFrame:
 
     edges = seen.where(F.col("kind") == EDGE).drop("kind").repartition(1).sortWithinPartitions("agree", "region", "a")
     over = edges.mapInArrow(seams, "a long, b long, agree int")
-    going_on = seen.where(F.col("kind") == REGION).select("region", F.col("a").alias("id"), F.col("b").alias("size"), "marks")
-    return seen.where(F.col("kind") == PAIR).select("a", "b", "agree").unionByName(over).unionByName(hub_candidates(going_on)).distinct()
+    going_on = seen.where(F.col("kind") == REGION).select("piece", "region", F.col("a").alias("id"), F.col("b").alias("size"), "marks")
+    counts = seen.where(F.col("kind") == COUNT).select("piece", "region", F.col("a").alias("n"), F.col("marks").alias("counts"))
+    pairs = seen.where(F.col("kind") == PAIR).select("a", "b", "agree")
+    return pairs.unionByName(over).unionByName(hub_candidates(going_on, counts)).distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar; ``texts``: (id, text as bytes) of one row per node."""
-    mine = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    # texts are never broadcast: the plan is the same at every size
+    mine = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).hint("merge")
+    other = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge")
     joined = pairs.select("a", "b").join(mine, "a").join(other, "b").select("a", "b", "text_a", "text_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from clientincome.llm import near_dup
 from clientincome.llm.components import components
 from tests.llm import brute
@@ -67,7 +69,7 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in got.collect()} == brute.components(links)
 
 
-def test_candidates_whatever_the_partitions(spark, make_docs):
+def test_candidates_whatever_the_partitions(spark, make_docs, monkeypatch):
     """A region cut by ranges and blocks has one hub, and the windows reach over the cuts."""
     rng = random.Random(5)
     base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
@@ -80,10 +82,27 @@ def test_candidates_whatever_the_partitions(spark, make_docs):
     nodes = near_dup.sketches(make_docs([(i, " ".join(w)) for i, w in enumerate(docs)])).cache()
     before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
     try:
-        for n in ("8", "64", "400"):
+        for n, block in (("8", 20_000), ("64", 20_000), ("3", 40)):
             spark.conf.set("spark.sql.shuffle.partitions", n)
+            monkeypatch.setattr(near_dup, "BLOCK", block)
             found.append({(r["a"], r["b"]) for r in near_dup.candidates(nodes).collect()})
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1] == found[2]
     assert {(0, i) for i in range(1, 301)} | {(i, i + 100) for i in range(301, 401)} <= found[0]
+
+
+@pytest.mark.xfail(reason="open: 59 of 100 links found, crowded regions have no exact way", strict=True)
+def test_recall_of_a_crowd(make_docs):
+    """Documents that share a passage and are just below the threshold, with closer pairs among them."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(170)]
+    crowd = [passage + [f"a{i}x{k}" for k in range(30)] for i in range(600)]  # about 0.73 to each other
+    pairs = [passage + words[170:176] + [f"b{i}x{k}" for k in range(24)] for i, words in enumerate(crowd[:100])]  # about 0.78
+    rows = [(i, " ".join(w)) for i, w in enumerate(crowd + pairs)]
+    rng.shuffle(rows)
+    want, got = brute.near_duplicates(rows), result(make_docs(rows))
+    linked = [d for d in range(600, 700) if want[d][1] != d]
+    assert len(linked) == 100
+    found = sum(got[d][1] == want[d][1] for d in linked)
+    assert found >= 90 and all(got[d][1] == d for d in range(600))
