@@ -506,6 +506,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(check, "a long, b long")
 
 
+def _perhaps(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among ``ids``, before any shuffle.
+
+    The ids' hashes are bits of a map of 2**26, 2,048 rows of 4 KB at most whatever the data, broadcast.
+    Every row of the ids stays; where the map is full, all rows do.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(key), 38)
+    bits = ids.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    met = rows.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "_bucket").where(marked)
+    return met.select(*rows.columns)
+
+
 def _promising(pairs: DataFrame) -> DataFrame:
     """Of each node the candidate that agrees most, and the one with the smallest id."""
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
@@ -528,7 +543,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
     plain = docs.select(F.col("doc_id").alias("a"), F.col("text").cast("binary").alias("text")).where("text is not null")
     texts = written(
-        plain.join(named, "a", "left_semi").groupBy(F.col("a").alias("id")).agg(F.max("text").alias("text")), "nd-texts"
+        _perhaps(plain, named, "a").join(named, "a", "left_semi").groupBy(F.col("a").alias("id")).agg(F.max("text").alias("text")), "nd-texts"
     )
     chosen = written(_promising(pairs), "nd-chosen")
     links = written(confirmed(chosen, texts), "nd-links")
