@@ -7,9 +7,9 @@ for each task.  Estimates well below ``min_sites`` are no boilerplate, those
 well above are; lines within ``margin`` of the threshold get the exact number
 of distinct sites.
 
-Boilerplate lines are removed, unless they hold more than half of the
-characters of a document: then the document itself is spread over sites (a
-copy, left to near-duplicate removal), and its lines stay.
+Boilerplate lines are removed, unless a document has no other line with a
+word: then the document itself is spread over sites (a copy, left to
+near-duplicate removal), and its lines stay.
 
 Nulls: a null text is empty, a null site counts for no line, a null doc_id is
 an id like any other.  Empty lines are never removed.  Rows that repeat get the
@@ -43,12 +43,10 @@ def _rows(docs: DataFrame, site: str) -> DataFrame:
 
 
 def lines(docs: DataFrame, site: str = "source") -> DataFrame:
-    """(row key, site, position, characters, line hash) of every line with a word."""
+    """(row key, site, position, line hash) of every line with a word."""
     exploded = _rows(docs, site).select(*ROW, "_ld_site", F.posexplode(F.split("_ld_text", "\n")).alias("_ld_pos", "_ld_line"))
     bare = F.expr("btrim(_ld_line, ' \\t\\r')")
-    return exploded.where(bare != "").select(
-        *ROW, "_ld_site", "_ld_pos", F.length("_ld_line").cast("long").alias("_ld_chars"), *_hashes(KEY, bare)
-    )
+    return exploded.where(bare != "").select(*ROW, "_ld_site", "_ld_pos", *_hashes(KEY, bare))
 
 
 def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
@@ -80,16 +78,17 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     removed = (
         lines(docs, site)
         .join(common, KEY, "left_semi")
-        .select(*ROW, "_ld_pos", "_ld_chars")
+        .select(*ROW, "_ld_pos")
         .distinct()
         .groupBy(*ROW)
-        .agg(F.collect_list("_ld_pos").alias("_ld_drop"), F.sum("_ld_chars").alias("_ld_cut"))
+        .agg(F.collect_list("_ld_pos").alias("_ld_drop"))
     )
     text = F.coalesce(F.col("text"), F.lit(""))
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), text]
     h1, h2 = _hashes(ROW, *key)
     joined = docs.withColumns({ROW[0]: h1, ROW[1]: h2}).join(removed, ROW, "left")
-    few = 2 * F.col("_ld_cut") <= F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    worded = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(" \t\r")) != "")
+    own = F.size("_ld_drop") < F.size(worded)  # lines of its own are left
     rest = F.expr(
         "transform(array(split(text, '\\n')), ls -> "
         "array_join(transform(array_except(sequence(0, size(ls) - 1), _ld_drop), i -> ls[i]), '\\n'))[0]"
@@ -97,9 +96,9 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     columns = [c for c in docs.columns if c != "text"]
     out = joined.select(
         *[F.col(f"`{c}`") for c in columns],
-        F.when(few, rest).otherwise(F.col("text")).alias("text"),
+        F.when(own, rest).otherwise(F.col("text")).alias("text"),
         F.size(F.split(text, "\n")).alias("_ld_lines"),
-        F.when(few, F.size("_ld_drop")).otherwise(0).alias("_ld_removed"),
+        F.when(own, F.size("_ld_drop")).otherwise(0).alias("_ld_removed"),
     )
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_ld_lines", "_ld_removed")
 

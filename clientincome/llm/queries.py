@@ -133,18 +133,19 @@ QUERIES = {f.__name__: f for f in (
 OP1_SQL = f"""
 with line as (
   select d.doc_id, d.source, md5(concat(coalesce(d.doc_id::varchar, 'null'), '/', coalesce(d.text, ''))) as r, u.pos,
-         string_split(coalesce(d.text, ''), chr(10))[u.pos] as raw,
          trim(string_split(coalesce(d.text, ''), chr(10))[u.pos], ' ' || chr(9) || chr(13)) as bare
   from documents d, unnest(generate_series(1, len(string_split(coalesce(d.text, ''), chr(10))))) as u(pos)
 ), common as (
   select bare from line where bare <> '' group by bare having count(distinct source) >= {line_dedup.MIN_SITES}
 ), cuts as (
-  select r, list(pos) as pos, sum(chars) as chars
-  from (select distinct r, pos, length(raw) as chars from line where bare in (select bare from common)) group by r
+  select r, list(pos) as pos from (select distinct r, pos from line where bare in (select bare from common)) group by r
+), worded as (
+  select r, count(distinct pos) as n from line where bare <> '' group by r
 ), joined as (
   select d.doc_id, string_split(coalesce(d.text, ''), chr(10)) as ls,
-         case when 2 * c.chars <= length(replace(coalesce(d.text, ''), chr(10), '')) then c.pos else [] end as pos
+         case when len(c.pos) < w.n then c.pos else [] end as pos
   from documents d left join cuts c on c.r = md5(concat(coalesce(d.doc_id::varchar, 'null'), '/', coalesce(d.text, '')))
+  left join worded w on w.r = c.r
 )
 select doc_id, len(ls)::bigint as n_lines, coalesce(len(pos), 0)::bigint as n_removed,
        md5(array_to_string(list_transform(

@@ -142,8 +142,7 @@ def spread_lines(docs, min_sites):
     for d, t, _ in docs:
         lines = (t or "").split("\n")
         drop = [bool(x.strip(" \t\r")) and len(sites.get(x.strip(" \t\r"), ())) >= min_sites for x in lines]
-        cut = sum(len(x) for x, y in zip(lines, drop, strict=True) if y)
-        if 2 * cut <= sum(map(len, lines)):
+        if sum(drop) < sum(bool(x.strip(" \t\r")) for x in lines):
             lines = [x for x, y in zip(lines, drop, strict=True) if not y]
         out[d] = "\n".join(lines)
     return out
