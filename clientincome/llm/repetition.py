@@ -7,8 +7,10 @@ each doubling step.  The deepest LCP interval that holds the suffix at word i
 has the length ``max(lcp before, lcp after)``: the longest string at i that
 the document repeats.  The union of these spans, from ``min_repeat`` words on,
 is that of all maximal repeated substrings; a document fails if it covers more
-than ``max_covered`` of the words, or if the longest repeat is longer than
-``max_repeat`` words.
+than the share ``max_covered`` of the words, or if the longest repeat holds more
+than the share ``max_repeat`` of them and more than ``REPEAT_WORDS`` words.  Both
+shares are well below the half that the base rule allows to words in repeated
+3-word windows, so they reject texts that pass it.
 
 Nulls and empty texts have no words and fail the base rule.  Rows with equal
 or null doc_ids are judged one by one.  An empty table gives no rows.
@@ -27,9 +29,10 @@ from clientincome.llm.common import small_batches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"  # fixed values of the rule
-MIN_REPEAT = 10  # words of the shortest repeated substring that counts
-MAX_COVERED = 0.6  # largest share of the words in repeated substrings
-MAX_REPEAT = 150  # words of the longest repeat allowed
+MIN_REPEAT = 5  # words of the shortest repeated substring that counts
+MAX_COVERED = 0.2  # largest share of the words in repeated substrings
+MAX_REPEAT = 0.05  # largest share of the words in one repeated substring; it covers twice that, so below half of MAX_COVERED
+REPEAT_WORDS = 10  # a repeat up to this length never fails a text by itself
 CHUNK_WORDS = 200_000  # words sorted together (a longer document goes alone)
 
 SCHEMA = (
@@ -99,7 +102,7 @@ def covered(longest: np.ndarray, least: int, length: int | None = None) -> np.nd
     return np.cumsum(edge[:n]) > 0
 
 
-def judged(ids: list, texts: list[str], min_repeat: int, max_covered: float, max_repeat: int) -> list[tuple]:
+def judged(ids: list, texts: list[str], min_repeat: int, max_covered: float, max_repeat: float) -> list[tuple]:
     """Rows of SCHEMA for some whole documents."""
     split = [WORD.findall(t) for t in texts]
     sizes = np.array([len(w) for w in split])
@@ -119,7 +122,7 @@ def judged(ids: list, texts: list[str], min_repeat: int, max_covered: float, max
         n = len(w)
         lines = [x for x in text.split("\n") if WORD.search(x)]
         failed = n < 50 or 100 * int(windows[i]) > 50 * n
-        fine = spans[i] <= max_covered * n and most[i] <= max_repeat
+        fine = spans[i] <= max_covered * n and most[i] <= max(REPEAT_WORDS, max_repeat * n)
         rows.append(
             (ids[i], n, sum(map(len, w)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), int(windows[i]),
              failed, bool(not failed and fine), int(spans[i]), int(most[i]))
@@ -128,7 +131,7 @@ def judged(ids: list, texts: list[str], min_repeat: int, max_covered: float, max
 
 
 def quality(
-    docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED, max_repeat: int = MAX_REPEAT
+    docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED, max_repeat: float = MAX_REPEAT
 ) -> DataFrame:
     """One row of SCHEMA for each row of ``docs`` (doc_id, text); no shuffle."""
     small_batches(docs.sparkSession)

@@ -18,12 +18,14 @@ def test_lines_small_table(small, make_docs, min_sites):
 
 
 def test_lines_threshold(make_docs):
-    """Spreads around the threshold are exact; a text mostly of spread lines stays."""
+    """Spreads around the threshold are exact; a text of spread lines alone stays."""
     rows = [(100 * n + s, f"spread {n}\nown words of document {n} {s} that nobody else has at all", f"s{s}") for n in (8, 9, 10, 11, 12) for s in range(n)]
     rows += [(5000 + s, "spread 12", f"s{s}") for s in range(3)]
+    rows += [(6000, "spread 12\n \t\nspread 11\nmy own", "s1"), (6001, "spread 12\n\nspread 11", "s1")]
     got = lines_result(make_docs(rows), 10)
     assert got == brute.spread_lines(rows, 10)
     assert got[5000] == "spread 12" and got[900].startswith("spread") and got[1000].startswith("own")
+    assert got[6000] == " \t\nmy own" and got[6001] == "spread 12\n\nspread 11"
 
 
 def test_lines_odd_rows(odd_docs, make_docs, spark):
@@ -48,14 +50,33 @@ def test_longest_repeats():
     assert repetition.longest_repeats(words, doc).tolist() == [x for t in texts for x in brute.longest_repeats(t)]
 
 
+def verdict(text):
+    """(covered words, longest repeat, kept) by comparing all suffixes."""
+    words = brute.WORD.findall(text)
+    longest, n = brute.longest_repeats(words), len(words)
+    inside = {j for i, k in enumerate(longest) if k >= 5 for j in range(i, i + k)}
+    most = max(longest, default=0)
+    fine = len(inside) <= 0.2 * n and most <= max(10, 0.05 * n)
+    return len(inside), most, fine and not brute.base_counts(text)[5]
+
+
 def test_repetition_verdict(make_docs, odd_docs):
-    unique = " ".join(f"u{i}" for i in range(400))
-    block = " ".join(f"b{i}" for i in range(60))
-    long = " ".join(f"c{i}" for i in range(200))
-    rows = [(1, unique), (2, unique + " " + block + " " + block), (3, f"{block} {block} {block} " + unique[:100]), (4, f"{long} {unique} {unique} x {long}")]
-    got = {r["doc_id"]: (r["covered_words"], r["longest_repeat"], r["kept"]) for r in repetition.quality(make_docs(rows)).collect()}
-    assert got[1] == (0, 0, True) and got[2] == (120, 60, True)
-    assert got[3][:2] == (180, 120) and not got[3][2] and got[4][1] == 400 and not got[4][2]
+    rng = random.Random(12)
+    word = lambda k: f"{'uvw'[k % 3]}{rng.randrange(10**5)}"
+    rows = []
+    for i in range(120):
+        words = [word(i) for _ in range(rng.randrange(40, 160))]
+        for _ in range(rng.randrange(0, 6)):
+            at, size, to = rng.randrange(len(words)), rng.randrange(3, 16), rng.randrange(len(words))
+            words[to:to] = words[at : at + size]
+        rows.append((i, " ".join(words)))
+    got = {r["doc_id"]: r for r in repetition.quality(make_docs(rows)).collect()}
+    assert {d: (r["covered_words"], r["longest_repeat"], r["kept"]) for d, r in got.items()} == {d: verdict(t) for d, t in rows}
+    passed = [r for r in got.values() if not r["base_failed"]]
+    by_share = [r["covered_words"] > 0.2 * r["n_words"] for r in passed]
+    by_length = [r["longest_repeat"] > max(10, 0.05 * r["n_words"]) for r in passed]
+    alone = set(zip(by_share, by_length, strict=True))
+    assert {(False, False), (True, False), (False, True)} <= alone  # each limit rejects by itself
     assert repetition.quality(odd_docs).count() == odd_docs.count() and repetition.quality(make_docs([])).count() == 0
 
 
