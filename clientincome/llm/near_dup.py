@@ -18,6 +18,13 @@ between the blocks of one, leave no trace in the candidates of a node:
   block is put together from counts of its marks: its hub is found and compared
   in the range partitions that hold its rows.
 
+Crowds.  Where a node's region goes on beyond its window in many trees, a partner
+may be none of its candidates: documents that share a long passage and are just
+below 0.75 to each other fill the regions.  What lifts a pair of them over the
+threshold lies outside the passage, so crowded nodes are joined on their rare
+shingles, those of at most RARE crowded nodes, and all pairs of such a shingle
+become candidates.
+
 Links.  Candidates whose whole signatures agree in fewer than MIN_AGREE places
 are dropped (a pair of similarity 0.75 agrees in so few with a chance of about
 1e-6).  Each node first confirms its two most promising candidates on the full
@@ -27,8 +34,8 @@ candidate that could join two components goes unchecked.
 A pair of similarity s shares a prefix of length 1 in some tree with a chance
 of 1 - (1 - s)**TREES, above 0.9999999 from 0.75 on; that is no chance of being
 compared.  What is missed: pairs that meet in crowded regions alone, are never
-neighbours or hub there, and that nothing else links, as happens among documents
-that share a long passage and are themselves just below 0.75.
+neighbours or hub there, share no shingle of at most RARE crowded nodes, and that
+nothing else links.
 
 Nulls and empty texts have an empty set, linked with nothing.  A null doc_id
 is linked with nothing and kept, its component is null.  Rows of one doc_id are
@@ -56,7 +63,9 @@ WINDOW = 2
 MIN_AGREE = 36  # of TREES * DEPTH
 SIMILAR = (75, 100)  # 100 * intersection >= 75 * union
 BLOCK = 20_000  # rows of a tree looked at together
-PAIR, REGION, EDGE, COUNT = range(4)  # what a look at a block gives
+CROWDED = 8  # minima, over all trees, that a node shares with the nodes just beyond its windows
+RARE = 16  # crowded nodes that hold a shingle whose pairs are all candidates
+PAIR, REGION, EDGE, COUNT, CROWD = range(5)  # what a look at a block gives
 CACHED_WORDS = 300_000
 
 _N = TREES * DEPTH
@@ -164,6 +173,17 @@ class Block(NamedTuple):
     def after(self, other: Block) -> Block:
         return Block(*(np.concatenate(x) for x in zip(other, self, strict=True)))
 
+    def crowding(self) -> np.ndarray:
+        """The longest prefix that each row shares with a row just beyond its window, on either side.
+
+        Beyond the block, where the row at its end stands for that row, it may be given too long.
+        """
+        at, longest = np.arange(len(self.ids)), np.zeros(len(self.ids), np.int64)
+        for beyond in (np.minimum(at + WINDOW + 1, len(at) - 1), np.maximum(at - WINDOW - 1, 0)):
+            same = (self.keys[beyond] == self.keys) & (self.tree[beyond] == self.tree)[:, None]
+            longest = np.maximum(longest, np.cumprod(same, axis=1).sum(1))
+        return longest
+
     def shared(self, w: int) -> np.ndarray:
         """The length of the prefix that each row shares with the one ``w`` rows on."""
         same = (self.keys[w:] == self.keys[:-w]) & (self.tree[w:] == self.tree[:-w])[:, None]
@@ -359,16 +379,21 @@ def hub_candidates(going_on: DataFrame, counts: DataFrame) -> DataFrame:
     return _beside(heads, going_on).mapInArrow(compare, "a long, b long, agree int")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (a, b, agree) of ``nodes`` (doc_id, n_shingles, signature)."""
+def _marks(signatures: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The minima of signatures, and a byte of each."""
+    minima = np.frombuffer(b"".join(signatures.to_pylist()), ">u4").reshape(-1, _N)
+    return minima, (minima.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+
+
+def looks(nodes: DataFrame) -> DataFrame:
+    """What the sorted orders of ``nodes`` (doc_id, n_shingles, signature) show, block by block, written."""
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = b.num_rows
             if not n:
                 continue
-            minima = np.frombuffer(b"".join(b.column(2).to_pylist()), ">u4").reshape(n, _N)
-            marks = (minima.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+            minima, marks = _marks(b.column(2))
             sketch = pa.array([m.tobytes() for m in marks], pa.binary())
             for t in range(TREES):
                 keys = [m.tobytes() for m in minima[:, t * DEPTH : (t + 1) * DEPTH]]
@@ -434,6 +459,9 @@ def candidates(nodes: DataFrame) -> DataFrame:
             # windows reach back to the last rows of the block before
             joined = rows if last is None else rows.after(last)
             yield pairs(found | window_candidates(joined))
+            crowding = rows.crowding()
+            at = np.flatnonzero(crowding)
+            yield out(CROWD, rows.ids[at], crowding[at], None, None, None)
             deepest = np.zeros(len(rows.ids), np.int64)
             for name, x, y in going_on:
                 deepest[x : y + 1] = np.maximum(deepest[x : y + 1], (len(name) - 1) // 4)
@@ -455,7 +483,22 @@ def candidates(nodes: DataFrame) -> DataFrame:
             yield edge(last.rows([i for i, x in enumerate(zip(last.tree.tolist(), last.ids.tolist(), strict=True)) if x not in known]))
 
     schema = "kind int, a long, b long, agree int, region binary, marks binary, piece int"
-    seen = written(ordered.mapInArrow(look, schema), "nd-looks")
+    return written(ordered.mapInArrow(look, schema), "nd-looks")
+
+
+def crowded(seen: DataFrame) -> DataFrame:
+    """The ids of the nodes in crowds, from what ``looks`` gave.
+
+    A pair of similarity 0.75 that no tree compares shares some 30 minima on average, fewer than CROWDED
+    about once in two thousand, and the nodes just beyond the windows share no fewer.
+    """
+    each = seen.where(F.col("kind") == CROWD).groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("n"))
+    return each.where(F.col("n") >= CROWDED).select("id")
+
+
+def candidates(nodes: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Distinct candidate pairs (a, b, agree) of ``nodes`` (doc_id, n_shingles, signature); ``seen``: their ``looks``."""
+    seen = looks(nodes) if seen is None else seen
 
     def seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The windows over the ends of the range partitions, from 2 * WINDOW rows of each at most."""
@@ -521,6 +564,39 @@ def _perhaps(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return met.select(*rows.columns)
 
 
+def rare_pairs(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct candidate pairs (a, b, agree) of the crowded nodes ``texts`` (id, text as bytes) that share a shingle
+    of at most RARE of them; ``nodes``: (doc_id, n_shingles, signature).
+
+    Shingles are counted first, map-side; only the ids of rare ones are then brought together, RARE at most.
+    """
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                found = shingles(text.as_py()).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), i, np.int64))], ["shingle", "id"])
+
+    spelt = texts.select("id", "text").mapInArrow(spell, "shingle long, id long")
+    rare = written(spelt.groupBy("shingle").count().where(F.col("count").between(2, RARE)).select("shingle"), "nd-rare")
+    groups = _perhaps(spelt, rare, "shingle").join(rare, "shingle").groupBy("shingle").agg(F.sort_array(F.collect_set("id")).alias("ids"))
+    later = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x AS a, y AS b))))")
+    pairs = groups.select("ids").distinct().select(F.explode(later).alias("p")).select("p.a", "p.b").distinct()
+    for c in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"of_{c}")), c)
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    fits = pairs.where(SIMILAR[1] * small >= SIMILAR[0] * large).select("a", "b", "of_a", "of_b")
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                same = (_marks(b.column(2))[1] == _marks(b.column(3))[1]).sum(1).astype(np.int32)
+                close = pa.array(same >= MIN_AGREE)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same)], ["a", "b", "agree"]).filter(close)
+
+    return fits.mapInArrow(agree, "a long, b long, agree int")
+
+
 def _promising(pairs: DataFrame) -> DataFrame:
     """Of each node the candidate that agrees most, and the one with the smallest id."""
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
@@ -539,12 +615,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = written(usable.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("node")), "nd-classes")
     first = usable.join(classes, ["set_1", "set_2"]).where("doc_id = node")
     nodes = first.select("doc_id", "n_shingles", "signature")
-    pairs = written(candidates(nodes), "nd-candidates")
-    named = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+    seen = looks(nodes)
+    pairs = written(candidates(nodes, seen), "nd-candidates")
+    alone = F.lit(False).alias("crowded")
+    every = pairs.select("a", alone).unionByName(pairs.select(F.col("b").alias("a"), alone))
+    every = every.unionByName(crowded(seen).select(F.col("id").alias("a"), F.lit(True).alias("crowded")))
+    named = written(every.groupBy("a").agg(F.max("crowded").alias("crowded")), "nd-named")
     plain = docs.select(F.col("doc_id").alias("a"), F.col("text").cast("binary").alias("text")).where("text is not null")
     texts = written(
-        _perhaps(plain, named, "a").join(named, "a", "left_semi").groupBy(F.col("a").alias("id")).agg(F.max("text").alias("text")), "nd-texts"
+        _perhaps(plain, named, "a").join(named, "a").groupBy(F.col("a").alias("id"), "crowded").agg(F.max("text").alias("text")), "nd-texts"
     )
+    close = written(rare_pairs(texts.where("crowded"), nodes), "nd-rare-pairs")
+    pairs = pairs.unionByName(close).distinct()
     chosen = written(_promising(pairs), "nd-chosen")
     links = written(confirmed(chosen, texts), "nd-links")
     part = components(links)
