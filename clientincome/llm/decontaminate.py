@@ -11,8 +11,10 @@ short ones are compared first and most chance hits end there.
 
 Both sides are compared in lower case, with each run of characters other than
 letters and digits as one space.  The budget is ``error_rate`` of an item's
-length.  Items with fewer than ``min_chars`` characters are no evidence within
-a longer text and match whole documents only.
+length.  Items with fewer than ``min_chars`` characters have no budget: those of
+MIN_WORDS words or more are found as whole words anywhere in a text, the first
+such place counts; shorter ones are no evidence within a longer text and match
+whole documents only.
 
 The items are the stated query set: they are read in blocks of at most
 ``BLOCK_CHARS`` characters, each sent to the tasks and matched against all
@@ -37,6 +39,7 @@ from clientincome.llm.common import small_batches
 
 ERROR_RATE = 0.08
 MIN_CHARS = 24
+MIN_WORDS = 4
 BLOCK_CHARS = 400_000
 
 HITS = "doc_id long, item_id long, distance int, start long, n_chars long"
@@ -103,6 +106,7 @@ class Matcher:
 
         self.items = []
         self.whole: dict[str, list[int]] = {}
+        self.words = ahocorasick.Automaton()  # short items, a space on either side
         pieces: dict[str, list[tuple[int, int, list]]] = {}
         for item_id, text in items:
             k, m = len(self.items), len(text)
@@ -110,6 +114,8 @@ class Matcher:
             self.items.append((item_id, text, errors))
             if m < min_chars:
                 self.whole.setdefault(text, []).append(k)
+                if text.count(" ") + 1 >= MIN_WORDS:
+                    self.words.add_word(f" {text} ", text)
                 continue
             for i, above in enumerate(nodes(m, errors + 1)):
                 a, b, _ = above[0]
@@ -117,8 +123,9 @@ class Matcher:
         self.automaton = ahocorasick.Automaton()
         for piece, owners in pieces.items():
             self.automaton.add_word(piece, (len(piece), owners))
-        if pieces:
-            self.automaton.make_automaton()
+        for automaton in (self.automaton, self.words):
+            if len(automaton):
+                automaton.make_automaton()
 
     def near(self, text: str, k: int, start: int, above: list) -> tuple[int, int] | None:
         """Distance and end of item k near ``start``, if the nodes above a hit piece keep their budgets."""
@@ -135,7 +142,11 @@ class Matcher:
     def hits(self, text: str) -> list[tuple]:
         """(item_id, distance, start, chars) of each item that the text holds, at its best place."""
         text = normal(text)
-        found = [(self.items[k][0], 0, 0, len(text)) for k in self.whole.get(text, ())]
+        places = {text: 0} if text in self.whole else {}
+        if len(self.words):
+            for end, item in self.words.iter(f" {text} "):
+                places.setdefault(item, end - 1 - len(item))
+        found = [(self.items[k][0], 0, at, len(item)) for item, at in places.items() for k in self.whole[item]]
         best: dict[int, tuple[int, int]] = {}
         seen: set[tuple[int, int]] = set()
         if len(self.automaton):

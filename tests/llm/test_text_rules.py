@@ -173,6 +173,25 @@ def test_myers():
         assert (got[0] if got else len(p)) == brute.edit_distance_within(p, t)
 
 
+def test_short_items(make_docs, spark):
+    """Short items of four words or more are found as whole words, others as whole documents."""
+    items = [(1, "What is 7 times 8?"), (2, "so be it"), (3, "what is 7"), (4, "is 7 times 8"), (4, "IS 7 TIMES 8"), (5, "it is 7 or 8")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["Say: what is 7 -- times 8, or what is 7 times 8", "what is 7 times 88", "So be it!", "and so be it", "this 7 times 8",
+             "was it is 7 or 8? it is 7 or 8", "x is 7 times 8 it is 7 or 8", "What is 7 times 8", "", None]
+    want = []
+    for d, text in enumerate(texts):
+        t = decontaminate.normal(text or "")
+        for k, item in {(k, decontaminate.normal(i)) for k, i in items[:4] + items[5:]}:
+            at = f" {t} ".find(f" {item} ")
+            if at >= 0 and (item == t or len(item.split()) >= decontaminate.MIN_WORDS):
+                want += [(d, k, 0, at, len(item))] * (2 if k == 4 else 1)  # items of one id each count
+    got = [tuple(r) for r in decontaminate.contaminated(make_docs(list(enumerate(texts))), benchmark).collect()]
+    assert sorted(got) == sorted(want) and {(0, 1), (2, 2), (5, 5), (6, 4), (7, 1)} <= {w[:2] for w in want}
+    left = decontaminate.drop_contaminated(make_docs(list(enumerate(texts))), benchmark)
+    assert {r["doc_id"] for r in left.collect()} == set(range(len(texts))) - {w[0] for w in want} == {1, 3, 4, 8, 9}
+
+
 def test_decontamination(make_docs, spark, odd_docs):
     rng = random.Random(8)
     prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
