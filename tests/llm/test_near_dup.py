@@ -1,6 +1,5 @@
 import random
 
-
 from clientincome.llm import near_dup
 from clientincome.llm.components import components
 from tests.llm import brute
