@@ -67,13 +67,15 @@ SELECT 2*CAST(floor(o_custkey/15) AS BIGINT) AS id_master, year(o_orderdate)*100
  SUM(CASE WHEN o_orderstatus='O' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS mto_div_vta, SUM(CASE WHEN o_orderstatus='O' THEN 1 END) AS num_div_vta
  FROM orders GROUP BY 1,2""",
     "income": """
-SELECT c_custkey AS id_master, CASE WHEN c_custkey % 4 = 3 THEN 200011 ELSE 200012 END AS num_periodo_mes, CAST(c_acctbal AS DECIMAL(18,2))*10 AS mto_ing_mes, CASE c_mktsegment WHEN 'BUILDING' THEN 'NOMINA' WHEN 'AUTOMOBILE' THEN 'EFECTIVO' ELSE 'TRANSFERENCIA' END AS cod_flujo,
+SELECT c_custkey AS id_master, per AS num_periodo_mes, CAST(c_acctbal AS DECIMAL(18,2))*10 AS mto_ing_mes, CASE c_mktsegment WHEN 'BUILDING' THEN 'NOMINA' WHEN 'AUTOMOBILE' THEN 'EFECTIVO' ELSE 'TRANSFERENCIA' END AS cod_flujo,
  CAST(c_custkey % 3 AS INT) AS num_flujos, CASE CAST(c_custkey % 5 AS INT) WHEN 0 THEN '01 OBSERVADA' WHEN 1 THEN '02 ESTIMADA' WHEN 2 THEN '03 NO ESTIMADA' WHEN 3 THEN 'VACIO' END AS cod_tipo_nomina,
  CAST(NULL AS VARCHAR(20)) AS cod_tipo_nomina_detalle, CAST(c_custkey % 2 AS INT) AS ind_cre_ov, 'ALTA' AS cod_estabilidad_mto, 'MEDIA' AS cod_estabilidad_periodidad,
- CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey % 2 AS INT) END AS ind_cre, CASE WHEN c_custkey % 6 <> 0 THEN CAST(c_custkey % 3 AS INT) END AS ind_afr FROM customer""",
+ CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey % 2 AS INT) END AS ind_cre, CASE WHEN c_custkey % 6 <> 0 THEN CAST(c_custkey % 3 AS INT) END AS ind_afr
+ FROM customer CROSS JOIN (VALUES (200011),(200012)) AS m(per)""",
     "journey": """
-SELECT c_custkey AS id_master, CASE WHEN c_custkey % 4 = 3 THEN 200011 ELSE 200012 END AS num_periodo_mes, CASE WHEN c_nationkey < 20 THEN 'P1' END AS cod_perfil_trx, CAST(c_acctbal AS DECIMAL(18,2)) AS saldo, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS potencial, COUNT(*) AS recorrido
- FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_nationkey, c_acctbal""",
+SELECT id_master, per AS num_periodo_mes, cod_perfil_trx, saldo, potencial, recorrido
+ FROM (SELECT c_custkey AS id_master, CASE WHEN c_nationkey < 20 THEN 'P1' END AS cod_perfil_trx, CAST(c_acctbal AS DECIMAL(18,2)) AS saldo, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS potencial, COUNT(*) AS recorrido
+  FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_nationkey, c_acctbal) AS j CROSS JOIN (VALUES (200011),(200012)) AS m(per)""",
     "calendar": """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS fecha, year(o_orderdate)*100+month(o_orderdate) AS num_periodo_mes FROM orders""",
     "census": """
