@@ -35,6 +35,7 @@ MANIFEST = "path string, records long"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRAWLED = "2024-01-01T00:00:00Z"
+LEVEL = 6  # of gzip
 RECORD = (
     "warc_type string, record_id string, concurrent_to string, target_uri string, payload_digest string, "
     "refers_to string, payload_bytes long, fields map<string,string>, payload binary"
@@ -46,7 +47,7 @@ def _record(kind: str, record_id: str, block: bytes, **headers: str) -> bytes:
     head |= {k.replace("_", "-"): v for k, v in headers.items() if v is not None}
     head["Content-Length"] = str(len(block))
     lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
-    return gzip.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n", 3, mtime=0)
+    return gzip.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n", LEVEL, mtime=0)
 
 
 def _header_value(text: str) -> str:
@@ -71,9 +72,10 @@ def write_warc(pages: DataFrame, folder: str, files: int | None = None) -> DataF
     make_folder(folder)
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     # a record id must not depend on the attempt: it is that of the page and its place among repeats
-    rows = pages.select("page_id", "url", F.sha1(html).alias("sha1"), html.alias("payload"))
-    rows = rows.mapInArrow(_squeezed, "page_id long, url string, sha1 string, packed binary")
-    keyed = written(rows.withColumn("row_id", F.expr("uuid()")), "warc-pages")
+    # digests and ids move as bytes, half as long as their text
+    rows = pages.select("page_id", "url", F.unhex(F.sha1(html)).alias("sha1"), html.alias("payload"))
+    rows = rows.mapInArrow(_squeezed, "page_id long, url string, sha1 binary, packed binary")
+    keyed = written(rows.withColumn("row_id", F.expr("unhex(replace(uuid(), '-', ''))")), "warc-pages")
     # nulls last, so a page with an id is the response before one without
     firsts = keyed.groupBy("sha1").agg(F.min_by("row_id", F.struct(F.col("page_id").isNull(), "page_id", "row_id")).alias("first_row"))
     # the payloads move once, by row_id; roles are found on the digests alone
@@ -92,8 +94,9 @@ def write_warc(pages: DataFrame, folder: str, files: int | None = None) -> DataF
             for page_id, url, packed, sha1, row_id, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 out = out or open_write(path)
                 payload = unzip.decompress(packed)
-                digest = "sha1:" + b32encode(bytes.fromhex(sha1)).decode()
-                uri, ident = _header_value(url), f"urn:uuid:{row_id}"
+                digest = "sha1:" + b32encode(sha1).decode()
+                own = uuid.UUID(bytes=row_id)
+                uri, ident = _header_value(url), own.urn
                 revisit = row_id != first
                 http = HTTP.format(len(payload)).encode()
                 out.write(
@@ -101,14 +104,14 @@ def write_warc(pages: DataFrame, folder: str, files: int | None = None) -> DataF
                         "revisit" if revisit else "response", ident, http + (b"" if revisit else payload),
                         WARC_Target_URI=uri, WARC_Payload_Digest=digest, Content_Type="application/http; msgtype=response",
                         WARC_Profile=PROFILE if revisit else None,
-                        WARC_Refers_To=f"<urn:uuid:{first}>" if revisit else None,
+                        WARC_Refers_To=f"<{uuid.UUID(bytes=first).urn}>" if revisit else None,
                     )
                 )
                 for kind, block, type_ in (
                     ("request", f"GET {uri} HTTP/1.1\r\n\r\n".encode(), "application/http; msgtype=request"),
                     ("metadata", f"page_id: {'' if page_id is None else page_id}\r\n".encode(), "application/warc-fields"),
                 ):
-                    other = f"urn:uuid:{uuid.uuid5(uuid.UUID(row_id), kind)}"
+                    other = uuid.uuid5(own, kind).urn
                     out.write(_record(kind, other, block, WARC_Target_URI=uri, WARC_Concurrent_To=f"<{ident}>", Content_Type=type_))
                 n += 3
         if out:

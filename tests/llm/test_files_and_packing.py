@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import struct
+import uuid
 import zlib
 from collections import Counter
 
@@ -216,6 +217,21 @@ def test_warc(spark):
     assert alone.count() == pages.count() and alone.where("request is not null or metadata is not null").count() == 0
 
 
+def test_warc_moves_ids_and_digests_as_bytes(spark, monkeypatch):
+    """What is written and shuffled beside the payloads is as short as it can be; the files still hold the ids as text."""
+    seen, write = {}, warc.written
+    monkeypatch.setattr(warc, "written", lambda df, name: seen.setdefault(name, write(df, name)))
+    pages = spark.range(40).selectExpr("id as page_id", "concat('http://x/', id) as url", "concat('<p>', id % 25, '</p>') as html")
+    manifest = warc.write_warc(pages, scratch_path(spark, "warc"))
+    types = dict(seen["warc-pages"].dtypes)
+    assert (types["sha1"], types["row_id"], types["packed"]) == ("binary", "binary", "binary")
+    records = warc.read_records(spark, manifest).collect()
+    assert len({r["record_id"] for r in records}) == 120
+    assert all(str(uuid.UUID(r["record_id"].removeprefix("urn:uuid:"))) == r["record_id"].removeprefix("urn:uuid:") for r in records)
+    responses = {r["record_id"] for r in records if r["warc_type"] == "response"}
+    assert len(responses) == 25 and {r["refers_to"] for r in records if r["warc_type"] == "revisit"} <= responses
+
+
 def test_warc_odd_rows(spark):
     schema = "page_id long, url string, html string, sha1 string, row_id string"
     rows = [(None, "u", "x", "c", "d"), (1, "u", "x", None, None), (1, "u", "x", None, None), (2, None, "long " * 200_000, None, None)]
