@@ -1,18 +1,19 @@
 """Token counts of a unigram vocabulary, by dynamic programming along a trie.
 
-The distinct pre-tokens a worker meets are inserted, sorted, in a trie of
-their bytes.  A node holds the forward score of its prefix, the best sum of
+The new pre-tokens of a batch are sorted, which walks the trie of their bytes
+depth first.  A node has the forward score of its prefix, the best sum of
 token log-probabilities over all ways to cut it, and the number of tokens on
 that way; both follow from nodes above it, so a prefix is computed once for
-all the pre-tokens that share it, and the node where a pre-token ends has its
-count.  Ties go to fewer tokens.  Texts then only add up terminal counts.
+all the pre-tokens of the walk that share it, and the node where a pre-token
+ends has its count.  Ties go to fewer tokens.  Texts then only add up terminal
+counts, which a worker remembers.
 
 The vocabulary is a public file of byte tokens with ranks (tiktoken format);
 a token of rank r has the probability 1 / ((r + 1) H), Zipf's law over the
 ranks.  Single bytes are in it, so every text can be cut.
 
-The trie of a worker starts anew beyond ``MAX_NODES`` nodes; that bounds its
-memory and changes no result.  Null and empty texts have no tokens.  Null and
+Beyond ``MAX_PRETOKENS`` and ``MAX_PIECES`` a worker forgets the counts and
+starts anew; that bounds its memory and changes no result.  Null and empty texts have no tokens.  Null and
 repeated doc_ids are counted row by row.  An empty table gives no rows.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,10 +29,12 @@ from pyspark.sql import DataFrame
 
 from clientincome.llm.common import small_batches
 
-MAX_NODES = 600_000
+MAX_PRETOKENS = 600_000  # pre-tokens whose counts a worker remembers
 MAX_PIECES = 500_000  # pieces of text whose sums a worker remembers
 LONG = 256  # bytes; longer pre-tokens are cut by the same rule, but not stored
 
+_RUN = re.compile(r"\s\s")
+
 SCHEMA = "doc_id long, n_pretokens long, n_tokens long"
 
 
@@ -40,52 +44,67 @@ class Vocabulary:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         norm = math.log(sum(1 / (r + 1) for r in ranks.values()))
         self.score = {t: -math.log(r + 1) - norm for t, r in ranks.items()}
-        self.longest = max(map(len, ranks))
+        # tokens with their scores, and minus infinity for what only ends tokens: a longer start cannot
+        # be a token either once the bytes before an end are the end of none
+        self.ending = dict.fromkeys((t[k:] for t in ranks for k in range(1, len(t))), -math.inf) | self.score
 
     def extend(self, text: bytes, end: int, best: list[float], count: list[int]) -> tuple[float, int]:
         """Forward score and tokens of text[:end] from those of its shorter prefixes."""
         top, tokens = -math.inf, 0
-        get = self.score.get
-        for start in range(max(0, end - self.longest), end):
+        get, start = self.ending.get, end
+        while start:
+            start -= 1
             s = get(text[start:end])
-            if s is not None:
-                s += best[start]
-                if s > top or s == top and count[start] + 1 < tokens:
-                    top, tokens = s, count[start] + 1
+            if s is None:
+                break
+            s += best[start]
+            if s > top or s == top and count[start] + 1 < tokens:
+                top, tokens = s, count[start] + 1
         return top, tokens
 
 
 class Trie:
+    """Pre-tokens and their tokens; the nodes above them are walked, not kept."""
+
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.clear()
-
-    def clear(self) -> None:
-        self.child: dict[int, int] = {}  # node * 256 + byte -> node
-        self.best, self.count = [0.0], [0]
         self.terminal: dict[bytes, int] = {}  # pre-token -> its tokens
 
-    def insert(self, token: bytes) -> int:
-        """Tokens of a pre-token."""
-        if len(token) > LONG:
-            best, count = [0.0], [0]
-            for end in range(1, len(token) + 1):
-                s, n = self.vocabulary.extend(token, end, best, count)
-                best.append(s)
+    def insert(self, tokens: list[bytes]) -> None:
+        """Sorted pre-tokens of at most LONG bytes, walked depth first: the scores on the way to a
+        prefix are kept until the last pre-token below it."""
+        get, terminal, lowest = self.vocabulary.ending.get, self.terminal, -math.inf
+        previous, best, count = b"", [0.0], [0]
+        for token in tokens:
+            shared = 0
+            for x, y in zip(previous, token):
+                if x != y:
+                    break
+                shared += 1
+            previous = token
+            del best[shared + 1 :], count[shared + 1 :]
+            for end in range(shared + 1, len(token) + 1):
+                # as in Vocabulary.extend, of which a call for each byte takes as long again
+                top, n, start = lowest, 0, end
+                while start:
+                    start -= 1
+                    s = get(token[start:end])
+                    if s is None:
+                        break
+                    s += best[start]
+                    if s > top or s == top and count[start] + 1 < n:
+                        top, n = s, count[start] + 1
+                best.append(top)
                 count.append(n)
-            return count[-1]
-        node, best, count = 0, [0.0], [0]
+            terminal[token] = count[-1]
+
+    def long(self, token: bytes) -> int:
+        """Tokens of a pre-token of any length, nothing kept."""
+        best, count = [0.0], [0]
         for end in range(1, len(token) + 1):
-            key = node * 256 + token[end - 1]
-            if (below := self.child.get(key)) is None:
-                s, n = self.vocabulary.extend(token, end, best, count)
-                below = self.child[key] = len(self.best)
-                self.best.append(s)
-                self.count.append(n)
-            node = below
-            best.append(self.best[node])
-            count.append(self.count[node])
-        self.terminal[token] = count[-1]
+            s, n = self.vocabulary.extend(token, end, best, count)
+            best.append(s)
+            count.append(n)
         return count[-1]
 
 
@@ -97,32 +116,38 @@ class Counter:
 
         self.trie = Trie(Vocabulary(path))
         self.pretokens = regex.compile(pattern)
-        self.runs = regex.compile(r"\s\s|^\s|\s\Z")
-        self.sums: dict[str, int] = {}  # piece -> tokens + 2**32 * pre-tokens
+        self.sums: dict[str, int] = {}  # key of a piece -> tokens + 2**32 * pre-tokens
 
-    def pieces(self, text: str) -> list[str]:
+    def keys_of(self, text: str) -> list[str]:
+        """Keys: "word" after a space, "\\nword" after a line end, NUL and the piece for any other."""
         if not text:
             return []
-        if self.runs.search(text):
-            return self.pretokens.findall(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *[p if p[:1] == "\n" else " " + p for p in rest]]
+        if "\0" in text or text[0].isspace() or text[-1].isspace() or _RUN.search(text):
+            return ["\0" + p for p in self.pretokens.findall(text)]
+        return ("\0" + text.replace("\n", " \n")).split(" ")
 
     def totals(self, texts: list[str]) -> list[tuple[int, int]]:
         """(pre-tokens, tokens) of each text."""
-        split = [self.pieces(t) for t in texts]
+        split = [self.keys_of(t) for t in texts]
         if len(self.sums) > MAX_PIECES:
             self.sums = {}
-        if len(self.trie.best) > MAX_NODES:
-            self.trie.clear()
-        new = {p for pieces in split for p in pieces if p not in self.sums}
-        cut = {p: [t.encode("utf-8", "surrogatepass") for t in self.pretokens.findall(p)] for p in new}
-        terminal = self.trie.terminal
-        lengths = {t: terminal[t] if t in terminal else self.trie.insert(t) for t in sorted({t for ts in cut.values() for t in ts})}
-        sums = self.sums
-        for p, tokens in cut.items():
-            sums[p] = sum(lengths[t] for t in tokens) + (len(tokens) << 32)
-        return [divmod(sum(map(sums.__getitem__, pieces)), 1 << 32) for pieces in split]
+        if len(self.trie.terminal) > MAX_PRETOKENS:
+            self.trie.terminal.clear()
+        sums, terminal, find = self.sums, self.trie.terminal, self.pretokens.findall
+        cut = {}
+        for key in set().union(*split):
+            if key not in sums:
+                piece = key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key
+                cut[key] = [t.encode("utf-8", "surrogatepass") for t in find(piece)]
+        new = sorted({t for ts in cut.values() for t in ts if t not in terminal})
+        self.trie.insert([t for t in new if len(t) <= LONG])
+        long = {t: self.trie.long(t) for t in new if len(t) > LONG}
+        for key, tokens in cut.items():
+            n = 0
+            for t in tokens:
+                n += terminal[t] if t in terminal else long[t]
+            sums[key] = n + (len(tokens) << 32)
+        return [divmod(sum(map(sums.__getitem__, keys)), 1 << 32) for keys in split]
 
 
 _COUNTERS: dict[str, Counter] = {}

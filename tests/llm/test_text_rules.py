@@ -163,6 +163,36 @@ def test_unigram(small, make_docs, odd_docs):
     assert unigram.token_counts(make_docs([]), path, P.PATTERN).count() == 0
 
 
+def test_unigram_counter_looks_up_endings_alone(monkeypatch):
+    """Counts as of every way to cut, over white space, NUL, long and forgotten pre-tokens; no look-up beyond the longest ending."""
+    P = pytest.importorskip("public_tokenizers")
+    import regex
+
+    path, rng = str(P.path("byte_bpe_50k.tiktoken")), random.Random(8)
+    counter = unigram.Counter(path, P.PATTERN)
+    vocabulary, looked_up = counter.trie.vocabulary, []
+
+    class Endings(dict):
+        def get(self, key):
+            looked_up.append(key)
+            return dict.get(self, key)
+
+    vocabulary.ending = Endings(vocabulary.ending)
+    words = ["".join(rng.choice("aeinotrhé") for _ in range(rng.randrange(1, 14))) for _ in range(60)]
+    words += ["x" * n for n in (unigram.LONG - 2, unigram.LONG - 1, unigram.LONG, unigram.LONG + 40)] + ["Inter", "internationale,", "\0", "a\0b", "7", "", "\t"]
+    texts = [rng.choice(["", " ", "\n"]) + "".join(rng.choice(words) + rng.choice([" ", " ", " ", "\n", ". "]) for _ in range(40)).strip(" ") for _ in range(40)]
+    texts += [" ".join(rng.choices(words[:64], k=50)) for _ in range(40)] + ["", "\0"]
+    known, find = {}, regex.compile(P.PATTERN).findall
+    for t in {t for text in texts for t in find(text)}:
+        known[t] = brute.unigram_tokens(t.encode(), vocabulary.score)[1]
+    want = [(len(find(t)), sum(known[x] for x in find(t))) for t in texts]
+    assert counter.totals(texts) == want and counter.totals(texts[::-1]) == want[::-1]
+    assert looked_up and all(k in vocabulary.ending or k[1:] in vocabulary.ending or len(k) == 1 for k in looked_up)
+    for name in ("MAX_PRETOKENS", "MAX_PIECES"):
+        monkeypatch.setattr(unigram, name, 3)
+    assert [x for t in texts for x in counter.totals([t])] == want
+
+
 # ------------------------------------------------------------------ decontamination
 def test_myers():
     rng = random.Random(6)
