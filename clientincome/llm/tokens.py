@@ -21,8 +21,10 @@ CACHE_ENTRIES = 800_000  # pieces a worker remembers (about 200 bytes each)
 
 TOGETHER = 2_000_000  # characters whose pieces are held at a time
 
-_LATIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_STEM = re.compile(r"(.*[A-Za-z])([.,!?;:]+)\Z", re.DOTALL)
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LATIN = re.compile(f" ?[{_LETTERS}]+")
+_MARKS = ".,!?;:#%&*)"
+_STEM = re.compile(rf"(.*[{_LETTERS}])([{_MARKS}]+)\Z", re.DOTALL)
 
 
 class Pieces(dict):
@@ -58,22 +60,26 @@ class Pieces(dict):
         """Latin letters as the vocabulary's normalizer leaves them."""
         return latin
 
-    def learn(self, new: set[str]) -> list[str]:
+    def learn(self, new: list[str]) -> list[str]:
         """Encode the pieces that are new; returns the keys added."""
         parts, needed = {}, set()
         for key in new:
-            m = _STEM.match(key)  # letters and the marks after them are never in one pre-token
+            m = key[-1:] in _MARKS and _STEM.match(key)  # letters and the marks after them are never in one pre-token
             if m and key[:1] != "\0":
                 parts[key] = (m[1], "\0" + m[2])
                 needed.update(parts[key])
             else:
                 needed.add(key)
         single = [k for k in needed if k not in self]
-        model, spelt, others = self.tokenizer.model, self.bytes_of, []
+        tokenize, spelt, others = self.tokenizer.model.tokenize, self.bytes_of, []
+        before = self.spelled("").translate(spelt)
         for k in single:
+            if k.isascii() and k.isalpha():  # the byte table leaves these letters as they are
+                self[k] = array("I", [t.id for t in tokenize(before + self.folded(k))]).tobytes()
+                continue
             text = self.spelled(k)
             if _LATIN.fullmatch(text):
-                self[k] = array("I", [t.id for t in model.tokenize(self.folded(text).translate(spelt))]).tobytes()
+                self[k] = array("I", [t.id for t in tokenize(self.folded(text).translate(spelt))]).tobytes()
             else:
                 others.append((k, text))
         encoded = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
@@ -84,18 +90,10 @@ class Pieces(dict):
         return [*single, *parts]
 
     def together(self, texts: list[str]) -> list[bytes]:
-        get, new = self.get, set()
         split = [self.keys_of(t) for t in texts]
-        known = [None if keys is None else list(map(get, keys)) for keys in split]
-        for keys, found in zip(split, known, strict=True):
-            if found is not None and None in found:
-                new.update([k for k, x in zip(keys, found, strict=True) if x is None])
-        added = self.learn(new)
-        out = []
-        for text, keys, found in zip(texts, split, known, strict=True):
-            if found is not None and None in found:
-                found = [x if x is not None else self[k] for k, x in zip(keys, found, strict=True)]
-            out.append(self.library(text) if found is None else b"".join(found))
+        added = self.learn([k for k in set().union(*filter(None, split)) if k not in self])
+        ids_of = self.__getitem__
+        out = [self.library(t) if keys is None else b"".join(map(ids_of, keys)) for t, keys in zip(texts, split, strict=True)]
         if len(self) > CACHE_ENTRIES:
             for key in added:
                 del self[key]
