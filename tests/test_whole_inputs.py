@@ -37,12 +37,22 @@ def test_populations_hold_every_client(spark, tables):
     assert set(ids(customer, "c_custkey")) <= set(ids(entry.queries()["pop_deposits"](spark, SF_MID), "id_master"))
 
 
+def recent(tables):
+    """Events of the reference month (the last five days) and the clients among their users, from the tables."""
+    last = tables["events"].where(F.dayofmonth("ts") > 25)
+    natural = tables["customer"].where(F.col("c_mktsegment") != "MACHINERY")
+    active = (F.col("user_id") > 0) & ((F.col("user_id") % 3 != 0) | (F.col("user_id") % 2 == 1))
+    return last, ids(last.where(active).join(natural, F.col("user_id") == F.col("c_custkey"), "left_semi"), "user_id")
+
+
 def test_transfers_hold_every_client_of_the_reference_month(spark, tables):
-    last = tables["events"].where(F.dayofmonth("ts") > 25)  # the five days folded into the reference month
+    last, clients = recent(tables)
     history = load_inputs(spark, SF_MID).transfer_hist.where(F.col("num_periodo_mes") == MES)
     assert ids(history, "id_master") == ids(last, "user_id")
-    natural = tables["customer"].where(F.col("c_mktsegment") != "MACHINERY")
-    active = (F.col("user_id") > 0) & ((F.col("user_id") % 3 != 0) | (F.col("user_id") % 2 == 1))
-    clients = ids(last.where(active).join(natural, F.col("user_id") == F.col("c_custkey"), "left_semi"), "user_id")
     assert ids(entry.queries()["pop_transfer"](spark, SF_MID), "id_master") == clients
     assert set(clients) <= set(ids(entry.queries()["score_rfm"](spark, SF_MID), "id_master"))
+
+
+def test_scored_clients_hold_every_client_of_the_reference_month(spark, tables):
+    _, clients = recent(tables)
+    assert set(clients) <= set(ids(entry.queries()["score_clients"](spark, SF_MID), "id_master"))
