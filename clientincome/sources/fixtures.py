@@ -59,8 +59,8 @@ SELECT user_id AS id_master, num_periodo_mes, CASE WHEN user_id % 3 <> 0 THEN 1
  SUM(CASE WHEN event_type='error' THEN CAST(value AS DECIMAL(18,2)) END) AS mto_env_rem, SUM(CASE WHEN event_type='error' THEN 1 END) AS num_env_rem,
  SUM(CASE WHEN event_type='signup' THEN CAST(value AS DECIMAL(18,2)) END) AS mto_pag_dex, SUM(CASE WHEN event_type='signup' THEN 1 END) AS num_pag_dex,
  SUM(CASE WHEN event_type='click' THEN CAST(value AS DECIMAL(18,2)) END) AS mto_env_dex, SUM(CASE WHEN event_type='click' THEN 1 END) AS num_env_dex
- FROM (SELECT user_id, event_type, value, 200007 + CASE WHEN m = 5 OR (user_id + m) % (2 + user_id % 6) <> 1 THEN m WHEN m = 0 THEN 1 ELSE m - 1 END AS num_periodo_mes
-  FROM (SELECT user_id, event_type, value, CAST(floor((day(ts)-1)/5) AS INT) AS m FROM events) AS e) AS moved GROUP BY user_id, num_periodo_mes""",
+ FROM (SELECT user_id, event_type, value, 200007 + CASE WHEN day(ts) > 30 THEN 5 ELSE CAST(floor((day(ts)-1)/5) AS INT) END AS num_periodo_mes
+  FROM events) AS e GROUP BY user_id, num_periodo_mes""",
     "fx_hist": """
 SELECT 2*CAST(floor(o_custkey/15) AS BIGINT) AS id_master, year(o_orderdate)*100+month(o_orderdate) AS num_periodo_mes, MAX(CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END) AS ind_activo_div,
  SUM(CASE WHEN o_orderstatus='F' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS mto_div_cpa, SUM(CASE WHEN o_orderstatus='F' THEN 1 END) AS num_div_cpa,

@@ -56,3 +56,34 @@ def test_transfers_hold_every_client_of_the_reference_month(spark, tables):
 def test_scored_clients_hold_every_client_of_the_reference_month(spark, tables):
     _, clients = recent(tables)
     assert set(clients) <= set(ids(entry.queries()["score_clients"](spark, SF_MID), "id_master"))
+
+
+def test_scored_clients_count_every_month_of_their_transfers(spark, tables):
+    day = F.dayofmonth("ts")
+    month = (F.lit(MES - 5) + F.when(day > 30, 5).otherwise(F.floor((day - 1) / 5))).cast("int")
+    events = tables["events"].select(F.col("user_id").alias("id_master"), month.alias("num_periodo_mes"), "event_type")
+    history = load_inputs(spark, SF_MID).transfer_hist.select("id_master", "num_periodo_mes")
+    expected = events.select("id_master", "num_periodo_mes").distinct()
+    assert sorted(history.collect()) == sorted(expected.collect())
+    _, clients = recent(tables)
+
+    def active_months(kind):
+        rows = events.where(F.col("event_type") == kind).groupBy("id_master").agg(F.countDistinct("num_periodo_mes")).collect()
+        return {r[0]: r[1] for r in rows}
+
+    scored = {r.id_master: r for r in entry.queries()["score_clients"](spark, SF_MID).collect()}
+    received = {"frec_rem": active_months("purchase"), "frec_dex": active_months("signup")}
+    for name, counted in received.items():
+        assert {c: scored[c][name] for c in clients} == {c: counted.get(c, 0) for c in clients}
+
+
+def test_day_31_counts_in_the_reference_month(spark):
+    from clientincome.sources.fixtures import VIEWS
+
+    spark.sql("""SELECT 7L AS user_id, d AS ts, 'click' AS event_type, 1.5D AS value FROM VALUES
+        (TIMESTAMP '2024-01-31 12:00:00'), (TIMESTAMP '2024-01-26 12:00:00'), (TIMESTAMP '2024-01-01 12:00:00') AS v(d)""").createOrReplaceTempView("events")
+    try:
+        got = spark.sql(VIEWS["transfer_hist"]).select("num_periodo_mes", "num_env_dex").collect()
+    finally:
+        load_inputs(spark, SF_MID)  # the view over the table again
+    assert sorted(map(tuple, got)) == [(MES - 5, 1), (MES, 2)]
